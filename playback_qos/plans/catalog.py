@@ -15,6 +15,7 @@ from playback_qos.operators import bronze as B
 from playback_qos.operators import gold as G
 from playback_qos.operators import quality as Q
 from playback_qos.operators import silver as S
+from playback_qos.operators import telemetry as TM
 from playback_qos.plans import layers as L
 from playback_qos.schema import KEYS, SILVER_COLUMNS
 from playback_qos.sources import fixtures as X
@@ -145,6 +146,30 @@ def q_dq_results_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.dq_results(bronze, with_timestamp=False)
 
 
+# --- Telemetry ----------------------------------------------------------
+
+
+def q_telemetry_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = X.telemetry_json_from_events(X.events(spark, sf_dir))
+    accepted, _ = TM.split_contract(lines)
+    return TM.flatten_payloads(accepted)
+
+
+def q_telemetry_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = X.telemetry_json_from_events(X.events(spark, sf_dir))
+    _, quarantined = TM.split_contract(lines)
+    return quarantined.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_telemetry_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TM.flatten_payloads(X.telemetry_from_events(X.events(spark, sf_dir)))
+
+
+def q_buffering_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tele = X.telemetry_from_events(X.events(spark, sf_dir))
+    return TM.buffering_intervals(tele, order=("timestamp", "seq"))
+
+
 QUERIES = {
     "viewer_qos": q_viewer_qos,
     "content_qos": q_content_qos,
@@ -165,4 +190,8 @@ QUERIES = {
     "viewer_qos_end_to_end": q_viewer_qos_end_to_end,
     "content_qos_end_to_end": q_content_qos_end_to_end,
     "dq_results_end_to_end": q_dq_results_end_to_end,
+    "telemetry_contract": q_telemetry_contract,
+    "telemetry_quarantine": q_telemetry_quarantine,
+    "telemetry_flat": q_telemetry_flat,
+    "buffering_intervals": q_buffering_intervals,
 }

@@ -129,6 +129,58 @@ BRONZE = f"b as ({dedupe_first(f'(select * from s where {IDS_OK})')})"
 VALID_B = f"v as (select * from b where {VALID})"
 SILVER_E2E = f"sv as ({dedupe_first('(' + CLAMPED.format(src='v') + ')')})"
 
+MS = "(epoch_us(ts) // 1000)"
+
+TELEMETRY_SQL = f"""
+select event_id as seq,
+  case event_type when 'click' then 'buffering_start' when 'view' then 'buffering_end'
+    when 'purchase' then 'quality_change' when 'signup' then 'playback_start'
+    when 'error' then 'error' end as event_type,
+  value as playback_position,
+  case when event_type = 'purchase' then cast(event_id % 4 as int) end as level_index,
+  case when event_type = 'purchase' then [240, 360, 480, 720][event_id % 4 + 1] end as height,
+  case when event_type = 'purchase'
+    then cast([320000, 578000, 1000000, 1900000][event_id % 4 + 1] as bigint) end as bitrate,
+  case when event_type = 'view' then {MS} - event_id % 5000 end as started_at,
+  case when event_type = 'view' then {MS} end as ended_at,
+  case when event_type = 'view' then event_id % 5000 end as duration_ms,
+  'sess-' || cast(user_id as varchar) as sessionId,
+  'user-' || cast(user_id % 40 as varchar) as viewerId,
+  'evt-' || cast(event_id as varchar) as eventId,
+  {MS} as "timestamp"
+from events
+"""
+
+# JSON lines built and checked with DuckDB's own JSON functions, with the
+# same injected faults as ``sources.fixtures.telemetry_json_from_events``.
+TELEMETRY_LINES = f"""
+t as ({TELEMETRY_SQL}),
+j as (
+  select seq, json_object(
+    'event_type', event_type, 'playback_position', playback_position,
+    'quality', case when level_index is not null then
+        json_object('level_index', level_index, 'height', height, 'bitrate', bitrate) end,
+    'buffering', case when ended_at is not null then
+        json_object('started_at', started_at, 'ended_at', ended_at, 'duration_ms', duration_ms) end,
+    'sessionId', case when seq % 53 <> 0 then sessionId end,
+    'viewerId', viewerId, 'eventId', eventId,
+    'timestamp', case when seq % 47 = 0 then to_json('n/a') else to_json("timestamp") end,
+    'agent', 'web')::varchar as line
+  from t),
+l as (select seq, case when seq % 101 = 0 then left(line, 40) else line end as line from j),
+c as (
+  select seq, line,
+    case when not json_valid(line) then 'malformed'
+      when line->>'event_type' is null then 'missing:event_type'
+      when line->>'sessionId' is null then 'missing:sessionId'
+      when line->>'viewerId' is null then 'missing:viewerId'
+      when line->>'eventId' is null then 'missing:eventId'
+      when line->>'timestamp' is null then 'missing:timestamp'
+      when try_cast(line->>'timestamp' as bigint) is null then 'bad_type:timestamp'
+    end as reason
+  from l)
+"""
+
 ORACLE_SQL = {
     "viewer_qos": f"with {S} {gold('s', 'customerId')}",
     "content_qos": f"with {S} {gold('s', 'contentId')}",
@@ -173,4 +225,33 @@ from s
     "viewer_qos_end_to_end": f"with {S}, {BRONZE}, {VALID_B}, {SILVER_E2E} {gold('sv', 'customerId')}",
     "content_qos_end_to_end": f"with {S}, {BRONZE}, {VALID_B}, {SILVER_E2E} {gold('sv', 'contentId')}",
     "dq_results_end_to_end": f"with {S}, {BRONZE} {dq('b')}",
+    "telemetry_flat": TELEMETRY_SQL,
+    "telemetry_contract": f"""
+with {TELEMETRY_LINES}
+select seq, line->>'event_type' as event_type,
+  cast(line->>'playback_position' as double) as playback_position,
+  cast(line->'quality'->>'level_index' as int) as level_index,
+  cast(line->'quality'->>'height' as int) as height,
+  cast(line->'quality'->>'bitrate' as bigint) as bitrate,
+  cast(line->'buffering'->>'started_at' as bigint) as started_at,
+  cast(line->'buffering'->>'ended_at' as bigint) as ended_at,
+  cast(line->'buffering'->>'duration_ms' as bigint) as duration_ms,
+  line->>'sessionId' as sessionId, line->>'viewerId' as viewerId, line->>'eventId' as eventId,
+  cast(line->>'timestamp' as bigint) as "timestamp"
+from c where reason is null
+""",
+    "telemetry_quarantine": f"""
+with {TELEMETRY_LINES}
+select reason, count(*) as n from c where reason is not null group by reason
+""",
+    "buffering_intervals": f"""
+with m as (
+  select 'sess-' || cast(user_id as varchar) as sessionId, {MS} as ms, event_id, event_type
+  from events where event_type in ('click', 'view')),
+o as (
+  select *, lag(event_type) over w as prev_type, lag(ms) over w as prev_ms from m
+  window w as (partition by sessionId order by ms, event_id))
+select sessionId, prev_ms as started_at, ms as ended_at, ms - prev_ms as duration_ms
+from o where event_type = 'view' and prev_type = 'click'
+""",
 }

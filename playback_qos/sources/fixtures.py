@@ -33,6 +33,11 @@ def _mod(c: Column, n: int) -> Column:
     return c % F.lit(n)
 
 
+def epoch_millis(col: str) -> Column:
+    """Epoch milliseconds of a ``timestamp_ntz`` (truncated; no time-zone shift)."""
+    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")
+
+
 def _null_if(cond: Column, value: Column) -> Column:
     return F.when(~cond, value)
 
@@ -154,7 +159,7 @@ def telemetry_from_events(ev: DataFrame) -> DataFrame:
     """
     eid = F.col("event_id")
     etype = F.col("event_type")
-    ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ts_ms = epoch_millis("ts")
     mapped = F.lit(None).cast("string")
     for src, dst in TELEMETRY_TYPE.items():
         mapped = F.when(etype == src, F.lit(dst)).otherwise(mapped)
