@@ -10,8 +10,7 @@ filters rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from playback_qos.functions.qos import tier_column
 from playback_qos.schema import (
@@ -29,65 +28,52 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _mod(c: Column, n: int) -> Column:
-    return c % F.lit(n)
-
-
-def epoch_millis(col: str) -> Column:
-    """Epoch milliseconds of a ``timestamp_ntz`` (truncated; no time-zone shift)."""
-    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})")
-
-
-def _null_if(cond: Column, value: Column) -> Column:
-    return F.when(~cond, value)
+def epoch_millis(col: str) -> str:
+    """SQL: epoch milliseconds of a ``timestamp_ntz`` (truncated; no time-zone shift)."""
+    return f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col})"
+
+
+# Heartbeat columns as SQL expressions over ``events``: one JVM call per
+# column to build (a Column tree would cost hundreds of driver round trips).
+SILVER_EXPRS = [
+    ("customerId", "case when event_id % 97 = 0 then null else concat('cust-', cast(user_id % 40 as string)) end"),
+    ("contentId", "case when event_id % 89 = 0 then null else concat('content-', cast(event_id % 7 as string)) end"),
+    ("clientId", "case when event_id % 83 = 0 then null else concat('client-', cast(user_id as string)) end"),
+    ("eventDate", "cast(ts as date)"),
+    ("serverTimestamp", f"{EPOCH_MS} + event_id * 1000"),
+    ("agentTimestamp", f"{EPOCH_MS} + event_id * 1000 - event_id % 500"),
+    ("bufferings", "case when event_id % 31 = 0 then null else cast(event_id % 7 - 1 as int) end"),
+    ("bufferingTime", "cast((event_id * 37) % 5000 - 100 as int)"),
+    ("src_requests", "cast(event_id % 9 as int)"),
+    ("src_responses", "case when event_id % 29 = 0 then null else cast(event_id % 5 as double) / 2 end"),
+    ("src_requestedData", "(event_id * 131) % 100000"),
+    ("src_receivedData", "case when event_id % 11 = 0 then 0L else (event_id * 131) % 100000 end"),
+    ("p2p_requests", "cast(event_id % 6 as int)"),
+    ("p2p_responses", "cast(event_id % 4 as double)"),
+    ("p2p_requestedData", "(event_id * 173) % 80000"),
+    ("p2p_receivedData", "case when event_id % 13 = 0 then null when event_id % 11 = 0 then 0L "
+                         "else (event_id * 173) % 80000 end"),
+    ("quality_240p", "case when event_id % 2 = 0 then event_id % 10 end"),
+    ("quality_360p", "case when event_id % 3 = 0 then event_id % 10 end"),
+    ("quality_480p", "case when event_id % 5 = 0 then event_id % 10 end"),
+    ("quality_720p", "case when event_id % 7 = 0 then event_id % 10 end"),
+    ("quality_1080p", "case when event_id % 4 = 1 then event_id % 10 end"),
+]
+
+
+def _select(df: DataFrame, exprs) -> DataFrame:
+    return df.selectExpr(*[f"{sql} as {name}" for name, sql in exprs])
 
 
 def silver_from_events(ev: DataFrame) -> DataFrame:
     """Flat SILVER rows (21 columns), one per event."""
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    src_bytes = (eid * 131) % 100000
-    p2p_bytes = (eid * 173) % 80000
-    tier_rules = {"240p": (2, 0), "360p": (3, 0), "480p": (5, 0), "720p": (7, 0), "1080p": (4, 1)}
-    tiers = {
-        tier_column(t): F.when(_mod(eid, n) == r, _mod(eid, 10)) for t, (n, r) in tier_rules.items()
-    }
-    return ev.select(
-        _null_if(_mod(eid, 97) == 0, F.concat(F.lit("cust-"), _mod(uid, 40).cast("string"))).alias(
-            "customerId"
-        ),
-        _null_if(_mod(eid, 89) == 0, F.concat(F.lit("content-"), _mod(eid, 7).cast("string"))).alias(
-            "contentId"
-        ),
-        _null_if(_mod(eid, 83) == 0, F.concat(F.lit("client-"), uid.cast("string"))).alias("clientId"),
-        F.col("ts").cast("date").alias("eventDate"),
-        (F.lit(EPOCH_MS) + eid * 1000).alias("serverTimestamp"),
-        (F.lit(EPOCH_MS) + eid * 1000 - _mod(eid, 500)).alias("agentTimestamp"),
-        _null_if(_mod(eid, 31) == 0, (_mod(eid, 7) - 1).cast("int")).alias("bufferings"),
-        (((eid * 37) % 5000) - 100).cast("int").alias("bufferingTime"),
-        _mod(eid, 9).cast("int").alias("src_requests"),
-        _null_if(_mod(eid, 29) == 0, _mod(eid, 5).cast("double") / 2).alias("src_responses"),
-        src_bytes.alias("src_requestedData"),
-        F.when(_mod(eid, 11) == 0, F.lit(0).cast("bigint")).otherwise(src_bytes).alias(
-            "src_receivedData"
-        ),
-        _mod(eid, 6).cast("int").alias("p2p_requests"),
-        _mod(eid, 4).cast("double").alias("p2p_responses"),
-        p2p_bytes.alias("p2p_requestedData"),
-        F.when(_mod(eid, 13) == 0, F.lit(None).cast("bigint"))
-        .when(_mod(eid, 11) == 0, F.lit(0).cast("bigint"))
-        .otherwise(p2p_bytes)
-        .alias("p2p_receivedData"),
-        *[v.alias(k) for k, v in tiers.items()],
-    )
+    return _select(ev, SILVER_EXPRS)
 
 
-def _traffic(prefix: str) -> Column:
-    return F.struct(
-        F.col(f"{prefix}_requests").alias("requests"),
-        F.col(f"{prefix}_responses").alias("responses"),
-        F.col(f"{prefix}_requestedData").alias("requestedData"),
-        F.col(f"{prefix}_receivedData").alias("receivedData"),
+def _traffic(prefix: str) -> str:
+    return (
+        f"named_struct('requests', {prefix}_requests, 'responses', {prefix}_responses, "
+        f"'requestedData', {prefix}_requestedData, 'receivedData', {prefix}_receivedData)"
     )
 
 
@@ -97,26 +83,27 @@ def nest(silver: DataFrame) -> DataFrame:
     ``qualityDistribution`` holds only the non-null tiers, so a tier read back
     with ``getItem`` equals the flat column.
     """
-    entries = F.array(
-        *[F.struct(F.lit(t).alias("key"), F.col(tier_column(t)).alias("value")) for t in TIERS]
+    entries = ", ".join(
+        f"named_struct('key', '{t}', 'value', {tier_column(t)})" for t in TIERS
     )
-    return silver.select(
-        "customerId",
-        "contentId",
-        "clientId",
-        "eventDate",
-        F.struct(
-            F.col("serverTimestamp").alias("server"), F.col("agentTimestamp").alias("agent")
-        ).alias("timestampInfo"),
-        F.struct(
-            F.col("bufferings").alias("bufferings"), F.col("bufferingTime").alias("bufferingTime")
-        ).alias("player"),
-        F.struct(_traffic("src").alias("sourceTraffic"), _traffic("p2p").alias("p2pTraffic")).alias(
-            "totalDistribution"
-        ),
-        F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())).alias(
-            "qualityDistribution"
-        ),
+    return _select(
+        silver,
+        [
+            ("customerId", "customerId"),
+            ("contentId", "contentId"),
+            ("clientId", "clientId"),
+            ("eventDate", "eventDate"),
+            ("timestampInfo", "named_struct('server', serverTimestamp, 'agent', agentTimestamp)"),
+            ("player", "named_struct('bufferings', bufferings, 'bufferingTime', bufferingTime)"),
+            (
+                "totalDistribution",
+                f"named_struct('sourceTraffic', {_traffic('src')}, 'p2pTraffic', {_traffic('p2p')})",
+            ),
+            (
+                "qualityDistribution",
+                f"map_from_entries(filter(array({entries}), e -> e.value is not null))",
+            ),
+        ],
     )
 
 
@@ -151,42 +138,40 @@ LADDER = [(240, 320000), (360, 578000), (480, 1000000), (720, 1900000)]
 
 
 def telemetry_from_events(ev: DataFrame) -> DataFrame:
-    """Typed telemetry rows (TELEMETRY schema) from ``events``.
+    """Typed telemetry rows (TELEMETRY schema + ``seq``) from ``events``.
 
-    session = user, order = (timestamp, eventId); ``timestamp`` is the epoch
+    session = user, order = (timestamp, seq); ``timestamp`` is the epoch
     millisecond of ``ts``. Buffering-end events carry a payload whose start is
     ``duration`` ms before the end.
     """
-    eid = F.col("event_id")
-    etype = F.col("event_type")
-    ts_ms = epoch_millis("ts")
-    mapped = F.lit(None).cast("string")
-    for src, dst in TELEMETRY_TYPE.items():
-        mapped = F.when(etype == src, F.lit(dst)).otherwise(mapped)
-    level = _mod(eid, len(LADDER)).cast("int")
-    height = F.element_at(F.array(*[F.lit(h) for h, _ in LADDER]), level + 1)
-    bitrate = F.element_at(F.array(*[F.lit(b).cast("bigint") for _, b in LADDER]), level + 1)
-    duration = _mod(eid, 5000)
-    return ev.select(
-        mapped.alias("event_type"),
-        F.col("value").alias("playback_position"),
-        F.when(
-            etype == "purchase",
-            F.struct(level.alias("level_index"), height.alias("height"), bitrate.alias("bitrate")),
-        ).alias("quality"),
-        F.when(
-            etype == "view",
-            F.struct(
-                (ts_ms - duration).alias("started_at"),
-                ts_ms.alias("ended_at"),
-                duration.alias("duration_ms"),
+    ms = epoch_millis("ts")
+    mapped = " ".join(f"when '{a}' then '{b}'" for a, b in TELEMETRY_TYPE.items())
+    heights = ", ".join(str(h) for h, _ in LADDER)
+    rates = ", ".join(f"{b}L" for _, b in LADDER)
+    level = f"cast(event_id % {len(LADDER)} as int)"
+    return _select(
+        ev,
+        [
+            ("event_type", f"case event_type {mapped} end"),
+            ("playback_position", "value"),
+            (
+                "quality",
+                f"case when event_type = 'purchase' then named_struct('level_index', {level}, "
+                f"'height', element_at(array({heights}), {level} + 1), "
+                f"'bitrate', element_at(array({rates}), {level} + 1)) end",
+            ),
+            (
+                "buffering",
+                f"case when event_type = 'view' then named_struct("
+                f"'started_at', {ms} - event_id % 5000, 'ended_at', {ms}, "
+                f"'duration_ms', event_id % 5000) end",
             ),
-        ).alias("buffering"),
-        F.concat(F.lit("sess-"), F.col("user_id").cast("string")).alias("sessionId"),
-        F.concat(F.lit("user-"), _mod(F.col("user_id"), 40).cast("string")).alias("viewerId"),
-        F.concat(F.lit("evt-"), eid.cast("string")).alias("eventId"),
-        ts_ms.alias("timestamp"),
-        eid.alias("seq"),
+            ("sessionId", "concat('sess-', cast(user_id as string))"),
+            ("viewerId", "concat('user-', cast(user_id % 40 as string))"),
+            ("eventId", "concat('evt-', cast(event_id as string))"),
+            ("timestamp", ms),
+            ("seq", "event_id"),
+        ],
     )
 
 
@@ -197,26 +182,17 @@ def telemetry_json_from_events(ev: DataFrame) -> DataFrame:
     non-numeric ``timestamp`` (id % 47 == 0), a truncated line (id % 101 == 0).
     Every line also carries an unknown key that the contract drops.
     """
-    t = telemetry_from_events(ev)
-    eid = F.col("seq")
-    body = F.to_json(
-        F.struct(
-            "event_type",
-            "playback_position",
-            "quality",
-            "buffering",
-            F.when(_mod(eid, 53) != 0, F.col("sessionId")).alias("sessionId"),
-            "viewerId",
-            "eventId",
-            F.col("timestamp").alias("timestamp"),
-            F.lit("web").alias("agent"),
-        ),
-        {"ignoreNullFields": "false"},
+    def body(ts_sql: str) -> str:
+        return (
+            "to_json(named_struct('event_type', event_type, "
+            "'playback_position', playback_position, 'quality', quality, "
+            "'buffering', buffering, 'sessionId', case when seq % 53 <> 0 then sessionId end, "
+            f"'viewerId', viewerId, 'eventId', eventId, 'timestamp', {ts_sql}, "
+            "'agent', 'web'), map('ignoreNullFields', 'false'))"
+        )
+
+    line = f"case when seq % 47 = 0 then {body(repr('n/a'))} else {body('timestamp')} end"
+    return _select(
+        telemetry_from_events(ev),
+        [("seq", "seq"), ("value", f"case when seq % 101 = 0 then substring({line}, 1, 40) else {line} end")],
     )
-    # timestamp rendered as text for the faulty rows
-    body = F.when(
-        _mod(eid, 47) == 0,
-        F.regexp_replace(body, r'"timestamp":-?\d+', '"timestamp":"n/a"'),
-    ).otherwise(body)
-    body = F.when(_mod(eid, 101) == 0, F.substring(body, 1, 40)).otherwise(body)
-    return t.select(eid.alias("seq"), body.alias("value"))
