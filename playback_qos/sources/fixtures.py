@@ -182,17 +182,29 @@ def telemetry_json_from_events(ev: DataFrame) -> DataFrame:
     non-numeric ``timestamp`` (id % 47 == 0), a truncated line (id % 101 == 0).
     Every line also carries an unknown key that the contract drops.
     """
-    def body(ts_sql: str) -> str:
-        return (
-            "to_json(named_struct('event_type', event_type, "
-            "'playback_position', playback_position, 'quality', quality, "
-            "'buffering', buffering, 'sessionId', case when seq % 53 <> 0 then sessionId end, "
-            f"'viewerId', viewerId, 'eventId', eventId, 'timestamp', {ts_sql}, "
-            "'agent', 'web'), map('ignoreNullFields', 'false'))"
-        )
-
-    line = f"case when seq % 47 = 0 then {body(repr('n/a'))} else {body('timestamp')} end"
+    # 1. one JSON text per event (numeric timestamp, every field written)
+    body = (
+        "to_json(named_struct('event_type', event_type, "
+        "'playback_position', playback_position, 'quality', quality, "
+        "'buffering', buffering, 'sessionId', case when seq % 53 <> 0 then sessionId end, "
+        "'viewerId', viewerId, 'eventId', eventId, 'timestamp', timestamp, "
+        "'agent', 'web'), map('ignoreNullFields', 'false'))"
+    )
+    lines = _select(telemetry_from_events(ev), [("seq", "seq"), ("line", body)])
+    # 2. faults: text timestamp, then truncation (each step reads the previous column)
+    lines = _select(
+        lines,
+        [
+            ("seq", "seq"),
+            (
+                "line",
+                "case when seq % 47 = 0 then "
+                "regexp_replace(line, '\"timestamp\":-?[0-9]+', '\"timestamp\":\"n/a\"') "
+                "else line end",
+            ),
+        ],
+    )
     return _select(
-        telemetry_from_events(ev),
-        [("seq", "seq"), ("value", f"case when seq % 101 = 0 then substring({line}, 1, 40) else {line} end")],
+        lines,
+        [("seq", "seq"), ("value", "case when seq % 101 = 0 then substring(line, 1, 40) else line end")],
     )

@@ -18,6 +18,7 @@ def spark():
         app_name="playback-qos-tests",
         master="local[4]",
         spark_sql_shuffle_partitions=4,
+        conf={"spark.driver.memory": "4g"},
     )
     s.sparkContext.setLogLevel("ERROR")
     # Only where the session names no shared folder (local tests).
