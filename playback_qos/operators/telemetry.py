@@ -55,30 +55,31 @@ def parse_telemetry(lines: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = F.from_json(
         F.col(value_col), _PARSE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    df = lines.withColumn("_j", parsed)
-    j = F.col("_j")
-    ts = F.expr("try_cast(_j.timestamp as bigint)")
+    keep = [c for c in lines.columns if c != value_col]
+    # ``inline`` makes the parse a Generate node: predicates on its outputs are
+    # not pushed below it, so each line is parsed once, not once per field use.
+    df = lines.select(*keep, F.col(value_col), F.inline(F.array(parsed)))
+    ts = F.expr("try_cast(timestamp as bigint)")
+    fields = [f for f in TELEMETRY.fieldNames()]
     all_null = F.lit(True)
-    for f in TELEMETRY.fieldNames():
-        all_null = all_null & j[f].isNull()
-    reason: Column = F.when(j.isNull() | (j[CORRUPT].isNotNull() & all_null), F.lit("malformed"))
+    for f in fields:
+        all_null = all_null & F.col(f).isNull()
+    reason: Column = F.when(F.col(CORRUPT).isNotNull() & all_null, F.lit("malformed")).when(
+        all_null & F.col(value_col).isNotNull() & ~F.col(value_col).startswith("{"),
+        F.lit("malformed"),
+    )
     for f in TELEMETRY_REQUIRED:
-        reason = reason.when(j[f].isNull(), F.lit(f"missing:{f}"))
+        reason = reason.when(F.col(f).isNull(), F.lit(f"missing:{f}"))
     reason = reason.when(ts.isNull(), F.lit("bad_type:timestamp")).when(
-        j[CORRUPT].isNotNull(), F.lit("bad_type:payload")
+        F.col(CORRUPT).isNotNull(), F.lit("bad_type:payload")
     )
-    out = [
-        j["event_type"].alias("event_type"),
-        j["playback_position"].alias("playback_position"),
-        j["quality"].alias("quality"),
-        j["buffering"].alias("buffering"),
-        j["sessionId"].alias("sessionId"),
-        j["viewerId"].alias("viewerId"),
-        j["eventId"].alias("eventId"),
+    return df.select(
+        *keep,
+        F.col(value_col),
+        *[F.col(f) for f in fields if f != "timestamp"],
         ts.alias("timestamp"),
-    ]
-    keep = [c for c in lines.columns if c != value_col]
-    return df.select(*keep, F.col(value_col), *out, reason.alias("reason"))
+        reason.alias("reason"),
+    ).select(*keep, value_col, *fields, "reason")
 
 
 def split_contract(lines: DataFrame, value_col: str = "value"):
