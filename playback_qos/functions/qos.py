@@ -47,6 +47,30 @@ def tier_column(tier: str) -> str:
     return f"quality_{tier}"
 
 
+def tier_ranking(quality_order: str = "lexical", tiers=TIERS) -> list:
+    """Tier names from lowest to highest under ``quality_order``."""
+    if quality_order == "lexical":
+        return sorted(tiers)
+    if quality_order == "height":
+        return sorted(tiers, key=lambda t: TIER_HEIGHT[t])
+    raise ValueError(f"unknown quality_order {quality_order!r}")
+
+
+def quality_rank(col="dominant_quality", quality_order: str = "lexical") -> Column:
+    """1-based rank of a tier name (null for null), so that ``max`` can run on an
+    int buffer (hash aggregate) instead of a string buffer (sort aggregate)."""
+    names = F.array(*[F.lit(t) for t in tier_ranking(quality_order)])
+    pos = F.array_position(names, _c(col))
+    return F.when(pos > 0, pos.cast("int"))
+
+
+def quality_name(rank_col, quality_order: str = "lexical") -> Column:
+    """Inverse of :func:`quality_rank`."""
+    names = F.array(*[F.lit(t) for t in tier_ranking(quality_order)])
+    r = _c(rank_col)
+    return F.when(r.isNotNull(), F.element_at(names, r))
+
+
 def dominant_quality(quality_order: str = "lexical", tiers=TIERS) -> Column:
     """Highest tier present on the event (a present tier has a non-null value).
 

@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playback_qos.functions.qos import dominant_quality, ratio_or_zero, total_received
+from playback_qos.functions.qos import (
+    dominant_quality,
+    quality_name,
+    quality_rank,
+    ratio_or_zero,
+    total_received,
+)
 
 
 def add_qos_fields(df: DataFrame, quality_order: str = "lexical") -> DataFrame:
@@ -31,11 +37,16 @@ def add_qos_fields(df: DataFrame, quality_order: str = "lexical") -> DataFrame:
     )
 
 
-def qos_by(df: DataFrame, key: str, date_col: str = "eventDate") -> DataFrame:
+def qos_by(
+    df: DataFrame, key: str, date_col: str = "eventDate", quality_order: str = "lexical"
+) -> DataFrame:
     """Daily QoS aggregate per ``key`` over rows that carry the QoS fields.
 
     ``buffering_ratio`` here is a ratio of sums (time over bytes), distinct
-    from ``avg_buffering_ratio`` (mean of per-event ratios).
+    from ``avg_buffering_ratio`` (mean of per-event ratios). ``max_quality``
+    is the highest ``dominant_quality`` under ``quality_order``; it is
+    aggregated as an int rank so every buffer is fixed-width and Spark plans a
+    hash aggregate (a string ``max`` would force a sort aggregate).
     """
     agg = df.groupBy(key, date_col).agg(
         F.sum("bufferingTime").cast("bigint").alias("total_buffering_time"),
@@ -44,18 +55,21 @@ def qos_by(df: DataFrame, key: str, date_col: str = "eventDate") -> DataFrame:
         F.avg("buffering_ratio").alias("avg_buffering_ratio"),
         F.avg("p2p_share").alias("avg_p2p_share"),
         F.count(F.lit(1)).alias("event_count"),
-        F.max("dominant_quality").alias("max_quality"),
+        F.max(quality_rank("dominant_quality", quality_order)).alias("_max_rank"),
     )
-    return agg.withColumn(
-        "buffering_ratio", ratio_or_zero("total_buffering_time", "total_received_data")
+    cols = [c for c in agg.columns if c != "_max_rank"]
+    return agg.select(
+        *cols[: cols.index("event_count") + 1],
+        quality_name("_max_rank", quality_order).alias("max_quality"),
+        ratio_or_zero("total_buffering_time", "total_received_data").alias("buffering_ratio"),
     )
 
 
 def viewer_qos(df: DataFrame, quality_order: str = "lexical") -> DataFrame:
     """Silver rows -> daily QoS per viewer (``customerId``)."""
-    return qos_by(add_qos_fields(df, quality_order), "customerId")
+    return qos_by(add_qos_fields(df, quality_order), "customerId", quality_order=quality_order)
 
 
 def content_qos(df: DataFrame, quality_order: str = "lexical") -> DataFrame:
     """Silver rows -> daily QoS per content (``contentId``)."""
-    return qos_by(add_qos_fields(df, quality_order), "contentId")
+    return qos_by(add_qos_fields(df, quality_order), "contentId", quality_order=quality_order)

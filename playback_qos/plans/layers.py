@@ -37,7 +37,7 @@ def silver_layer(validated: DataFrame, keys: Sequence[str] = KEYS, deterministic
 
 def gold_layer(silver: DataFrame, key: str, quality_order: str = "lexical") -> DataFrame:
     """Silver -> daily QoS per ``key`` (``customerId`` or ``contentId``)."""
-    return G.qos_by(G.add_qos_fields(silver, quality_order), key)
+    return G.qos_by(G.add_qos_fields(silver, quality_order), key, quality_order=quality_order)
 
 
 def run_batch(

@@ -103,7 +103,7 @@ def stream_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet",
         ("customerId", layout.gold_viewer, "gold_viewer"),
         ("contentId", layout.gold_content, "gold_content"),
     ):
-        agg = G.qos_by(qos, key)
+        agg = G.qos_by(qos, key, quality_order=quality_order)
         w = (
             agg.writeStream.outputMode("complete")
             .foreachBatch(K.complete_table_writer(path, "eventDate", fmt))
