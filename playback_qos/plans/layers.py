@@ -27,9 +27,23 @@ def validated_layer(bronze: DataFrame, bounds: Q.Bounds = Q.DEFAULT_BOUNDS):
     return Q.validate(bronze, bounds)
 
 
-def silver_layer(validated: DataFrame, keys: Sequence[str] = KEYS, deterministic: bool = True) -> DataFrame:
-    """Validated nested rows -> deduplicated flat Silver rows."""
+def silver_layer(
+    validated: DataFrame,
+    keys: Sequence[str] = KEYS,
+    deterministic: bool = True,
+    dedupe: bool = True,
+) -> DataFrame:
+    """Validated nested rows -> deduplicated flat Silver rows.
+
+    ``dedupe=False`` is for a batch chain whose Bronze was already deduped on
+    the same ``keys``: validation only filters and the Silver transforms are
+    one-to-one and pass the key columns through, so a second dedupe would be
+    the identity (it is kept in the streaming chain, where the stages run
+    independently).
+    """
     flat = S.silver_rows(validated)
+    if not dedupe:
+        return flat
     if deterministic:
         return B.dedupe_first(flat, keys, FIRST_SEEN_FLAT)
     return B.dedupe(flat, keys)
@@ -40,25 +54,69 @@ def gold_layer(silver: DataFrame, key: str, quality_order: str = "lexical") -> D
     return G.qos_by(G.add_qos_fields(silver, quality_order), key, quality_order=quality_order)
 
 
+class BatchChain:
+    """The whole chain over one bounded input, built lazily per layer.
+
+    Each property builds its plan on first use only, so asking for one Gold
+    table does not construct (or analyse) the others.
+    """
+
+    def __init__(
+        self,
+        raw: DataFrame,
+        bounds: Q.Bounds = Q.DEFAULT_BOUNDS,
+        deterministic: bool = True,
+        quality_order: str = "lexical",
+    ):
+        self.raw = raw
+        self.bounds = bounds
+        self.deterministic = deterministic
+        self.quality_order = quality_order
+        self._cache: dict = {}
+
+    def _get(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    @property
+    def bronze(self) -> DataFrame:
+        return self._get("bronze", lambda: bronze_layer(self.raw, deterministic=self.deterministic))
+
+    @property
+    def validated(self) -> DataFrame:
+        return self._get("validated", lambda: Q.valid_rows(self.bronze, self.bounds))
+
+    @property
+    def dq_results(self) -> DataFrame:
+        return self._get("dq_results", lambda: Q.dq_results(self.bronze, self.bounds))
+
+    @property
+    def silver(self) -> DataFrame:
+        return self._get(
+            "silver",
+            lambda: silver_layer(self.validated, deterministic=self.deterministic, dedupe=False),
+        )
+
+    @property
+    def viewer_qos(self) -> DataFrame:
+        return self._get("viewer_qos", lambda: gold_layer(self.silver, "customerId", self.quality_order))
+
+    @property
+    def content_qos(self) -> DataFrame:
+        return self._get("content_qos", lambda: gold_layer(self.silver, "contentId", self.quality_order))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+
 def run_batch(
     raw: DataFrame,
     bounds: Q.Bounds = Q.DEFAULT_BOUNDS,
     deterministic: bool = True,
     quality_order: str = "lexical",
-) -> dict:
-    """Whole chain in one lazy plan; returns every layer's DataFrame.
-
-    Nothing is executed here; writing several outputs of one chain should go
-    through ``plans.tables.write_layers`` which materialises each layer once.
-    """
-    bronze = bronze_layer(raw, deterministic=deterministic)
-    valid, dq = validated_layer(bronze, bounds)
-    silver = silver_layer(valid, deterministic=deterministic)
-    return {
-        "bronze": bronze,
-        "validated": valid,
-        "dq_results": dq,
-        "silver": silver,
-        "viewer_qos": gold_layer(silver, "customerId", quality_order),
-        "content_qos": gold_layer(silver, "contentId", quality_order),
-    }
+) -> BatchChain:
+    """Whole chain over a bounded input; index it by layer name
+    (``bronze``, ``validated``, ``dq_results``, ``silver``, ``viewer_qos``,
+    ``content_qos``). Nothing runs until an action on a layer."""
+    return BatchChain(raw, bounds, deterministic, quality_order)
