@@ -38,7 +38,11 @@ def add_qos_fields(df: DataFrame, quality_order: str = "lexical") -> DataFrame:
 
 
 def qos_by(
-    df: DataFrame, key: str, date_col: str = "eventDate", quality_order: str = "lexical"
+    df: DataFrame,
+    key: str,
+    date_col: str = "eventDate",
+    quality_order: str = "lexical",
+    extra_keys: tuple = (),
 ) -> DataFrame:
     """Daily QoS aggregate per ``key`` over rows that carry the QoS fields.
 
@@ -47,8 +51,10 @@ def qos_by(
     is the highest ``dominant_quality`` under ``quality_order``; it is
     aggregated as an int rank so every buffer is fixed-width and Spark plans a
     hash aggregate (a string ``max`` would force a sort aggregate).
+    ``extra_keys`` are carried through the grouping (e.g. an event-time column
+    a streaming watermark needs); they must be functions of the date.
     """
-    agg = df.groupBy(key, date_col).agg(
+    agg = df.groupBy(key, date_col, *extra_keys).agg(
         F.sum("bufferingTime").cast("bigint").alias("total_buffering_time"),
         F.sum("bufferings").cast("bigint").alias("total_bufferings"),
         F.sum("total_received_data").cast("bigint").alias("total_received_data"),
