@@ -48,6 +48,13 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` if missing (a file stream cannot start on a missing directory)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+
+
 def batch_dir(table: str, batch_id: int) -> str:
     return f"{table.rstrip('/')}/batch_id={batch_id}"
 
