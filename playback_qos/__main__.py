@@ -2,6 +2,7 @@
 
   python -m playback_qos run --base DIR [--trigger "30 seconds" | --available-now]
                              [--late-days N] [--gold-mode complete|merge] [--fmt parquet]
+  python -m playback_qos batch --base DIR [--since YYYY-MM-DD] [--fmt parquet]
   python -m playback_qos export --src DIR --dst DIR
 """
 
@@ -11,9 +12,10 @@ import argparse
 
 from pyspark.sql import types as T
 
-from playback_qos.schema import DISTRIBUTION
+from playback_qos.plans.layers import write_layers
+from playback_qos.schema import DISTRIBUTION, raw_schema
 from playback_qos.session import get_spark
-from playback_qos.sources.tables import export_gold
+from playback_qos.sources.tables import export_gold, read_table
 from playback_qos.streaming import jobs
 from playback_qos.streaming.layout import Layout
 from playback_qos.streaming.sinks import ensure_dir
@@ -33,6 +35,11 @@ def main(argv=None) -> None:
     run.add_argument("--late-days", type=int, default=None)
     run.add_argument("--gold-mode", choices=["complete", "merge"], default="complete")
     run.add_argument("--tier-type", choices=sorted(TIER_TYPES), default="struct")
+    bat = sub.add_parser("batch", help="rebuild every layer table from source_raw, each once")
+    bat.add_argument("--base", required=True)
+    bat.add_argument("--fmt", default="parquet")
+    bat.add_argument("--since", default=None, help="only rebuild days >= this date")
+    bat.add_argument("--tier-type", choices=sorted(TIER_TYPES), default="struct")
     exp = sub.add_parser("export", help="copy a Gold table to Parquet")
     exp.add_argument("--src", required=True)
     exp.add_argument("--dst", required=True)
@@ -45,6 +52,11 @@ def main(argv=None) -> None:
         return
     layout = Layout(args.base)
     tier = TIER_TYPES[args.tier_type]
+    if args.cmd == "batch":
+        raw = read_table(spark, layout.source_raw, args.fmt, schema=raw_schema(tier),
+                         since=args.since)
+        write_layers(spark, raw, layout, args.fmt)
+        return
     if args.available_now:
         jobs.run_available_now(spark, layout, args.fmt, late_days=args.late_days,
                                tier_type=tier, gold_mode=args.gold_mode)

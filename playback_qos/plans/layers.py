@@ -120,3 +120,48 @@ def run_batch(
     (``bronze``, ``validated``, ``dq_results``, ``silver``, ``viewer_qos``,
     ``content_qos``). Nothing runs until an action on a layer."""
     return BatchChain(raw, bounds, deterministic, quality_order)
+
+
+def write_layers(
+    spark,
+    raw: DataFrame,
+    layout,
+    fmt: str = "parquet",
+    bounds: Q.Bounds = Q.DEFAULT_BOUNDS,
+    deterministic: bool = True,
+    quality_order: str = "lexical",
+) -> None:
+    """Batch (re)build of every layer table under ``layout``, each computed once.
+
+    Every layer is written and the next one reads the written table, which
+    cuts the lineage there: a lost executor only recomputes the layer in
+    progress, and Bronze's dedupe shuffle is not repeated for each output.
+    The rule counts are observed while the validated rows are written (one
+    pass). Day-partitioned tables use dynamic partition overwrite, so a
+    backfill of some days replaces only those days.
+    """
+    from pyspark.sql import functions as F
+
+    from playback_qos.schema import silver_schema
+
+    def write(df: DataFrame, path: str, partitioned: bool = True) -> None:
+        w = df.write.mode("overwrite").format(fmt)
+        if partitioned:
+            w = w.partitionBy("eventDate").option("partitionOverwriteMode", "dynamic")
+        w.save(path)
+
+    write(bronze_layer(raw, deterministic=deterministic), layout.bronze)
+    bronze = spark.read.format(fmt).schema(raw.schema).load(layout.bronze)
+
+    valid, obs = Q.observed_valid_rows(bronze, bounds)
+    write(valid, layout.validated)
+    write(Q.dq_from_observation(spark, obs, bronze.schema), layout.dq_results, partitioned=False)
+
+    validated = spark.read.format(fmt).schema(raw.schema).load(layout.validated)
+    write(silver_layer(validated, deterministic=deterministic, dedupe=False), layout.silver)
+
+    tier_type = raw.schema["qualityDistribution"].dataType.valueType
+    silver = spark.read.format(fmt).schema(silver_schema(tier_type)).load(layout.silver)
+    for key, path in (("customerId", layout.gold_viewer), ("contentId", layout.gold_content)):
+        gold = gold_layer(silver, key, quality_order)
+        write(gold.select(*[c for c in gold.columns if c != "eventDate"], F.col("eventDate")), path)
