@@ -22,6 +22,12 @@ def has_path(schema: T.StructType, path: str) -> bool:
     return True
 
 
-def col_or_null(df: DataFrame, path: str) -> Column:
-    """``col(path)`` if it resolves, else a null literal (a missing column is null)."""
-    return F.col(path) if has_path(df.schema, path) else F.lit(None)
+def col_or_null(schema: T.StructType | DataFrame, path: str) -> Column:
+    """``col(path)`` if it resolves, else a null literal (a missing column is null).
+
+    Pass the schema when resolving several paths: ``DataFrame.schema`` is a
+    JVM round trip each time it is read.
+    """
+    if isinstance(schema, DataFrame):
+        schema = schema.schema
+    return F.col(path) if has_path(schema, path) else F.lit(None)

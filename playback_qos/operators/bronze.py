@@ -38,17 +38,19 @@ def dedupe_first(
     Same result as ``row_number() over (partition by keys order by order) = 1``
     with nulls first, but planned as an aggregate (``min_by``): the partial
     aggregate keeps one candidate per key and map task before the shuffle, so a
-    key holding a third of all rows never lands whole in one task, and no sort
-    of the full input is needed. Order columns may be nested paths.
+    key holding a third of all rows never lands whole in one task (a window
+    would sort all of that key's rows in one task). Spark runs it as a sort
+    aggregate because the buffer holds a row struct, as it does for
+    ``dropDuplicates`` over non-primitive columns. Order columns may be nested
+    paths.
     """
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
+    columns = df.columns
+    payload = [c for c in columns if c not in keys]
     order_struct = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
     best = F.min_by(F.struct(*[F.col(c) for c in payload]), order_struct).alias("_best")
-    return df.groupBy(*keys).agg(best).select(
-        *[F.col(c) for c in df.columns if c in keys]
-        + [F.col(f"_best.{c}").alias(c) for c in payload]
-    ).select(*df.columns)
+    out = {c: F.col(c) for c in keys} | {c: F.col(f"_best.{c}").alias(c) for c in payload}
+    return df.groupBy(*keys).agg(best).select(*[out[c] for c in columns])
 
 
 def bronze(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] | None = None) -> DataFrame:

@@ -16,11 +16,12 @@ def clamp_player(df: DataFrame) -> DataFrame:
     ``player`` is rebuilt with exactly these two fields; a null ``player``
     becomes a (non-null) struct of nulls.
     """
+    sch = df.schema
     return df.withColumn(
         "player",
         F.struct(
-            clamp_non_negative(col_or_null(df, "player.bufferings")).alias("bufferings"),
-            clamp_non_negative(col_or_null(df, "player.bufferingTime")).alias("bufferingTime"),
+            clamp_non_negative(col_or_null(sch, "player.bufferings")).alias("bufferings"),
+            clamp_non_negative(col_or_null(sch, "player.bufferingTime")).alias("bufferingTime"),
         ),
     )
 

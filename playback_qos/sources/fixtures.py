@@ -24,8 +24,16 @@ from playback_qos.schema import (
 EPOCH_MS = 1704067200000
 
 
+# Layout of the driver's ``events`` table (fixed; declaring it skips the
+# footer read that schema inference would do on every query).
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def epoch_millis(col: str) -> str:
