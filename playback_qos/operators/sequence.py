@@ -8,8 +8,14 @@ into equal-width sub-ranges of its first order column, the lag runs per
 from a per-(key, sub-range) summary (one row per sub-range, so the second
 window sorts at most ``count / rows_per_chunk + 1`` rows per key).
 
-Only keys above the threshold are joined back by broadcast: there can be at
-most ``total_rows / rows_per_chunk`` of them, which bounds the broadcast.
+Hot keys are found on a Bernoulli sample (``sample_fraction``): only the
+sampled rows are shuffled for that count. Detection affects balance, not
+results -- a missed hot key is just processed in one task, and sub-ranges
+from sampled bounds are still monotone in the order column, so rows outside
+the sampled range land in the first/last sub-range with order intact. A key
+is hot when its sampled count exceeds ``rows_per_chunk * sample_fraction``;
+there are at most ``sample_rows / (rows_per_chunk * sample_fraction)`` ~
+``total_rows / rows_per_chunk`` of them, which bounds the broadcast.
 Everything else is built-in aggregates and windows; no row leaves the JVM.
 """
 
@@ -21,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_CHUNK = 2_000_000
+DEFAULT_SAMPLE_FRACTION = 0.01
+SAMPLE_SEED = 17
 
 
 def with_previous(
@@ -30,6 +38,7 @@ def with_previous(
     carry: Sequence[str],
     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
     prefix: str = "prev_",
+    sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
 ) -> DataFrame:
     """Add ``prev_<c>`` for each ``c`` in ``carry``: its value on the previous
     row of the same ``key`` when rows are ordered by ``order`` (null on the
@@ -41,9 +50,12 @@ def with_previous(
     carry = list(carry)
     lead_col = order[0]
 
-    # 1. keys too large for one task: count per key (partial aggregate first).
-    stats = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
+    # 1. keys too large for one task, estimated on a sample (partial aggregate).
+    columns = df.columns
+    fraction = min(float(sample_fraction), 1.0)
+    sampled = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=SAMPLE_SEED)
+    stats = sampled.groupBy(key).agg(
+        (F.count(F.lit(1)) / F.lit(fraction)).alias("_n"),
         F.min(lead_col).alias("_lo"),
         F.max(lead_col).alias("_hi"),
     )
@@ -53,7 +65,7 @@ def with_previous(
         "_hi",
         F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("long").alias("_parts"),
     )
-    # |hot| <= total_rows / rows_per_chunk: a proven bound, so broadcast is safe.
+    # |hot| <= sample_rows / (rows_per_chunk * fraction): bounded, so broadcast is safe.
     tagged = df.join(F.broadcast(hot), on=key, how="left")
     span = (F.col("_hi") - F.col("_lo")).cast("double") + F.lit(1.0)
     sub = F.when(
@@ -96,5 +108,5 @@ def with_previous(
         .withColumns({f"{prefix}{c}": F.col(f"_before.{c}") for c in carry})
     )
     rest = local.filter(~is_hot_head)
-    cols = df.columns + [f"{prefix}{c}" for c in carry]
+    cols = columns + [f"{prefix}{c}" for c in carry]
     return rest.select(*cols).unionByName(heads.select(*cols))

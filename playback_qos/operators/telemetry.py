@@ -13,7 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playback_qos.operators.sequence import DEFAULT_ROWS_PER_CHUNK, with_previous
+from playback_qos.operators.sequence import (
+    DEFAULT_ROWS_PER_CHUNK,
+    DEFAULT_SAMPLE_FRACTION,
+    with_previous,
+)
 from playback_qos.schema import (
     EVT_BUFFER_END,
     EVT_BUFFER_START,
@@ -113,6 +117,7 @@ def buffering_intervals(
     start_type: str = EVT_BUFFER_START,
     end_type: str = EVT_BUFFER_END,
     rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+    sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
 ) -> DataFrame:
     """Pair each buffering end with the start right before it.
 
@@ -130,7 +135,10 @@ def buffering_intervals(
         & F.col(session).isNotNull()
         & F.col(time_col).isNotNull()
     ).select(session, *order, "event_type")
-    paired = with_previous(marks, session, order, ["event_type", time_col], rows_per_chunk)
+    paired = with_previous(
+        marks, session, order, ["event_type", time_col], rows_per_chunk,
+        sample_fraction=sample_fraction,
+    )
     return paired.filter(
         (F.col("event_type") == end_type) & (F.col("prev_event_type") == start_type)
     ).select(

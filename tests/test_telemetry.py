@@ -84,13 +84,15 @@ def plain_lag(df, key, order, carry):
     return df.withColumns({f"prev_{c}": F.lag(c).over(w) for c in carry})
 
 
-@pytest.mark.parametrize("rows_per_chunk", [1, 7, 50, 10_000_000])
-def test_with_previous_matches_plain_lag(spark, rows_per_chunk):
+@pytest.mark.parametrize(
+    "rows_per_chunk,fraction", [(1, 1.0), (7, 1.0), (50, 1.0), (10_000_000, 1.0), (5, 0.3), (2, 0.05)]
+)
+def test_with_previous_matches_plain_lag(spark, rows_per_chunk, fraction):
     t = telemetry_from_events(events(spark, "/root/testdata/sf0.001")).select(
         "sessionId", "timestamp", "seq", "event_type")
     want = plain_lag(t, "sessionId", ["timestamp", "seq"], ["event_type", "timestamp"])
     got = with_previous(t, "sessionId", ["timestamp", "seq"], ["event_type", "timestamp"],
-                        rows_per_chunk=rows_per_chunk)
+                        rows_per_chunk=rows_per_chunk, sample_fraction=fraction)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
 
@@ -105,6 +107,8 @@ def test_hot_session_split_matches_brute_force(spark):
     want = want.select("sessionId", F.col("prev_timestamp").alias("started_at"),
                        F.col("timestamp").alias("ended_at"),
                        (F.col("timestamp") - F.col("prev_timestamp")).alias("duration_ms"))
-    got = buffering_intervals(t, order=("timestamp", "seq"), rows_per_chunk=100)
-    assert got.count() == want.count()
-    assert got.exceptAll(want).count() == 0
+    for fraction in (1.0, 0.1):  # exact bounds, and bounds from a sample
+        got = buffering_intervals(t, order=("timestamp", "seq"), rows_per_chunk=100,
+                                  sample_fraction=fraction)
+        assert got.count() == want.count()
+        assert got.exceptAll(want).count() == 0
