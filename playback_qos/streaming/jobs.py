@@ -43,6 +43,38 @@ def dedupe_stream(df: DataFrame, keys: Sequence[str] = KEYS, late_days: int | No
     )
 
 
+def dedupe_first_stream(
+    df: DataFrame,
+    keys: Sequence[str] = KEYS,
+    order: Sequence[str] = ("serverTimestamp", "agentTimestamp"),
+    late_days: int = 1,
+) -> DataFrame:
+    """Deterministic streaming dedupe: per key, the row first by ``order``.
+
+    An event-time aggregation (``min_by`` per key and day) under a watermark
+    of ``late_days`` on the event day, in append mode: each key's row is
+    emitted once its day is closed, and the day's state is then dropped. Spark
+    plans a partial aggregate before the state shuffle, so a hot key reaches
+    the state store as one row per map task. The price is latency (a day plus
+    ``late_days``); rows with a null ``eventDate`` never close and are not
+    emitted, so use it after validation (Silver), where the date is required.
+    """
+    keys = list(keys)
+    columns = df.columns
+    payload = [c for c in columns if c not in keys]
+    day = F.to_timestamp(F.col("eventDate"))
+    order_struct = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    best = F.min_by(F.struct(*[F.col(c) for c in payload]), order_struct).alias("_best")
+    out = {c: F.col(c) for c in keys} | {c: F.col(f"_best.{c}").alias(c) for c in payload}
+    return (
+        df.withColumn(_DAY, day)
+        .withWatermark(_DAY, f"{int(late_days)} days")
+        .groupBy(*keys, _DAY)
+        .agg(best)
+        .select(*[out[c] for c in columns])
+    )
+
+
 def stream_bronze(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                   trigger: str | None = "30 seconds", late_days: int | None = None,
                   max_files_per_trigger: int | None = None,
@@ -78,11 +110,26 @@ def stream_validation(spark: SparkSession, layout: Layout, bounds: Q.Bounds = Q.
 def stream_silver(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                   trigger: str | None = "30 seconds", late_days: int | None = None,
                   max_files_per_trigger: int | None = None,
-                  tier_type: T.DataType = DISTRIBUTION) -> StreamingQuery:
-    """Validated stream -> clamp, tiers, flatten -> dedupe -> Silver."""
+                  tier_type: T.DataType = DISTRIBUTION,
+                  dedupe_mode: str = "first_seen") -> StreamingQuery:
+    """Validated stream -> clamp, tiers, flatten -> dedupe -> Silver.
+
+    ``dedupe_mode="first_seen"`` keeps the first arriving row per key
+    (reference behaviour); ``"first_by_order"`` keeps the earliest by server
+    and agent time, deterministically, emitted when the day closes (needs
+    ``late_days``).
+    """
     valid = TB.read_stream(spark, layout.validated, raw_schema(tier_type), fmt,
                            max_files_per_trigger)
-    out = dedupe_stream(S.silver_rows(valid), KEYS, late_days)
+    flat = S.silver_rows(valid)
+    if dedupe_mode == "first_seen":
+        out = dedupe_stream(flat, KEYS, late_days)
+    elif dedupe_mode == "first_by_order":
+        if late_days is None:
+            raise ValueError("first_by_order needs late_days (the watermark delay)")
+        out = dedupe_first_stream(flat, KEYS, late_days=late_days)
+    else:
+        raise ValueError(f"unknown dedupe_mode {dedupe_mode!r}")
     return K.append_stream(out, layout.silver, layout.checkpoint("bronze_to_silver"), fmt,
                            "eventDate", trigger, name="bronze_to_silver")
 
