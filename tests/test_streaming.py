@@ -230,3 +230,25 @@ def test_deterministic_stream_dedupe_matches_batch_first(spark, tmp_dir):
     assert want.count() > 0
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_interval_state_survives_restart(spark, tmp_dir):
+    layout = Layout(tmp_dir)
+    tele = X.telemetry_from_events(X.events(spark, SF)).drop("seq")
+    ms = tele.approxQuantile("timestamp", [0.33, 0.66], 0.01)
+    parts = [tele.filter(F.col("timestamp") < ms[0]),
+             tele.filter((F.col("timestamp") >= ms[0]) & (F.col("timestamp") < ms[1])),
+             tele.filter(F.col("timestamp") >= ms[1])]
+    for p in parts[:2]:
+        p.coalesce(1).write.mode("append").parquet(layout.telemetry)
+    J.stream_buffering_intervals(spark, layout, trigger="available_now",
+                                 max_files_per_trigger=1).awaitTermination()
+    first = read_table(spark, layout.buffering_intervals).count()
+    parts[2].coalesce(1).write.mode("append").parquet(layout.telemetry)
+    # a new query object on the same checkpoint: state is restored from RocksDB
+    J.stream_buffering_intervals(spark, layout, trigger="available_now",
+                                 max_files_per_trigger=1).awaitTermination()
+    got = read_table(spark, layout.buffering_intervals)
+    want = TM.buffering_intervals(tele)
+    assert first < got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
