@@ -1,7 +1,7 @@
 """Benchmark the headline queries.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2). Each query runs to completion through the
+BENCH_REPEAT (default 3). Each query runs to completion through the
 ``noop`` sink (full plan, nothing collected); the reported time per query
 is the best of BENCH_REPEAT runs after one warm-up pass. Prints ONE JSON line.
 """
@@ -38,7 +38,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_spark(
         app_name="playback-qos-bench",
         master=f"local[{cpus}]",
