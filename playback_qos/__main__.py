@@ -35,6 +35,8 @@ def main(argv=None) -> None:
     run.add_argument("--late-days", type=int, default=None)
     run.add_argument("--gold-mode", choices=["complete", "merge"], default="complete")
     run.add_argument("--tier-type", choices=sorted(TIER_TYPES), default="struct")
+    run.add_argument("--salt-buckets", type=int, default=None,
+                     help="split hot keys in the streaming dedupes over N buckets")
     bat = sub.add_parser("batch", help="rebuild every layer table from source_raw, each once")
     bat.add_argument("--base", required=True)
     bat.add_argument("--fmt", default="parquet")
@@ -59,15 +61,18 @@ def main(argv=None) -> None:
         return
     if args.available_now:
         jobs.run_available_now(spark, layout, args.fmt, late_days=args.late_days,
-                               tier_type=tier, gold_mode=args.gold_mode)
+                               tier_type=tier, gold_mode=args.gold_mode,
+                               salt_buckets=args.salt_buckets)
         return
     # long-running: every stage at once; each reads its input table as it grows
     for path in (layout.source_raw, layout.bronze, layout.validated, layout.silver):
         ensure_dir(spark, path)
     queries = [
-        jobs.stream_bronze(spark, layout, args.fmt, args.trigger, args.late_days, tier_type=tier),
+        jobs.stream_bronze(spark, layout, args.fmt, args.trigger, args.late_days, tier_type=tier,
+                           salt_buckets=args.salt_buckets),
         jobs.stream_validation(spark, layout, fmt=args.fmt, trigger=args.trigger, tier_type=tier),
-        jobs.stream_silver(spark, layout, args.fmt, args.trigger, args.late_days, tier_type=tier),
+        jobs.stream_silver(spark, layout, args.fmt, args.trigger, args.late_days, tier_type=tier,
+                           salt_buckets=args.salt_buckets),
         *jobs.stream_gold(spark, layout, args.fmt, args.trigger, tier_type=tier,
                           mode=args.gold_mode, late_days=args.late_days),
     ]

@@ -23,24 +23,44 @@ from playback_qos.streaming.layout import Layout
 from playback_qos.streaming.state import buffering_intervals_stream
 
 _DAY = "_event_day"
+_SALT = "_salt"
 
 
-def dedupe_stream(df: DataFrame, keys: Sequence[str] = KEYS, late_days: int | None = None) -> DataFrame:
-    """Streaming dedupe on ``keys``.
+def _has_map(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return True
+    if isinstance(dt, T.StructType):
+        return any(_has_map(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _has_map(dt.elementType)
+    return False
+
+
+def dedupe_stream(df: DataFrame, keys: Sequence[str] = KEYS, late_days: int | None = None,
+                  salt_buckets: int | None = None) -> DataFrame:
+    """Streaming dedupe on ``keys`` (first arriving row per key survives).
 
     ``late_days=None`` keeps every key in state forever (reference behaviour).
     ``late_days=n`` adds a watermark on the event day and puts that day in the
     key: same result for data at most ``n`` days late, state evicted per day,
     later rows dropped by the watermark.
+
+    ``salt_buckets=n`` splits hot keys: a first stateful dedupe on
+    (keys, hash(row) mod n) spreads one key's rows over n tasks and lets at
+    most n rows per key through, ever; the second dedupe on ``keys`` then
+    keeps one. Without it, all rows of a key in a micro-batch meet in one task.
     """
-    if late_days is None:
-        return df.dropDuplicates(list(keys))
-    return (
-        df.withColumn(_DAY, F.to_timestamp(F.col("eventDate")))
-        .withWatermark(_DAY, f"{int(late_days)} days")
-        .dropDuplicates([*keys, _DAY])
-        .drop(_DAY)
-    )
+    keys = list(keys)
+    if late_days is not None:
+        df = df.withColumn(_DAY, F.to_timestamp(F.col("eventDate"))).withWatermark(
+            _DAY, f"{int(late_days)} days")
+        keys = [*keys, _DAY]
+    if salt_buckets:
+        hashable = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(int(salt_buckets)))
+        df = df.withColumn(_SALT, salt).dropDuplicates([*keys, _SALT]).drop(_SALT)
+    out = df.dropDuplicates(keys)
+    return out.drop(_DAY) if late_days is not None else out
 
 
 def dedupe_first_stream(
@@ -78,14 +98,15 @@ def dedupe_first_stream(
 def stream_bronze(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                   trigger: str | None = "30 seconds", late_days: int | None = None,
                   max_files_per_trigger: int | None = None,
-                  tier_type: T.DataType = DISTRIBUTION) -> StreamingQuery:
+                  tier_type: T.DataType = DISTRIBUTION,
+                  salt_buckets: int | None = None) -> StreamingQuery:
     """Raw table stream -> id filter -> dedupe -> Bronze (partitioned by eventDate).
 
     ``tier_type`` is the value type of ``qualityDistribution`` in the source.
     """
     raw = TB.read_stream(spark, layout.source_raw, raw_schema(tier_type), fmt,
                          max_files_per_trigger)
-    out = dedupe_stream(B.minimal_validation(raw), KEYS, late_days)
+    out = dedupe_stream(B.minimal_validation(raw), KEYS, late_days, salt_buckets)
     return K.append_stream(out, layout.bronze, layout.checkpoint("source_to_bronze"), fmt,
                            "eventDate", trigger, name="source_to_bronze")
 
@@ -111,7 +132,8 @@ def stream_silver(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                   trigger: str | None = "30 seconds", late_days: int | None = None,
                   max_files_per_trigger: int | None = None,
                   tier_type: T.DataType = DISTRIBUTION,
-                  dedupe_mode: str = "first_seen") -> StreamingQuery:
+                  dedupe_mode: str = "first_seen",
+                  salt_buckets: int | None = None) -> StreamingQuery:
     """Validated stream -> clamp, tiers, flatten -> dedupe -> Silver.
 
     ``dedupe_mode="first_seen"`` keeps the first arriving row per key
@@ -123,7 +145,7 @@ def stream_silver(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                            max_files_per_trigger)
     flat = S.silver_rows(valid)
     if dedupe_mode == "first_seen":
-        out = dedupe_stream(flat, KEYS, late_days)
+        out = dedupe_stream(flat, KEYS, late_days, salt_buckets)
     elif dedupe_mode == "first_by_order":
         if late_days is None:
             raise ValueError("first_by_order needs late_days (the watermark delay)")
@@ -193,16 +215,19 @@ def await_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -
 def run_available_now(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                       bounds: Q.Bounds = Q.DEFAULT_BOUNDS, late_days: int | None = None,
                       quality_order: str = "lexical",
-                      tier_type: T.DataType = DISTRIBUTION, gold_mode: str = "complete") -> None:
+                      tier_type: T.DataType = DISTRIBUTION, gold_mode: str = "complete",
+                      salt_buckets: int | None = None) -> None:
     """Run the four stages in order, each draining what is available, then stop.
 
     Re-running processes only new input (checkpoints), so this is the batch
     schedule of the same streaming chain.
     """
     now = "available_now"
-    await_all([stream_bronze(spark, layout, fmt, now, late_days, tier_type=tier_type)])
+    await_all([stream_bronze(spark, layout, fmt, now, late_days, tier_type=tier_type,
+                             salt_buckets=salt_buckets)])
     await_all([stream_validation(spark, layout, bounds, fmt, now, tier_type=tier_type)])
-    await_all([stream_silver(spark, layout, fmt, now, late_days, tier_type=tier_type)])
+    await_all([stream_silver(spark, layout, fmt, now, late_days, tier_type=tier_type,
+                             salt_buckets=salt_buckets)])
     await_all(stream_gold(spark, layout, fmt, now, quality_order, tier_type=tier_type,
                           mode=gold_mode, late_days=late_days))
 
