@@ -118,3 +118,18 @@ def test_gold_schema_order(spark):
         "total_received_data", "avg_buffering_ratio", "avg_p2p_share", "event_count",
         "max_quality", "buffering_ratio",
     ]
+
+
+def test_max_quality_follows_the_chosen_order(spark):
+    df = silver_df(
+        spark,
+        [
+            silver_row(client="a", tiers=(None, None, None, None, 1)),  # 1080p only
+            silver_row(client="b", tiers=(None, None, None, 1, None)),  # 720p only
+            silver_row(client="c", tiers=(None, None, None, None, None)),  # none
+        ],
+    )
+    assert viewer_qos(df).collect()[0]["max_quality"] == "720p"
+    assert viewer_qos(df, "height").collect()[0]["max_quality"] == "1080p"
+    none = silver_df(spark, [silver_row(tiers=(None, None, None, None, None))])
+    assert viewer_qos(none).collect()[0]["max_quality"] is None
