@@ -137,15 +137,16 @@ def write_layers(
     cuts the lineage there: a lost executor only recomputes the layer in
     progress, and Bronze's dedupe shuffle is not repeated for each output.
     The rule counts are observed while the validated rows are written (one
-    pass). Day-partitioned tables use dynamic partition overwrite, so a
-    backfill of some days replaces only those days.
+    pass) and appended to the DQ audit table. Day-partitioned tables use
+    dynamic partition overwrite, so a backfill of some days replaces only
+    those days.
     """
     from pyspark.sql import functions as F
 
     from playback_qos.schema import silver_schema
 
-    def write(df: DataFrame, path: str, partitioned: bool = True) -> None:
-        w = df.write.mode("overwrite").format(fmt)
+    def write(df: DataFrame, path: str, partitioned: bool = True, mode: str = "overwrite") -> None:
+        w = df.write.mode(mode).format(fmt)
         if partitioned:
             w = w.partitionBy("eventDate").option("partitionOverwriteMode", "dynamic")
         w.save(path)
@@ -155,7 +156,9 @@ def write_layers(
 
     valid, obs = Q.observed_valid_rows(bronze, bounds)
     write(valid, layout.validated)
-    write(Q.dq_from_observation(spark, obs, bronze.schema), layout.dq_results, partitioned=False)
+    # DQ rows are an audit log: each run appends its four rows (run_timestamp)
+    write(Q.dq_from_observation(spark, obs, bronze.schema), layout.dq_results,
+          partitioned=False, mode="append")
 
     validated = spark.read.format(fmt).schema(raw.schema).load(layout.validated)
     write(silver_layer(validated, deterministic=deterministic, dedupe=False), layout.silver)

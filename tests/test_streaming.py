@@ -199,9 +199,10 @@ def test_write_layers_matches_lazy_chain(spark, tmp_dir):
     want = {r["rule_name"]: (r["passed_count"], r["failed_count"])
             for r in chain.dq_results.collect()}
     assert dq == want
-    # a second run (backfill) replaces, it does not append
+    # a second run (backfill) replaces the day tables and appends its DQ rows
     L.write_layers(spark, raw, layout)
     assert read_table(spark, layout.gold_viewer).count() == chain.viewer_qos.count()
+    assert read_table(spark, layout.dq_results).count() == 8
 
 
 def test_deterministic_stream_dedupe_matches_batch_first(spark, tmp_dir):
