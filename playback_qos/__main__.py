@@ -25,6 +25,9 @@ TIER_TYPES = {"struct": DISTRIBUTION, "long": T.LongType(), "int": T.IntegerType
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="playback_qos")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="spark.sql.shuffle.partitions (a stateful stream keeps the value of "
+                         "its first start)")
     sub = ap.add_subparsers(dest="cmd", required=True)
     run = sub.add_parser("run", help="start the bronze/validation/silver/gold streams")
     run.add_argument("--base", required=True, help="shared base directory of all tables")
@@ -48,7 +51,12 @@ def main(argv=None) -> None:
     exp.add_argument("--fmt", default="parquet")
     args = ap.parse_args(argv)
 
-    spark = get_spark()
+    conf = {}
+    if args.shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(args.shuffle_partitions)
+    spark = get_spark(conf=conf)
+    for key, value in conf.items():  # also when the session already existed
+        spark.conf.set(key, value)
     if args.cmd == "export":
         export_gold(spark, args.src, args.dst, args.fmt)
         return

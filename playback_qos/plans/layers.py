@@ -157,8 +157,10 @@ def write_layers(
     valid, obs = Q.observed_valid_rows(bronze, bounds)
     write(valid, layout.validated)
     # DQ rows are an audit log: each run appends its four rows (run_timestamp)
-    write(Q.dq_from_observation(spark, obs, bronze.schema), layout.dq_results,
-          partitioned=False, mode="append")
+    dq = Q.dq_from_observation(spark, obs, bronze.schema)
+    if dq is None:
+        dq = Q.dq_results(bronze, bounds)
+    write(dq, layout.dq_results, partitioned=False, mode="append")
 
     validated = spark.read.format(fmt).schema(raw.schema).load(layout.validated)
     write(silver_layer(validated, deterministic=deterministic, dedupe=False), layout.silver)

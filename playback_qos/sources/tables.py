@@ -38,16 +38,25 @@ def read_stream(
     schema: T.StructType = RAW,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    partition_cols: tuple = ("eventDate",),
 ) -> DataFrame:
     """Streaming scan of a table directory: all existing files first, then appends.
 
     File streams need a schema up front. ``max_files_per_trigger`` bounds a
     micro-batch (and with it the work any one key can bring to one task).
+
+    The schema is declared with the partition columns last, which is the
+    order Spark produces for a partitioned directory; the result is then
+    selected back into ``schema``'s order. (Declared in the middle, an empty
+    micro-batch comes out with names in one order and types in the other.)
     """
-    reader = spark.readStream.format(fmt).schema(schema)
+    head = [f for f in schema.fields if f.name not in partition_cols]
+    tail = [f for f in schema.fields if f.name in partition_cols]
+    reader = spark.readStream.format(fmt).schema(T.StructType(head + tail))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    df = reader.load(path)
+    return df.select(*schema.fieldNames()) if tail else df
 
 
 def read_raw_stream(spark, path, fmt="parquet", **kw) -> DataFrame:

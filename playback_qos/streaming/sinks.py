@@ -99,9 +99,8 @@ def validation_batch_writer(
         wrote = write_batch_once(spark, valid_df, validated_path, batch_id, fmt)
         if dq_done:
             return
-        if wrote:
-            dq = Q.dq_from_observation(spark, holder["obs"], batch_df.schema)
-        else:  # valid rows were committed by an earlier attempt
+        dq = Q.dq_from_observation(spark, holder["obs"], batch_df.schema) if wrote else None
+        if dq is None:  # committed by an earlier attempt, or no metrics (empty batch)
             dq = Q.dq_results(batch_df, bounds)
         dq.write.mode("overwrite").format(fmt).save(dq_target)
 

@@ -275,3 +275,38 @@ def test_salted_stream_dedupe_splits_hot_key(spark, tmp_dir):
     want = L.bronze_layer(spark.read.schema(RAW).parquet(layout.source_raw), deterministic=False)
     assert bronze.count() == bronze.select(*KEYS).distinct().count()
     assert keyset(bronze) == keyset(want)
+
+
+def test_concurrent_processing_time_streams(spark, tmp_dir):
+    """Bronze and validation running at once (empty first batches included)."""
+    import time
+
+    from playback_qos.streaming.sinks import ensure_dir
+
+    layout = Layout(tmp_dir)
+    X.raw_fixture(spark, SF).write.parquet(layout.source_raw)
+    for p in (layout.bronze, layout.validated):
+        ensure_dir(spark, p)
+    qb = J.stream_bronze(spark, layout, trigger="2 seconds", tier_type=LONG)
+    qv = J.stream_validation(spark, layout, trigger="2 seconds", tier_type=LONG)
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline:
+            time.sleep(2)
+            assert qv.exception() is None and qb.exception() is None
+            try:  # the tables may not have a committed file yet
+                dq = read_table(spark, layout.dq_results)
+                done = dq.filter("rule_name = 'required_fields_not_null'").agg(
+                    F.sum(F.col("passed_count") + F.col("failed_count"))).first()[0]
+                n = read_table(spark, layout.bronze).count()
+            except Exception:  # noqa: BLE001
+                continue
+            if done and done == n:
+                break
+        else:
+            raise AssertionError("validation did not catch up with bronze")
+    finally:
+        qb.stop()
+        qv.stop()
+    bronze = read_table(spark, layout.bronze)
+    assert read_table(spark, layout.validated).count() == Q.valid_rows(bronze).count()
