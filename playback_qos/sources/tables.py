@@ -39,6 +39,7 @@ def read_stream(
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
     partition_cols: tuple = ("eventDate",),
+    batch_partitioned: bool = False,
 ) -> DataFrame:
     """Streaming scan of a table directory: all existing files first, then appends.
 
@@ -49,9 +50,16 @@ def read_stream(
     order Spark produces for a partitioned directory; the result is then
     selected back into ``schema``'s order. (Declared in the middle, an empty
     micro-batch comes out with names in one order and types in the other.)
+
+    ``batch_partitioned`` is for tables written by per-batch writers
+    (``<table>/batch_id=<n>/``): the ``batch_id`` partition column is
+    declared too, so the stream has the same schema whether or not such
+    directories exist when it starts, and is then dropped.
     """
     head = [f for f in schema.fields if f.name not in partition_cols]
     tail = [f for f in schema.fields if f.name in partition_cols]
+    if batch_partitioned:
+        tail = tail + [T.StructField("batch_id", T.IntegerType())]
     reader = spark.readStream.format(fmt).schema(T.StructType(head + tail))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -59,6 +67,12 @@ def read_stream(
     return df.select(*schema.fieldNames()) if tail else df
 
 
+def read_batch_table_stream(spark, path, schema, fmt="parquet", max_files_per_trigger=None):
+    """Stream over a table written under ``batch_id=<n>`` directories."""
+    return read_stream(spark, path, schema, fmt, max_files_per_trigger, partition_cols=(),
+                       batch_partitioned=True)
+
+
 def read_raw_stream(spark, path, fmt="parquet", **kw) -> DataFrame:
     return read_stream(spark, path, RAW, fmt, **kw)
 

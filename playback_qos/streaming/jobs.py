@@ -141,8 +141,8 @@ def stream_silver(spark: SparkSession, layout: Layout, fmt: str = "parquet",
     and agent time, deterministically, emitted when the day closes (needs
     ``late_days``).
     """
-    valid = TB.read_stream(spark, layout.validated, raw_schema(tier_type), fmt,
-                           max_files_per_trigger)
+    valid = TB.read_batch_table_stream(spark, layout.validated, raw_schema(tier_type), fmt,
+                                       max_files_per_trigger)
     flat = S.silver_rows(valid)
     if dedupe_mode == "first_seen":
         out = dedupe_stream(flat, KEYS, late_days, salt_buckets)
@@ -278,7 +278,8 @@ def stream_buffering_intervals(spark: SparkSession, layout: Layout, fmt: str = "
                                trigger: str | None = None, order=("timestamp",),
                                max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Accepted telemetry stream -> buffering intervals (stateful, append)."""
-    tele = TB.read_stream(spark, layout.telemetry, TELEMETRY, fmt, max_files_per_trigger)
+    tele = TB.read_batch_table_stream(spark, layout.telemetry, TELEMETRY, fmt,
+                                      max_files_per_trigger)
     out = buffering_intervals_stream(tele, order)
     return K.append_stream(out, layout.buffering_intervals,
                            layout.checkpoint("buffering_intervals"), fmt, None, trigger,
