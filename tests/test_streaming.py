@@ -289,11 +289,14 @@ def test_concurrent_processing_time_streams(spark, tmp_dir):
         ensure_dir(spark, p)
     qb = J.stream_bronze(spark, layout, trigger="2 seconds", tier_type=LONG)
     qv = J.stream_validation(spark, layout, trigger="2 seconds", tier_type=LONG)
+    # silver starts while its input has no batch_id=<n> directories yet
+    qs = J.stream_silver(spark, layout, trigger="2 seconds", tier_type=LONG)
     try:
-        deadline = time.time() + 90
+        deadline = time.time() + 120
         while time.time() < deadline:
             time.sleep(2)
-            assert qv.exception() is None and qb.exception() is None
+            for q in (qb, qv, qs):
+                assert q.exception() is None
             try:  # the tables may not have a committed file yet
                 dq = read_table(spark, layout.dq_results)
                 done = dq.filter("rule_name = 'required_fields_not_null'").agg(
@@ -302,11 +305,19 @@ def test_concurrent_processing_time_streams(spark, tmp_dir):
             except Exception:  # noqa: BLE001
                 continue
             if done and done == n:
-                break
+                try:
+                    n_silver = read_table(spark, layout.silver, schema=SILVER).count()
+                except Exception:  # noqa: BLE001
+                    continue
+                n_valid = read_table(spark, layout.validated).count()
+                if n_silver == n_valid:
+                    break
         else:
-            raise AssertionError("validation did not catch up with bronze")
+            raise AssertionError("the stages did not catch up")
     finally:
-        qb.stop()
-        qv.stop()
+        for q in (qb, qv, qs):
+            q.stop()
     bronze = read_table(spark, layout.bronze)
     assert read_table(spark, layout.validated).count() == Q.valid_rows(bronze).count()
+    silver = read_table(spark, layout.silver, schema=SILVER)
+    assert silver.count() == silver.select(*KEYS).distinct().count()
