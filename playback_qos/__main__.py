@@ -1,7 +1,8 @@
 """Command line: run the streaming chain, or export Gold.
 
-  python -m playback_qos run --base DIR [--trigger "30 seconds" | --available-now]
-                             [--late-days N] [--gold-mode complete|merge] [--fmt parquet]
+  python -m playback_qos [--shuffle-partitions N] run --base DIR
+        [--trigger "30 seconds" | --available-now] [--late-days N]
+        [--gold-mode complete|merge] [--salt-buckets N] [--telemetry-in DIR] [--fmt parquet]
   python -m playback_qos batch --base DIR [--since YYYY-MM-DD] [--fmt parquet]
   python -m playback_qos export --src DIR --dst DIR
 """
@@ -40,6 +41,9 @@ def main(argv=None) -> None:
     run.add_argument("--tier-type", choices=sorted(TIER_TYPES), default="struct")
     run.add_argument("--salt-buckets", type=int, default=None,
                      help="split hot keys in the streaming dedupes over N buckets")
+    run.add_argument("--telemetry-in", default=None,
+                     help="directory of player JSON-lines logs: also run the contract split "
+                          "and the buffering-interval pairing")
     bat = sub.add_parser("batch", help="rebuild every layer table from source_raw, each once")
     bat.add_argument("--base", required=True)
     bat.add_argument("--fmt", default="parquet")
@@ -71,6 +75,10 @@ def main(argv=None) -> None:
         jobs.run_available_now(spark, layout, args.fmt, late_days=args.late_days,
                                tier_type=tier, gold_mode=args.gold_mode,
                                salt_buckets=args.salt_buckets)
+        if args.telemetry_in:
+            now = "available_now"
+            jobs.await_all([jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, now)])
+            jobs.await_all([jobs.stream_buffering_intervals(spark, layout, args.fmt, now)])
         return
     # long-running: every stage at once; each reads its input table as it grows
     for path in (layout.source_raw, layout.bronze, layout.validated, layout.silver):
@@ -84,6 +92,13 @@ def main(argv=None) -> None:
         *jobs.stream_gold(spark, layout, args.fmt, args.trigger, tier_type=tier,
                           mode=args.gold_mode, late_days=args.late_days),
     ]
+    if args.telemetry_in:
+        ensure_dir(spark, args.telemetry_in)
+        ensure_dir(spark, layout.telemetry)
+        queries += [
+            jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, args.trigger),
+            jobs.stream_buffering_intervals(spark, layout, args.fmt, args.trigger),
+        ]
     spark.streams.awaitAnyTermination()
     jobs.await_all(queries, timeout=1)
 
