@@ -37,7 +37,7 @@ def main(argv=None) -> None:
     run.add_argument("--available-now", action="store_true",
                      help="drain the available input through the four stages in order, then stop")
     run.add_argument("--late-days", type=int, default=None)
-    run.add_argument("--gold-mode", choices=["complete", "merge"], default="complete")
+    run.add_argument("--gold-mode", choices=["complete", "merge"], default="merge")
     run.add_argument("--tier-type", choices=sorted(TIER_TYPES), default="struct")
     run.add_argument("--salt-buckets", type=int, default=None,
                      help="split hot keys in the streaming dedupes over N buckets")

@@ -159,17 +159,18 @@ def stream_silver(spark: SparkSession, layout: Layout, fmt: str = "parquet",
 def stream_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                 trigger: str | None = None, quality_order: str = "lexical",
                 max_files_per_trigger: int | None = None,
-                tier_type: T.DataType = DISTRIBUTION, mode: str = "complete",
+                tier_type: T.DataType = DISTRIBUTION, mode: str = "merge",
                 late_days: int | None = None) -> list[StreamingQuery]:
     """Silver stream -> QoS fields -> two daily aggregates (viewer, content).
 
     One scan definition, two queries with independent checkpoints and state.
 
+    * ``mode="merge"`` (default): update-mode aggregation emits only changed
+      groups and :func:`sinks.partition_merge_writer` rewrites only the days
+      they touch, so a trigger's cost follows the new data, not the table
+      size. The table content is the same as in complete mode.
     * ``mode="complete"`` (reference behaviour): every trigger rewrites the
       whole Gold table from the full state.
-    * ``mode="merge"``: update-mode aggregation emits only changed groups and
-      :func:`sinks.partition_merge_writer` rewrites only the days they touch,
-      so a trigger's cost follows the new data, not the table size.
       ``late_days`` adds a watermark on the event day, so state for days
       older than that is evicted (later rows for them are dropped).
     """
@@ -215,7 +216,7 @@ def await_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -
 def run_available_now(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                       bounds: Q.Bounds = Q.DEFAULT_BOUNDS, late_days: int | None = None,
                       quality_order: str = "lexical",
-                      tier_type: T.DataType = DISTRIBUTION, gold_mode: str = "complete",
+                      tier_type: T.DataType = DISTRIBUTION, gold_mode: str = "merge",
                       salt_buckets: int | None = None) -> None:
     """Run the four stages in order, each draining what is available, then stop.
 

@@ -158,14 +158,18 @@ def test_telemetry_stream_contract_and_intervals(spark, tmp_dir):
     assert got.exceptAll(want).count() == 0
 
 
-def test_gold_merge_mode_matches_batch(spark, tmp_dir):
-    """Update-mode Gold merged into day partitions over several micro-batches."""
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("mode", ["merge", "complete"])
+def test_gold_stream_modes_match_batch(spark, tmp_dir, mode):
+    """Gold over several micro-batches, merged into days or fully rewritten."""
     layout = Layout(tmp_dir)
     silver = X.silver_from_events(X.events(spark, SF)).withColumn(
         "seq", F.col("serverTimestamp"))
     cuts = [1704067200000 + k * 1000 for k in (250, 500, 750)]
     write_parts(silver, layout.silver, cuts)
-    qs = J.stream_gold(spark, layout, trigger="available_now", tier_type=LONG, mode="merge",
+    qs = J.stream_gold(spark, layout, trigger="available_now", tier_type=LONG, mode=mode,
                        max_files_per_trigger=1)
     J.await_all(qs)
     flat = spark.read.schema(SILVER).parquet(layout.silver)
@@ -175,6 +179,8 @@ def test_gold_merge_mode_matches_batch(spark, tmp_dir):
         got = got.select(*want.columns)
         assert got.count() == want.count()
         assert got.exceptAll(want).count() == 0
+    if mode != "merge":
+        return
     # a replay of a finished batch changes nothing
     from playback_qos.streaming.sinks import partition_merge_writer
     before = read_table(spark, layout.gold_viewer).count()
