@@ -68,9 +68,10 @@ def read_stream(
 
 
 def read_batch_table_stream(spark, path, schema, fmt="parquet", max_files_per_trigger=None):
-    """Stream over a table written under ``batch_id=<n>`` directories."""
+    """Stream over a table written by a per-batch writer (``batch_id=<n>``
+    directories; a Delta table is appended to directly)."""
     return read_stream(spark, path, schema, fmt, max_files_per_trigger, partition_cols=(),
-                       batch_partitioned=True)
+                       batch_partitioned=fmt != "delta")
 
 
 def read_raw_stream(spark, path, fmt="parquet", **kw) -> DataFrame:
