@@ -37,6 +37,37 @@ def add_qos_fields(df: DataFrame, quality_order: str = "lexical") -> DataFrame:
     )
 
 
+def _measures(quality_order: str) -> list:
+    return [
+        F.sum("bufferingTime").cast("bigint").alias("total_buffering_time"),
+        F.sum("bufferings").cast("bigint").alias("total_bufferings"),
+        F.sum("total_received_data").cast("bigint").alias("total_received_data"),
+        F.avg("buffering_ratio").alias("avg_buffering_ratio"),
+        F.avg("p2p_share").alias("avg_p2p_share"),
+        F.count(F.lit(1)).alias("event_count"),
+        F.max(quality_rank("dominant_quality", quality_order)).alias("_max_rank"),
+    ]
+
+
+_MEASURES_OUT = [
+    "total_buffering_time",
+    "total_bufferings",
+    "total_received_data",
+    "avg_buffering_ratio",
+    "avg_p2p_share",
+    "event_count",
+]
+
+
+def _finish(quality_order: str) -> list:
+    """Post-aggregate columns: tier name from its rank, ratio of sums."""
+    return [
+        *_MEASURES_OUT,
+        quality_name("_max_rank", quality_order).alias("max_quality"),
+        ratio_or_zero("total_buffering_time", "total_received_data").alias("buffering_ratio"),
+    ]
+
+
 def qos_by(
     df: DataFrame,
     key: str,
@@ -54,21 +85,36 @@ def qos_by(
     ``extra_keys`` are carried through the grouping (e.g. an event-time column
     a streaming watermark needs); they must be functions of the date.
     """
-    agg = df.groupBy(key, date_col, *extra_keys).agg(
-        F.sum("bufferingTime").cast("bigint").alias("total_buffering_time"),
-        F.sum("bufferings").cast("bigint").alias("total_bufferings"),
-        F.sum("total_received_data").cast("bigint").alias("total_received_data"),
-        F.avg("buffering_ratio").alias("avg_buffering_ratio"),
-        F.avg("p2p_share").alias("avg_p2p_share"),
-        F.count(F.lit(1)).alias("event_count"),
-        F.max(quality_rank("dominant_quality", quality_order)).alias("_max_rank"),
-    )
-    cols = [c for c in agg.columns if c != "_max_rank"]
-    return agg.select(
-        *cols[: cols.index("event_count") + 1],
-        quality_name("_max_rank", quality_order).alias("max_quality"),
-        ratio_or_zero("total_buffering_time", "total_received_data").alias("buffering_ratio"),
+    agg = df.groupBy(key, date_col, *extra_keys).agg(*_measures(quality_order))
+    return agg.select(key, date_col, *extra_keys, *_finish(quality_order))
+
+
+def qos_by_both(
+    df: DataFrame,
+    keys=("customerId", "contentId"),
+    date_col: str = "eventDate",
+    quality_order: str = "lexical",
+) -> dict:
+    """Daily QoS per each of ``keys`` from ONE scan and ONE shuffle.
+
+    A grouping-sets aggregate ((k1, date), (k2, date)): Spark expands each
+    row once per set before the partial aggregate, so both Gold tables share
+    the scan of the input. Returns ``{key: DataFrame}`` views of the combined
+    result, told apart by ``grouping_id`` (a null key value stays a group of
+    its own). Persist the combined result before writing both views if the
+    input is expensive to scan twice.
+    """
+    keys = list(keys)
+    combined = df.groupingSets([[k, date_col] for k in keys], *keys, date_col).agg(
+        *_measures(quality_order), F.grouping_id().alias("_gid")
     )
+    out = {}
+    for i, k in enumerate(keys):
+        # grouping_id sets a bit for each column NOT in the set (first column = highest bit)
+        gid = sum(1 << (len(keys) - j) for j, other in enumerate(keys) if other != k)
+        view = combined.filter(F.col("_gid") == F.lit(gid))
+        out[k] = view.select(k, date_col, *_finish(quality_order))
+    return out, combined
 
 
 def viewer_qos(df: DataFrame, quality_order: str = "lexical") -> DataFrame:

@@ -137,10 +137,12 @@ def write_layers(
     cuts the lineage there: a lost executor only recomputes the layer in
     progress, and Bronze's dedupe shuffle is not repeated for each output.
     The rule counts are observed while the validated rows are written (one
-    pass) and appended to the DQ audit table. Day-partitioned tables use
+    pass) and appended to the DQ audit table. Both Gold tables come from one
+    grouping-sets aggregate over one Silver scan. Day-partitioned tables use
     dynamic partition overwrite, so a backfill of some days replaces only
     those days.
     """
+    from pyspark import StorageLevel
     from pyspark.sql import functions as F
 
     from playback_qos.schema import silver_schema
@@ -167,6 +169,17 @@ def write_layers(
 
     tier_type = raw.schema["qualityDistribution"].dataType.valueType
     silver = spark.read.format(fmt).schema(silver_schema(tier_type)).load(layout.silver)
-    for key, path in (("customerId", layout.gold_viewer), ("contentId", layout.gold_content)):
-        gold = gold_layer(silver, key, quality_order)
-        write(gold.select(*[c for c in gold.columns if c != "eventDate"], F.col("eventDate")), path)
+    # both Gold tables from one scan and one shuffle (grouping sets); the
+    # combined result is Gold-sized and kept for the two writes (recomputed
+    # from lineage if an executor holding it is lost)
+    views, combined = G.qos_by_both(
+        G.add_qos_fields(silver, quality_order), quality_order=quality_order
+    )
+    combined.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for key, path in (("customerId", layout.gold_viewer), ("contentId", layout.gold_content)):
+            gold = views[key]
+            write(gold.select(*[c for c in gold.columns if c != "eventDate"], F.col("eventDate")),
+                  path)
+    finally:
+        combined.unpersist()

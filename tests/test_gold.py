@@ -133,3 +133,18 @@ def test_max_quality_follows_the_chosen_order(spark):
     assert viewer_qos(df, "height").collect()[0]["max_quality"] == "1080p"
     none = silver_df(spark, [silver_row(tiers=(None, None, None, None, None))])
     assert viewer_qos(none).collect()[0]["max_quality"] is None
+
+
+
+def test_both_gold_tables_from_one_aggregate(spark):
+    from playback_qos.operators.gold import qos_by_both
+    from playback_qos.sources.fixtures import silver_fixture
+
+    s = add_qos_fields(silver_fixture(spark, "/root/testdata/sf0.001"))
+    views, _ = qos_by_both(s)
+    for key in ("customerId", "contentId"):
+        want = qos_by(s, key)
+        got = views[key]
+        assert got.columns == want.columns
+        assert got.count() == want.count()
+        assert got.exceptAll(want).count() == 0
