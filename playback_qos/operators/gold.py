@@ -108,13 +108,28 @@ def qos_by_both(
     combined = df.groupingSets([[k, date_col] for k in keys], *keys, date_col).agg(
         *_measures(quality_order), F.grouping_id().alias("_gid")
     )
+    return split_levels(combined, keys, date_col, quality_order), combined
+
+
+def split_levels(
+    combined: DataFrame, keys=("customerId", "contentId"), date_col: str = "eventDate",
+    quality_order: str = "lexical", trailing: int = 1,
+) -> dict:
+    """``{key: Gold rows}`` from a :func:`qos_by_both` result (or a micro-batch of it).
+
+    ``trailing`` is the number of grouping columns after the keys (the date,
+    plus any event-time column a watermark needed).
+    """
+    keys = list(keys)
+    width = len(keys) + trailing
     out = {}
-    for i, k in enumerate(keys):
-        # grouping_id sets a bit for each column NOT in the set (first column = highest bit)
-        gid = sum(1 << (len(keys) - j) for j, other in enumerate(keys) if other != k)
+    for k in keys:
+        # grouping_id sets a bit for each grouping column NOT in the set,
+        # the first grouping column being the highest bit
+        gid = sum(1 << (width - 1 - j) for j, other in enumerate(keys) if other != k)
         view = combined.filter(F.col("_gid") == F.lit(gid))
         out[k] = view.select(k, date_col, *_finish(quality_order))
-    return out, combined
+    return out
 
 
 def viewer_qos(df: DataFrame, quality_order: str = "lexical") -> DataFrame:

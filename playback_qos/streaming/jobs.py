@@ -160,10 +160,8 @@ def stream_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                 trigger: str | None = None, quality_order: str = "lexical",
                 max_files_per_trigger: int | None = None,
                 tier_type: T.DataType = DISTRIBUTION, mode: str = "merge",
-                late_days: int | None = None) -> list[StreamingQuery]:
-    """Silver stream -> QoS fields -> two daily aggregates (viewer, content).
-
-    One scan definition, two queries with independent checkpoints and state.
+                late_days: int | None = None, combined: bool = True) -> list[StreamingQuery]:
+    """Silver stream -> QoS fields -> daily aggregates per viewer and per content.
 
     * ``mode="merge"`` (default): update-mode aggregation emits only changed
       groups and :func:`sinks.partition_merge_writer` rewrites only the days
@@ -171,9 +169,16 @@ def stream_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet",
       size. The table content is the same as in complete mode.
     * ``mode="complete"`` (reference behaviour): every trigger rewrites the
       whole Gold table from the full state.
-      ``late_days`` adds a watermark on the event day, so state for days
-      older than that is evicted (later rows for them are dropped).
+
+    ``combined=True`` (default) runs ONE query with a grouping-sets aggregate
+    for both tables: Silver is read once per trigger and one state store
+    holds both levels; each micro-batch is split by grouping id. With
+    ``combined=False`` there are two queries, as in the reference.
+    ``late_days`` adds a watermark on the event day, so state for days older
+    than that is evicted (later rows for them are dropped).
     """
+    if mode not in ("merge", "complete"):
+        raise ValueError(f"unknown gold mode {mode!r}")
     silver = TB.read_stream(spark, layout.silver, silver_schema(tier_type), fmt,
                             max_files_per_trigger)
     qos = G.add_qos_fields(silver, quality_order)
@@ -182,23 +187,47 @@ def stream_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet",
         qos = qos.withColumn(_DAY, F.to_timestamp(F.col("eventDate"))).withWatermark(
             _DAY, f"{int(late_days)} days")
         extra = (_DAY,)
+    targets = (("customerId", layout.gold_viewer, "gold_viewer"),
+               ("contentId", layout.gold_content, "gold_content"))
+
+    def writer(key, path):
+        if mode == "complete":
+            return K.complete_table_writer(path, "eventDate", fmt)
+        return K.partition_merge_writer(path, [key], "eventDate", fmt)
+
+    output_mode = "complete" if mode == "complete" else "update"
+    if combined:
+        if extra:
+            keys = [k for k, _, _ in targets]
+            agg = qos.groupingSets([[k, "eventDate", *extra] for k in keys], *keys, "eventDate",
+                                   *extra).agg(*G._measures(quality_order),
+                                               F.grouping_id().alias("_gid"))
+            agg = agg.drop(*extra)
+        else:
+            _, agg = G.qos_by_both(qos, [k for k, _, _ in targets], quality_order=quality_order)
+        writers = {k: writer(k, path) for k, path, _ in targets}
+
+        def process(batch_df: DataFrame, batch_id: int) -> None:
+            batch_df.persist()
+            try:
+                views = G.split_levels(batch_df, list(writers), quality_order=quality_order,
+                                       trailing=1 + len(extra))
+                for k, fn in writers.items():
+                    fn(views[k], batch_id)
+            finally:
+                batch_df.unpersist()
+
+        w = (agg.writeStream.outputMode(output_mode).foreachBatch(process)
+             .option("checkpointLocation", layout.checkpoint("gold")).queryName("gold"))
+        return [w.trigger(**K.trigger_kwargs(trigger)).start()]
+
     queries = []
-    for key, path, name in (
-        ("customerId", layout.gold_viewer, "gold_viewer"),
-        ("contentId", layout.gold_content, "gold_content"),
-    ):
+    for key, path, name in targets:
         agg = G.qos_by(qos, key, quality_order=quality_order, extra_keys=extra)
         if extra:
             agg = agg.drop(*extra)
-        if mode == "complete":
-            w = agg.writeStream.outputMode("complete").foreachBatch(
-                K.complete_table_writer(path, "eventDate", fmt))
-        elif mode == "merge":
-            w = agg.writeStream.outputMode("update").foreachBatch(
-                K.partition_merge_writer(path, [key], "eventDate", fmt))
-        else:
-            raise ValueError(f"unknown gold mode {mode!r}")
-        w = w.option("checkpointLocation", layout.checkpoint(name)).queryName(name)
+        w = (agg.writeStream.outputMode(output_mode).foreachBatch(writer(key, path))
+             .option("checkpointLocation", layout.checkpoint(name)).queryName(name))
         queries.append(w.trigger(**K.trigger_kwargs(trigger)).start())
     return queries
 

@@ -161,8 +161,10 @@ def test_telemetry_stream_contract_and_intervals(spark, tmp_dir):
 import pytest  # noqa: E402
 
 
-@pytest.mark.parametrize("mode", ["merge", "complete"])
-def test_gold_stream_modes_match_batch(spark, tmp_dir, mode):
+@pytest.mark.parametrize("mode,combined,late_days", [
+    ("merge", True, None), ("complete", True, None), ("merge", False, None),
+    ("complete", False, None), ("merge", True, 60), ("merge", False, 60)])
+def test_gold_stream_modes_match_batch(spark, tmp_dir, mode, combined, late_days):
     """Gold over several micro-batches, merged into days or fully rewritten."""
     layout = Layout(tmp_dir)
     silver = X.silver_from_events(X.events(spark, SF)).withColumn(
@@ -170,7 +172,7 @@ def test_gold_stream_modes_match_batch(spark, tmp_dir, mode):
     cuts = [1704067200000 + k * 1000 for k in (250, 500, 750)]
     write_parts(silver, layout.silver, cuts)
     qs = J.stream_gold(spark, layout, trigger="available_now", tier_type=LONG, mode=mode,
-                       max_files_per_trigger=1)
+                       max_files_per_trigger=1, combined=combined, late_days=late_days)
     J.await_all(qs)
     flat = spark.read.schema(SILVER).parquet(layout.silver)
     for path, fn in ((layout.gold_viewer, G.viewer_qos), (layout.gold_content, G.content_qos)):
