@@ -163,7 +163,7 @@ import pytest  # noqa: E402
 
 @pytest.mark.parametrize("mode,combined,late_days", [
     ("merge", True, None), ("complete", True, None), ("merge", False, None),
-    ("complete", False, None), ("merge", True, 60), ("merge", False, 60)])
+    ("complete", False, None), ("merge", True, 60)])
 def test_gold_stream_modes_match_batch(spark, tmp_dir, mode, combined, late_days):
     """Gold over several micro-batches, merged into days or fully rewritten."""
     layout = Layout(tmp_dir)
