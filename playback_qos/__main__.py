@@ -41,6 +41,11 @@ def main(argv=None) -> None:
     run.add_argument("--tier-type", choices=sorted(TIER_TYPES), default="struct")
     run.add_argument("--salt-buckets", type=int, default=None,
                      help="split hot keys in the streaming dedupes over N buckets")
+    run.add_argument("--max-files-per-trigger", type=int, default=None,
+                     help="bound every micro-batch to N input files")
+    run.add_argument("--silver-dedupe", choices=["first_seen", "first_by_order"],
+                     default="first_seen",
+                     help="first_by_order keeps the earliest row per key (needs --late-days)")
     run.add_argument("--telemetry-in", default=None,
                      help="directory of player JSON-lines logs: also run the contract split "
                           "and the buffering-interval pairing")
@@ -74,7 +79,9 @@ def main(argv=None) -> None:
     if args.available_now:
         jobs.run_available_now(spark, layout, args.fmt, late_days=args.late_days,
                                tier_type=tier, gold_mode=args.gold_mode,
-                               salt_buckets=args.salt_buckets)
+                               salt_buckets=args.salt_buckets,
+                               max_files_per_trigger=args.max_files_per_trigger,
+                               silver_dedupe=args.silver_dedupe)
         if args.telemetry_in:
             now = "available_now"
             jobs.await_all([jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, now)])
@@ -83,21 +90,25 @@ def main(argv=None) -> None:
     # long-running: every stage at once; each reads its input table as it grows
     for path in (layout.source_raw, layout.bronze, layout.validated, layout.silver):
         ensure_dir(spark, path)
+    mf = args.max_files_per_trigger
     queries = [
-        jobs.stream_bronze(spark, layout, args.fmt, args.trigger, args.late_days, tier_type=tier,
+        jobs.stream_bronze(spark, layout, args.fmt, args.trigger, args.late_days, mf,
+                           tier_type=tier, salt_buckets=args.salt_buckets),
+        jobs.stream_validation(spark, layout, fmt=args.fmt, trigger=args.trigger,
+                               max_files_per_trigger=mf, tier_type=tier),
+        jobs.stream_silver(spark, layout, args.fmt, args.trigger, args.late_days, mf,
+                           tier_type=tier, dedupe_mode=args.silver_dedupe,
                            salt_buckets=args.salt_buckets),
-        jobs.stream_validation(spark, layout, fmt=args.fmt, trigger=args.trigger, tier_type=tier),
-        jobs.stream_silver(spark, layout, args.fmt, args.trigger, args.late_days, tier_type=tier,
-                           salt_buckets=args.salt_buckets),
-        *jobs.stream_gold(spark, layout, args.fmt, args.trigger, tier_type=tier,
-                          mode=args.gold_mode, late_days=args.late_days),
+        *jobs.stream_gold(spark, layout, args.fmt, args.trigger, max_files_per_trigger=mf,
+                          tier_type=tier, mode=args.gold_mode, late_days=args.late_days),
     ]
     if args.telemetry_in:
         ensure_dir(spark, args.telemetry_in)
         ensure_dir(spark, layout.telemetry)
         queries += [
-            jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, args.trigger),
-            jobs.stream_buffering_intervals(spark, layout, args.fmt, args.trigger),
+            jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, args.trigger, mf),
+            jobs.stream_buffering_intervals(spark, layout, args.fmt, args.trigger,
+                                            max_files_per_trigger=mf),
         ]
     spark.streams.awaitAnyTermination()
     jobs.await_all(queries, timeout=1)

@@ -246,19 +246,22 @@ def run_available_now(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                       bounds: Q.Bounds = Q.DEFAULT_BOUNDS, late_days: int | None = None,
                       quality_order: str = "lexical",
                       tier_type: T.DataType = DISTRIBUTION, gold_mode: str = "merge",
-                      salt_buckets: int | None = None) -> None:
+                      salt_buckets: int | None = None,
+                      max_files_per_trigger: int | None = None,
+                      silver_dedupe: str = "first_seen") -> None:
     """Run the four stages in order, each draining what is available, then stop.
 
     Re-running processes only new input (checkpoints), so this is the batch
     schedule of the same streaming chain.
     """
     now = "available_now"
-    await_all([stream_bronze(spark, layout, fmt, now, late_days, tier_type=tier_type,
-                             salt_buckets=salt_buckets)])
-    await_all([stream_validation(spark, layout, bounds, fmt, now, tier_type=tier_type)])
-    await_all([stream_silver(spark, layout, fmt, now, late_days, tier_type=tier_type,
+    mf = max_files_per_trigger
+    await_all([stream_bronze(spark, layout, fmt, now, late_days, mf, tier_type=tier_type,
                              salt_buckets=salt_buckets)])
-    await_all(stream_gold(spark, layout, fmt, now, quality_order, tier_type=tier_type,
+    await_all([stream_validation(spark, layout, bounds, fmt, now, mf, tier_type=tier_type)])
+    await_all([stream_silver(spark, layout, fmt, now, late_days, mf, tier_type=tier_type,
+                             dedupe_mode=silver_dedupe, salt_buckets=salt_buckets)])
+    await_all(stream_gold(spark, layout, fmt, now, quality_order, mf, tier_type=tier_type,
                           mode=gold_mode, late_days=late_days))
 
 
