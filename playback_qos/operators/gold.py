@@ -37,7 +37,7 @@ def add_qos_fields(df: DataFrame, quality_order: str = "lexical") -> DataFrame:
     )
 
 
-def _measures(quality_order: str) -> list:
+def qos_measures(quality_order: str) -> list:
     return [
         F.sum("bufferingTime").cast("bigint").alias("total_buffering_time"),
         F.sum("bufferings").cast("bigint").alias("total_bufferings"),
@@ -59,7 +59,7 @@ _MEASURES_OUT = [
 ]
 
 
-def _finish(quality_order: str) -> list:
+def qos_finish(quality_order: str) -> list:
     """Post-aggregate columns: tier name from its rank, ratio of sums."""
     return [
         *_MEASURES_OUT,
@@ -85,8 +85,8 @@ def qos_by(
     ``extra_keys`` are carried through the grouping (e.g. an event-time column
     a streaming watermark needs); they must be functions of the date.
     """
-    agg = df.groupBy(key, date_col, *extra_keys).agg(*_measures(quality_order))
-    return agg.select(key, date_col, *extra_keys, *_finish(quality_order))
+    agg = df.groupBy(key, date_col, *extra_keys).agg(*qos_measures(quality_order))
+    return agg.select(key, date_col, *extra_keys, *qos_finish(quality_order))
 
 
 def qos_by_both(
@@ -106,7 +106,7 @@ def qos_by_both(
     """
     keys = list(keys)
     combined = df.groupingSets([[k, date_col] for k in keys], *keys, date_col).agg(
-        *_measures(quality_order), F.grouping_id().alias("_gid")
+        *qos_measures(quality_order), F.grouping_id().alias("_gid")
     )
     return split_levels(combined, keys, date_col, quality_order), combined
 
@@ -128,7 +128,7 @@ def split_levels(
         # the first grouping column being the highest bit
         gid = sum(1 << (width - 1 - j) for j, other in enumerate(keys) if other != k)
         view = combined.filter(F.col("_gid") == F.lit(gid))
-        out[k] = view.select(k, date_col, *_finish(quality_order))
+        out[k] = view.select(k, date_col, *qos_finish(quality_order))
     return out
 
 

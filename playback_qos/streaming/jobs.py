@@ -200,7 +200,7 @@ def stream_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet",
         if extra:
             keys = [k for k, _, _ in targets]
             agg = qos.groupingSets([[k, "eventDate", *extra] for k in keys], *keys, "eventDate",
-                                   *extra).agg(*G._measures(quality_order),
+                                   *extra).agg(*G.qos_measures(quality_order),
                                                F.grouping_id().alias("_gid"))
             agg = agg.drop(*extra)
         else:
