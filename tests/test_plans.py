@@ -45,3 +45,18 @@ def test_scans_read_only_needed_columns(static_plans):
 def test_telemetry_parse_happens_once(static_plans):
     plan = static_plans("telemetry_contract")
     assert plan.count("from_json") == 1
+
+
+def test_both_gold_tables_share_one_scan_and_shuffle(spark):
+    from playback_qos.operators.gold import add_qos_fields, qos_by_both
+    from playback_qos.sources.fixtures import silver_fixture
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        _, combined = qos_by_both(add_qos_fields(silver_fixture(spark, SF)))
+        plan = combined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert shuffles(plan) == 1
+    assert plan.count("FileScan") == 1 and "Expand" in plan
+    assert "SortAggregate" not in plan
