@@ -44,7 +44,9 @@ def with_previous(
     row of the same ``key`` when rows are ordered by ``order`` (null on the
     first row). ``order`` must be non-null and, for a deterministic result,
     unique within a key. The first order column must be numeric (it is split
-    into sub-ranges for hot keys).
+    into sub-ranges for hot keys). Rows with a null ``key`` form one group
+    that is never split (a null key cannot match the hot-key table); filter
+    them out first where that group could be large.
     """
     order = list(order)
     carry = list(carry)
