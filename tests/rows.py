@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from playback_qos.schema import RAW, TRAFFIC, raw_schema, silver_schema
+from playback_qos.schema import raw_schema, silver_schema
 from pyspark.sql import types as T
 
 D = dt.date(2025, 11, 13)
@@ -71,4 +71,4 @@ def silver_df(spark, rows):
     return spark.createDataFrame(rows, INT_SILVER)
 
 
-__all__ = ["RAW", "TRAFFIC", "raw_row", "raw_df", "silver_row", "silver_df", "INT_TIER_RAW", "D"]
+__all__ = ["raw_row", "raw_df", "silver_row", "silver_df", "traffic", "INT_TIER_RAW", "INT_SILVER", "D"]
