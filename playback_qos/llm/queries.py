@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playback_qos.llm import pii
+from playback_qos.llm.bpe import encode_documents
 from playback_qos.llm.common import table
+from playback_qos.llm.decontaminate import decontaminate
+from playback_qos.llm.language_id import held_out, identify, train
 from playback_qos.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
+from playback_qos.llm.quality import fit_weights, quality
 from playback_qos.llm.sharding import shard_documents
 from playback_qos.llm.substring_dedup import remove_repeated_windows
+from playback_qos.llm.warc import roundtrip
+
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def piece_model_path() -> str:
+    """Where the installed vocabulary file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(PIECE_MODEL)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,19 +32,86 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise(table(spark, sf_dir, "documents"))
+    told = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    n_base = F.size(F.filter("spans", lambda s: s["kind"] != "term"))
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(F.array_join(F.slice(told, 1, n_base), ",").cast("binary"), 256).alias("base_sha256"),
+        F.array_join(told, ",").alias("spans"),
+    )
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality(docs, fit_weights(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ratio"
+    )
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roundtrip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train(docs.filter(~held_out(F.col("doc_id"))))
+    return identify(docs, model, keep=["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected"
+    )
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), piece_model_path()).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "source", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
     )
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_sharding, op10_line_dedup)}
+LLM_QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_decontamination,
+        op3_sharding,
+        op4_pii,
+        op5_quality,
+        op7_warc,
+        op8_language_id,
+        op9_sentencepiece,
+        op10_line_dedup,
+    )
+}
 
 OP1_SQL = r"""
 WITH w AS (
@@ -54,6 +136,48 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT item_id, ws, least(13, len(ws)) AS n FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark) WHERE len(ws) > 0
+), bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS k
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS i FROM b)
+), dw AS (
+  SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS k
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM b) WHERE len(ws) >= n)
+), m AS (
+  SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.n = bw.n
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws)) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, p.payload_digest,
+  CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+"""
+
 OP3_SQL = r"""
 WITH crc_table AS (
   SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
@@ -99,4 +223,10 @@ SELECT doc_id, source, coalesce(len(ls), 0)::BIGINT AS n_lines,
 FROM cut
 """
 
-LLM_ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op3_sharding": OP3_SQL, "op10_line_dedup": OP10_SQL}
+LLM_ORACLE_SQL = {
+    "op1_substring_dedup": OP1_SQL,
+    "op2_decontamination": OP2_SQL,
+    "op3_sharding": OP3_SQL,
+    "op7_warc": OP7_SQL,
+    "op10_line_dedup": OP10_SQL,
+}
