@@ -20,8 +20,10 @@ ORDER = 4
 MAX_GRAMS = 4_000_000
 #: The rejection limits are set on one of so many parts of the labelled rows, dealt by a hash.
 CALIBRATION_FOLDS = 8
-#: Standard deviations above the usual cross-entropy at which a text is rejected.
+#: A text is rejected if its cross-entropy is above its language's usual one by so many
+#: standard deviations, and by so many nats a character: another language, not a mixed text.
 REJECT_Z = 8.0
+REJECT_NATS = 1.0
 #: Characters that are in hand at once.
 SLICE_CHARS = 2_000_000
 UNDETERMINED = "und"
@@ -261,7 +263,7 @@ class Model:
             else:
                 name = self.langs[best[i]]
                 mean, own, char = self.limit.get(name, (0.0, np.inf, 0.0))
-                far = bool(low[i] > mean + REJECT_Z * np.sqrt(own**2 + char**2 / n[i]))
+                far = bool(low[i] > mean + max(REJECT_NATS, REJECT_Z * np.sqrt(own**2 + char**2 / n[i])))
                 out.append((name, float(share[i]), float(low[i]), int(n[i]), far))
         return out
 

@@ -88,19 +88,20 @@ def base_spans(text: Column) -> Column:
         "phone": F.contains(text, F.lit("+")) & digit,
     }
     kind_of = "array<struct<kind: string, start: long, end: long, value: string>>"
-    lists = []
-    for kind in KINDS:
-        spans = F.transform(
-            F.filter(_located(text, PATTERNS[kind]), lambda x, kind=kind: _valid(kind, x["value"])),
-            lambda x, kind=kind: F.struct(
+
+    def spans(kind: str) -> Column:
+        valid = F.filter(_located(text, PATTERNS[kind]), lambda x: _valid(kind, x["value"]))
+        return F.transform(
+            valid,
+            lambda x: F.struct(
                 F.lit(kind).alias("kind"),
                 (x["end"] - F.length(x["value"])).cast("long").alias("start"),
                 x["end"].cast("long").alias("end"),
                 x["value"].alias("value"),
             ),
-        )
-        lists.append(F.when(likely[kind], spans.cast(kind_of)).otherwise(F.array().cast(kind_of)))
-    return F.concat(*lists)
+        ).cast(kind_of)
+
+    return F.concat(*[F.when(likely[k], spans(k)).otherwise(F.array().cast(kind_of)) for k in KINDS])
 
 
 def _context_terms(text: Column, spans: Column) -> Column:

@@ -18,7 +18,7 @@ SMOOTHING = 1.0
 #: Labelled rows taken as the trusted target, at most: those with the smallest hashes of their ids.
 TARGET_ROWS = 16_384
 #: A text is kept if the mean log-ratio of its features is not below this.
-THRESHOLD = -0.35
+THRESHOLD = -0.15
 #: Words of a window that may repeat, and the rules' limits.
 REPEAT = 3
 MIN_WORDS = 50

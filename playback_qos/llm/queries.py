@@ -9,6 +9,7 @@ from playback_qos.llm import pii
 from playback_qos.llm.bpe import encode_documents
 from playback_qos.llm.common import table
 from playback_qos.llm.decontaminate import decontaminate
+from playback_qos.llm.jaccard_join import near_duplicates
 from playback_qos.llm.language_id import held_out, identify, train
 from playback_qos.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
 from playback_qos.llm.quality import fit_weights, quality
@@ -53,10 +54,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.sanitise(table(spark, sf_dir, "documents"))
     told = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
-    n_base = F.size(F.filter("spans", lambda s: s["kind"] != "term"))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    n_base = F.size(F.filter(kinds, lambda x: x != "term"))
     return found.select(
         "doc_id",
-        *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        *[F.size(F.filter(kinds, lambda x: x == F.lit(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS],  # noqa: B023
         F.sha2(F.array_join(F.slice(told, 1, n_base), ",").cast("binary"), 256).alias("base_sha256"),
         F.array_join(told, ",").alias("spans"),
     )
@@ -69,6 +71,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "group_id", "n_links")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roundtrip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -106,6 +112,7 @@ LLM_QUERIES = {
         op3_sharding,
         op4_pii,
         op5_quality,
+        op6_jaccard_join,
         op7_warc,
         op8_language_id,
         op9_sentencepiece,

@@ -84,7 +84,7 @@ class _Archive:
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
         self.path, self.n, self.size = f"{folder}/{name}", 0, 0
-        self.out = fs.open_output_stream(f"{root}/{name}")
+        self.out = fs.open_output_stream(f"{root}/{name}", compression=None)
         raw = _dictionary(payloads)
         self.frames = zstandard.ZstdCompressor(
             level=3, dict_data=zstandard.ZstdCompressionDict(raw) if raw else None, write_checksum=True
