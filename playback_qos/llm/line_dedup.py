@@ -67,20 +67,20 @@ def drop_boilerplate(
     lists = written(
         boilerplate_lines(docs, host, text, ratio, min_pages)
         .groupBy("host")
-        .agg(F.sort_array(F.collect_set("line_hash")).alias("__drop"))
-        .withColumnRenamed("host", "__host")
+        .agg(F.sort_array(F.collect_set("line_hash")).alias("__line_drop"))
+        .withColumnRenamed("host", "__line_host")
     )
     lines = _lines(F.col(text))
-    kept = F.filter(lines, lambda x: ~(_has_word(x) & F.array_contains(F.col("__drop"), F.xxhash64(x))))
+    kept = F.filter(lines, lambda x: ~(_has_word(x) & F.array_contains(F.col("__line_drop"), F.xxhash64(x))))
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long")
-    hit = F.col("__drop").isNotNull() & F.col(text).isNotNull()
+    hit = F.col("__line_drop").isNotNull() & F.col(text).isNotNull()
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return (
-        docs.join(lists, F.col(host).eqNullSafe(F.col("__host")), "left")
-        .withColumn("__kept", F.when(hit, kept))
+        docs.join(lists, F.col(host).eqNullSafe(F.col("__line_host")), "left")
+        .withColumn("__line_kept", F.when(hit, kept))
         .select(
-            *[F.when(hit, F.array_join("__kept", "\n")).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in rest],
+            *[F.when(hit, F.array_join("__line_kept", "\n")).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in rest],
             n_lines.alias("n_lines"),
-            F.when(hit, n_lines - F.size("__kept")).otherwise(F.lit(0)).cast("long").alias("n_dropped"),
+            F.when(hit, n_lines - F.size("__line_kept")).otherwise(F.lit(0)).cast("long").alias("n_dropped"),
         )
     )
