@@ -28,6 +28,8 @@ BUCKET = 4096
 DEPTH = 3
 #: Sets of a connected part that are compared in full against so many others at once.
 BLOCK = 2048
+#: Bits of the map by which rows are left out before their sets are compared in full.
+FILTER_BITS = 1 << 24
 #: Sets agreeing in so many sampled tokens are compared in full. At similarity 0.8 fewer
 #: agree in one pair of a million.
 AGREE = 36
@@ -271,22 +273,45 @@ def _links(rows: pa.Table) -> pa.Table:
     )
 
 
-def _with_shingles(members: DataFrame) -> DataFrame:
-    """Replaces the column ``text`` by the shingle hashes of each row."""
-    rest = [f for f in members.schema.fields if f.name != "text"]
+def _place(key: str, text_id: str) -> Column:
+    return F.pmod(F.xxhash64(key, text_id), F.lit(FILTER_BITS))
+
+
+def _filter_bits(members: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS in which every member (rep, member) has its bit set."""
+    bit = members.select(_place("rep", "member").alias("p"))
+    words = bit.groupBy(F.expr("p div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("bits"))
+    rows, out = words.toArrow(), np.zeros(FILTER_BITS // 64, np.uint64)
+    out[rows.column("w").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _member_shingles(docs: DataFrame, key: str, text: str, members: DataFrame) -> DataFrame:
+    """(text_id, copies, part, size, shingles) of the row of ``docs`` that stands for each member.
+
+    A bitmap of fixed size leaves out almost all other rows where they are
+    read, so only the members' sets are moved, to the exact join.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(members))
+    kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(i, SLICE)
+            place = whole.column("place").to_numpy()
+            hit = bits.value[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)
+            some = whole.take(pa.array(np.flatnonzero(hit)))
+            for i in range(0, some.num_rows, SLICE):
+                batch = some.slice(i, SLICE)
                 flat, first = _shingles(batch.column("text"))
                 sets = [flat[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(f.name) for f in rest), pa.array(sets, pa.binary())], [*(f.name for f in rest), "shingles"]
+                    [batch.column("key"), batch.column("text_id"), pa.array(sets, pa.binary())], ["key", "text_id", "shingles"]
                 )
 
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest)
-    return members.mapInArrow(run, ddl + ", shingles binary")
+    own = docs.select(F.col(key).alias("key"), _identity(F.col(text)).alias("text_id"), F.col(text).alias("text"))
+    sets = own.withColumn("place", _place("key", "text_id")).mapInArrow(run, f"key {kind}, text_id binary, shingles binary")
+    same = (F.col("text_id") == F.col("member")) & F.col("key").eqNullSafe(F.col("rep"))
+    return sets.join(members.hint("merge"), same).select("text_id", "copies", "part", "size", "shingles")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
@@ -324,12 +349,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
         .join(sets.select(F.col("text_id").alias("node"), "rep", "copies"), "node")
         .select(F.col("node").alias("member"), "rep", "copies", F.xxhash64("root").alias("part"), "size")
     )
-    own = docs.select(F.col(key).alias("key"), _identity(F.col(text)).alias("text_id"), F.col(text).alias("text"))
-    texts = own.join(members, (F.col("text_id") == F.col("member")) & F.col("key").eqNullSafe(F.col("rep")))
     small = F.col("size") <= block
     n = F.ceil(F.col("size") / F.lit(block)).cast("int")
     compared = (
-        _with_shingles(texts.select("text_id", "copies", "part", "size", "text"))
+        _member_shingles(docs, key, text, members)
         .withColumn("small", small)
         .withColumn("block", F.when(small, 0).otherwise(F.pmod(F.xxhash64("text_id"), n)).cast("int"))
         .withColumn("other", F.explode(F.when(small, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1))))
