@@ -30,10 +30,11 @@ def components(edges: DataFrame) -> DataFrame:
     before, now = None, _state(edges)
     while now != before and now[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # written, so that both sides of the join are plain exchanges, of which hot nodes can be split
+        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = written(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")))
         joined = large.join(least, "a")
         small = joined.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = written(small.union(joined.select("a", F.col("m").alias("b"))).distinct())

@@ -105,8 +105,8 @@ def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def _sized(paths: DataFrame) -> DataFrame:
     """(path, text_id, size) of the buckets that hold two sets or more."""
-    sizes = paths.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
-    return paths.join(sizes, "path")
+    sizes = written(paths.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1"))
+    return paths.join(sizes, "path")  # plain exchanges on both sides: a hot path can be split
 
 
 def _split(paths: DataFrame, sets: DataFrame) -> DataFrame:
@@ -343,7 +343,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
     )
     parts = written(components(candidate_edges(sets, bucket=bucket)))
     n_small = max(1, -(-parts.count() // block))
-    sizes = parts.groupBy("root").agg(F.count("*").alias("size"))
+    sizes = written(parts.groupBy("root").agg(F.count("*").alias("size")))
     members = written(
         parts.join(sizes, "root")
         .join(sets.select(F.col("text_id").alias("node"), "rep", "copies"), "node")
@@ -379,7 +379,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
         .withColumn("root", F.coalesce("root", "text_id"))
     )
     best = F.min(F.struct(F.col("rep").isNull().alias("last"), F.col("rep").alias("group_id"), F.col("text_id").alias("chosen")))
-    least = named.groupBy(F.col("root").alias("of")).agg(best.alias("best")).select("of", "best.group_id", "best.chosen")
+    least = written(named.groupBy(F.col("root").alias("of")).agg(best.alias("best")).select("of", "best.group_id", "best.chosen"))
     results = written(
         named.join(least, F.col("root") == F.col("of")).select(
             F.col("text_id").alias("id"), "rep", "copies", "links", "group_id", (F.col("text_id") == F.col("chosen")).alias("stays")
