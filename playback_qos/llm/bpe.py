@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Encoded words that a worker keeps, in two generations of so many.
-CACHE = 150_000
+CACHE = 80_000
 #: Rows that are in hand at once.
 SLICE = 512
 
@@ -99,7 +99,7 @@ class Encoder:
     def compatible(self, a: str, b: str) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) >= 300_000:
+            if len(self.fits) >= 200_000:
                 self.fits.clear()
             known = self.fits[a, b] = self.merge(a + b) == [a, b]
         return known

@@ -110,7 +110,7 @@ def scan_words(data: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> Wo
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _LETTER = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C17  # odd, 3 modulo 4
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 

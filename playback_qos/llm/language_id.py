@@ -25,7 +25,9 @@ CALIBRATION_FOLDS = 8
 REJECT_Z = 8.0
 REJECT_NATS = 1.0
 #: Characters that are in hand at once.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
+#: Rows that are turned into strings at once.
+SLICE_ROWS = 512
 UNDETERMINED = "und"
 _BITS = 16
 
@@ -115,7 +117,7 @@ def count_grams(docs: DataFrame, text: str, lang: str, order: int = ORDER) -> Da
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for batch in batches:
+        for batch in (x.slice(i, SLICE_ROWS) for x in batches for i in range(0, x.num_rows, SLICE_ROWS)):
             rows: dict[str, list[str]] = {}
             for t, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 if t and name is not None:
