@@ -275,7 +275,8 @@ def calibrate(model: Model, docs: DataFrame, text: str, lang: str) -> None:
 
     The variance of a text's mean is fitted as ``own + char / n`` (n: its
     characters) from sums that Spark takes over all rows given; a language of
-    under 20 of them rejects nothing.
+    under 20 of them takes the sums of all languages, and if these are under 20
+    rejects nothing.
     """
     if not model.langs:
         return
@@ -286,7 +287,12 @@ def calibrate(model: Model, docs: DataFrame, text: str, lang: str) -> None:
     )
     sums = {"rows": F.lit(1), "n": F.col("n"), "hn": F.expr("h * n"), "h": F.col("h"), "hh": F.expr("h * h"),
             "r": F.expr("1 / n"), "rr": F.expr("1 / n / n"), "hr": F.expr("h / n"), "hhr": F.expr("h * h / n")}
-    for x in scored.groupBy("lang_pred").agg(*[F.sum(v).alias(k) for k, v in sums.items()]).collect():
+    found = scored.groupBy("lang_pred").agg(*[F.sum(v).alias(k) for k, v in sums.items()]).collect()
+    own_sums = {x["lang_pred"]: {k: x[k] for k in sums} for x in found}
+    pooled = {k: sum(x[k] for x in own_sums.values()) for k in sums}
+    for name in model.langs:
+        x = own_sums.get(name, pooled)
+        x = x if x["rows"] >= 20 else pooled
         if x["rows"] < 20:
             continue
         mean = x["hn"] / x["n"]
@@ -295,7 +301,7 @@ def calibrate(model: Model, docs: DataFrame, text: str, lang: str) -> None:
         r, spread = x["r"] / x["rows"], x["rr"] / x["rows"] - (x["r"] / x["rows"]) ** 2
         slope = max(0.0, (by_r - square * r) / spread) if spread > 1e-12 else 0.0
         own = max(square - slope * r, 1e-4)
-        model.limit[x["lang_pred"]] = (mean, own**0.5, slope**0.5)
+        model.limit[name] = (mean, own**0.5, slope**0.5)
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER) -> Model:
