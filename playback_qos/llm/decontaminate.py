@@ -67,7 +67,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", terms:
         order = np.argsort(hashes, kind="stable")
         hashes, position = hashes[order], position[order]
         at = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))) if len(hashes) else np.zeros(0, int)
-        ends = np.append(at[1:], len(hashes))
+        ends = np.append(at, len(hashes))[1:]
         step = np.diff(position, prepend=np.uint32(0))
         step[at] = position[at]
         postings = [planes(step[a:b], np.uint32) for a, b in zip(at, ends, strict=True)]
