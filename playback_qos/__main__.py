@@ -74,7 +74,7 @@ def main(argv=None) -> None:
     if args.cmd == "batch":
         raw = read_table(spark, layout.source_raw, args.fmt, schema=raw_schema(tier),
                          since=args.since)
-        write_layers(spark, raw, layout, args.fmt)
+        write_layers(spark, raw, layout, args.fmt, since=args.since)
         return
     if args.available_now:
         jobs.run_available_now(spark, layout, args.fmt, late_days=args.late_days,

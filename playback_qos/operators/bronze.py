@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playback_qos.schema import KEYS
 
@@ -28,29 +29,41 @@ def dedupe(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
+def first_row(schema: T.StructType, payload: Sequence[str], order: Sequence[str]):
+    """Aggregate (to be named ``_best``) that picks the first row of a group, and the columns it gives back.
+
+    Rows that tie on ``order`` are told apart by all payload columns in turn,
+    so the choice never depends on how rows are partitioned. The least struct
+    of order and payload columns is kept; a map takes part as its sorted
+    entries.
+    """
+    maps = {c for c in payload if isinstance(schema[c].dataType, T.MapType)}
+    ties = [F.array_sort(F.map_entries(c)).alias(c) if c in maps else F.col(c) for c in payload]
+    best = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *ties))
+    back = {c: (F.map_from_entries(f"_best.{c}") if c in maps else F.col(f"_best.{c}")).alias(c) for c in payload}
+    return best, back
+
+
 def dedupe_first(
     df: DataFrame,
     keys: Sequence[str] = KEYS,
     order: Sequence[str] = ("serverTimestamp", "agentTimestamp"),
 ) -> DataFrame:
-    """Deterministic dedupe: per key keep the row that is first by ``order``.
-
-    Same result as ``row_number() over (partition by keys order by order) = 1``
-    with nulls first, but planned as an aggregate (``min_by``): the partial
-    aggregate keeps one candidate per key and map task before the shuffle, so a
-    key holding a third of all rows never lands whole in one task (a window
-    would sort all of that key's rows in one task). Spark runs it as a sort
-    aggregate because the buffer holds a row struct, as it does for
-    ``dropDuplicates`` over non-primitive columns. Order columns may be nested
-    paths.
+    """Deterministic dedupe: per key keep the row that is first by ``order``, then by all other columns.
+
+    Same result as ``row_number() over (partition by keys order by order, payload) = 1``
+    with nulls first, but planned as an aggregate: the partial aggregate keeps
+    one candidate per key and map task before the shuffle, so a key holding a
+    third of all rows never lands whole in one task (a window would sort all
+    of that key's rows in one task). Spark runs it as a sort aggregate because
+    the buffer holds a row struct, as it does for ``dropDuplicates`` over
+    non-primitive columns. Order columns may be nested paths.
     """
     keys = list(keys)
     columns = df.columns
-    payload = [c for c in columns if c not in keys]
-    order_struct = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
-    best = F.min_by(F.struct(*[F.col(c) for c in payload]), order_struct).alias("_best")
-    out = {c: F.col(c) for c in keys} | {c: F.col(f"_best.{c}").alias(c) for c in payload}
-    return df.groupBy(*keys).agg(best).select(*[out[c] for c in columns])
+    best, payload = first_row(df.schema, [c for c in columns if c not in keys], order)
+    out = {c: F.col(c) for c in keys} | payload
+    return df.groupBy(*keys).agg(best.alias("_best")).select(*[out[c] for c in columns])
 
 
 def bronze(df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] | None = None) -> DataFrame:

@@ -130,31 +130,53 @@ def write_layers(
     bounds: Q.Bounds = Q.DEFAULT_BOUNDS,
     deterministic: bool = True,
     quality_order: str = "lexical",
+    since: str | None = None,
 ) -> None:
     """Batch (re)build of every layer table under ``layout``, each computed once.
 
+    Without ``since`` every layer table is replaced as a whole. With it only
+    the days from then on are rebuilt: they are removed and written anew in
+    each layer, all reads and the DQ counts are limited to them, and earlier
+    days (and rows without a date) stay as they are. A base that streams have
+    written to is refused before anything is written, as their commit logs
+    and directories do not go with a batch rebuild.
+
     Every layer is written and the next one reads the written table, which
     cuts the lineage there: a lost executor only recomputes the layer in
     progress, and Bronze's dedupe shuffle is not repeated for each output.
     The rule counts are observed while the validated rows are written (one
     pass) and appended to the DQ audit table. Both Gold tables come from one
-    grouping-sets aggregate over one Silver scan. Day-partitioned tables use
-    dynamic partition overwrite, so a backfill of some days replaces only
-    those days.
+    grouping-sets aggregate over one Silver scan.
     """
     from pyspark import StorageLevel
     from pyspark.sql import functions as F
 
     from playback_qos.schema import silver_schema
+    from playback_qos.streaming.sinks import child_names, remove_days
+
+    tables = (layout.bronze, layout.validated, layout.silver, layout.gold_viewer, layout.gold_content)
+    streamed = [t for t in tables if any(n == "_spark_metadata" or n.startswith(("query_id=", "batch_id="))
+                                         for n in child_names(spark, t))]
+    if streamed:
+        raise ValueError(f"written by streams, not to be rebuilt in place: {streamed}")
 
     def write(df: DataFrame, path: str, partitioned: bool = True, mode: str = "overwrite") -> None:
         w = df.write.mode(mode).format(fmt)
         if partitioned:
-            w = w.partitionBy("eventDate").option("partitionOverwriteMode", "dynamic")
+            if since is not None:
+                remove_days(spark, path, "eventDate", since)
+            w = w.partitionBy("eventDate").option(
+                "partitionOverwriteMode", "static" if since is None else "dynamic")
         w.save(path)
 
+    def read(path: str, schema) -> DataFrame:
+        df = spark.read.format(fmt).schema(schema).load(path)
+        return df if since is None else df.filter(F.col("eventDate") >= F.lit(since).cast("date"))
+
+    if since is not None:
+        raw = raw.filter(F.col("eventDate") >= F.lit(since).cast("date"))
     write(bronze_layer(raw, deterministic=deterministic), layout.bronze)
-    bronze = spark.read.format(fmt).schema(raw.schema).load(layout.bronze)
+    bronze = read(layout.bronze, raw.schema)
 
     valid, obs = Q.observed_valid_rows(bronze, bounds)
     write(valid, layout.validated)
@@ -164,11 +186,11 @@ def write_layers(
         dq = Q.dq_results(bronze, bounds)
     write(dq, layout.dq_results, partitioned=False, mode="append")
 
-    validated = spark.read.format(fmt).schema(raw.schema).load(layout.validated)
+    validated = read(layout.validated, raw.schema)
     write(silver_layer(validated, deterministic=deterministic, dedupe=False), layout.silver)
 
     tier_type = raw.schema["qualityDistribution"].dataType.valueType
-    silver = spark.read.format(fmt).schema(silver_schema(tier_type)).load(layout.silver)
+    silver = read(layout.silver, silver_schema(tier_type))
     # both Gold tables from one scan and one shuffle (grouping sets); the
     # combined result is Gold-sized and kept for the two writes (recomputed
     # from lineage if an executor holding it is lost)

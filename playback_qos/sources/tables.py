@@ -52,14 +52,14 @@ def read_stream(
     micro-batch comes out with names in one order and types in the other.)
 
     ``batch_partitioned`` is for tables written by per-batch writers
-    (``<table>/batch_id=<n>/``): the ``batch_id`` partition column is
+    (``<table>/query_id=<id>/batch_id=<n>/``): these partition columns are
     declared too, so the stream has the same schema whether or not such
-    directories exist when it starts, and is then dropped.
+    directories exist when it starts, and are then dropped.
     """
     head = [f for f in schema.fields if f.name not in partition_cols]
     tail = [f for f in schema.fields if f.name in partition_cols]
     if batch_partitioned:
-        tail = tail + [T.StructField("batch_id", T.IntegerType())]
+        tail = tail + [T.StructField("query_id", T.StringType()), T.StructField("batch_id", T.IntegerType())]
     reader = spark.readStream.format(fmt).schema(T.StructType(head + tail))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -95,10 +95,14 @@ def telemetry_lines_stream(spark: SparkSession, path: str, max_files_per_trigger
     return reader.load(path)
 
 
-def export_gold(spark: SparkSession, src: str, dst: str, fmt: str = "parquet") -> None:
-    """Copy a Gold table to Parquet for BI tools (overwrite, keeps eventDate partitions)."""
-    df = spark.read.format(fmt).load(src)
-    writer = df.write.mode("overwrite")
-    if "eventDate" in df.columns:
-        writer = writer.partitionBy("eventDate")
+def export_gold(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
+                partition_by: str | None = None) -> None:
+    """Copy a Gold table to Parquet for BI tools (overwrite).
+
+    The files hold all columns; with ``partition_by`` that column moves into
+    the directory names.
+    """
+    writer = spark.read.format(fmt).load(src).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     writer.parquet(dst)

@@ -4,6 +4,7 @@ checkpoint, decoupled from the next one by a table."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,16 +82,14 @@ def dedupe_first_stream(
     """
     keys = list(keys)
     columns = df.columns
-    payload = [c for c in columns if c not in keys]
     day = F.to_timestamp(F.col("eventDate"))
-    order_struct = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
-    best = F.min_by(F.struct(*[F.col(c) for c in payload]), order_struct).alias("_best")
-    out = {c: F.col(c) for c in keys} | {c: F.col(f"_best.{c}").alias(c) for c in payload}
+    best, payload = B.first_row(df.schema, [c for c in columns if c not in keys], order)
+    out = {c: F.col(c) for c in keys} | payload
     return (
         df.withColumn(_DAY, day)
         .withWatermark(_DAY, f"{int(late_days)} days")
         .groupBy(*keys, _DAY)
-        .agg(best)
+        .agg(best.alias("_best"))
         .select(*[out[c] for c in columns])
     )
 
@@ -233,13 +232,16 @@ def stream_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet",
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait for every query; raise the first failure (none is masked by another)."""
-    for q in queries:
-        q.awaitTermination(timeout) if timeout else q.awaitTermination()
-    for q in queries:
-        err = q.exception()
-        if err is not None:
-            raise err
+    """Wait for every query, watching all at once; raise the first failure as it happens."""
+    end = None if timeout is None else time.monotonic() + timeout
+    while True:
+        active = [q for q in queries if q.isActive]
+        for q in queries:
+            if q not in active and (err := q.exception()) is not None:
+                raise err
+        if not active or end is not None and time.monotonic() >= end:
+            return
+        active[0].awaitTermination(0.2)
 
 
 def run_available_now(spark: SparkSession, layout: Layout, fmt: str = "parquet",

@@ -55,26 +55,50 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
         fs.mkdirs(p)
 
 
-def batch_dir(table: str, batch_id: int) -> str:
-    return f"{table.rstrip('/')}/batch_id={batch_id}"
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and directories right below ``path`` (none if it is missing)."""
+    p, fs = _fs(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def remove_days(spark: SparkSession, path: str, date_col: str, since: str) -> None:
+    """Delete the ``date_col=YYYY-MM-DD`` directories of ``path`` from day ``since`` on."""
+    for name in child_names(spark, path):
+        col, _, day = name.partition("=")
+        if col == date_col and day[:1].isdigit() and day >= since:
+            p, fs = _fs(spark, f"{path.rstrip('/')}/{name}")
+            if not fs.delete(p, True) and fs.exists(p):
+                raise OSError(f"cannot remove {p}")
+
+
+def query_of(spark: SparkSession) -> str | None:
+    """Id of the streaming query whose micro-batch runs here (it lives in the checkpoint); None outside one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def batch_dir(spark: SparkSession, table: str, batch_id: int) -> str:
+    """Where a micro-batch's output goes: below its query's id, since another
+    checkpoint counts its batches from 0 again."""
+    query = query_of(spark)
+    return "/".join([table.rstrip("/"), *([f"query_id={query}"] if query else []), f"batch_id={batch_id}"])
 
 
 def write_batch_once(spark: SparkSession, df_fn: Callable[[], DataFrame], table: str,
                      batch_id: int, fmt: str = "parquet") -> bool:
-    """Write one micro-batch's output to ``<table>/batch_id=<n>`` unless it is
-    already committed (``_SUCCESS`` present). A half-written attempt is
-    overwritten. Returns True if it wrote.
+    """Write one micro-batch's output to ``<table>/query_id=<id>/batch_id=<n>``
+    unless this query has committed it already (``_SUCCESS`` present). A
+    half-written attempt is overwritten. Returns True if it wrote.
 
     With ``fmt="delta"`` the batch is appended to the table itself with
-    Delta's idempotent-write options (``txnAppId`` = the table path,
+    Delta's idempotent-write options (``txnAppId`` = the table path and query,
     ``txnVersion`` = the batch id), so Delta skips a replayed batch. (Not
     exercised here: no Delta jar on this machine.)
     """
     if fmt == "delta":
         (df_fn().write.format("delta").mode("append")
-         .option("txnAppId", table).option("txnVersion", batch_id).save(table))
+         .option("txnAppId", f"{table}#{query_of(spark)}").option("txnVersion", batch_id).save(table))
         return True
-    target = batch_dir(table, batch_id)
+    target = batch_dir(spark, table, batch_id)
     if _fs_exists(spark, f"{target}/_SUCCESS"):
         return False
     df_fn().write.mode("overwrite").format(fmt).save(target)
@@ -97,7 +121,7 @@ def validation_batch_writer(
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        dq_target = batch_dir(dq_path, batch_id)
+        dq_target = batch_dir(spark, dq_path, batch_id)
         dq_done = fmt != "delta" and _fs_exists(spark, f"{dq_target}/_SUCCESS")
         holder = {}
 
@@ -143,11 +167,14 @@ def _merged_days(spark, changed: DataFrame, path: str, keys: list, date_col: str
     """Existing rows of ``days`` whose key did not change, plus the changed rows."""
     if not _fs_exists(spark, path):
         return changed
-    existing = (
-        spark.read.format(fmt).option("basePath", path).load(path)
-        .filter(F.col(date_col).isin(days))
-        .select(*changed.columns)
-    )
+    reader = spark.read.format(fmt)
+    if fmt != "delta":  # declared, so a directory without a finished write is an empty table
+        reader = reader.schema(changed.schema).option("basePath", path)
+    known = [d for d in days if d is not None]
+    touched = F.col(date_col).isin(known)
+    if len(known) < len(days):
+        touched = touched | F.col(date_col).isNull()
+    existing = reader.load(path).filter(touched).select(*changed.columns)
     cols = [*keys, date_col]
     right = changed.select(*[F.col(c).alias(f"_r_{c}") for c in cols])
     cond = None
@@ -165,9 +192,10 @@ def _merge_delta(spark, changed: DataFrame, path: str, keys: list, date_col: str
     if not days:
         return
     merged = _merged_days(spark, changed, path, keys, date_col, days, "delta")
-    listed = ", ".join(f"DATE'{d.isoformat()}'" for d in days)
+    listed = [f"{date_col} = DATE'{d.isoformat()}'" for d in days if d is not None]
+    listed += [f"{date_col} IS NULL"] if None in days else []
     (merged.write.format("delta").mode("overwrite").partitionBy(date_col)
-     .option("replaceWhere", f"{date_col} IN ({listed})").save(path))
+     .option("replaceWhere", " OR ".join(listed)).save(path))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -188,12 +216,14 @@ def partition_merge_writer(
     current value. For the days it touches (a handful per batch; their list
     is the only thing collected), the existing partitions are read with
     partition pruning, the changed keys replace their old rows (anti-join +
-    union, no skew: one row per key), and the merged days are written to
-    ``_staging/batch_id=<n>``; then each day directory is swapped in by
-    rename. A replay reuses a complete staging output and finishes the swap,
-    so a crash at any point neither loses nor duplicates rows. Readers may
-    briefly miss a day during the swap on plain Parquet (a transactional
-    format avoids that).
+    union, no skew: one row per key), and the merged days are written to a
+    staging folder beside the table (``<path>__staging/<query>/batch_id=<n>``).
+    From there Spark's dynamic partition overwrite replaces just these days.
+    A replay goes on from a finished staging output, or merges again, with the
+    same content; so a crash at any point neither loses nor duplicates rows.
+    Rows without a date are a day like any other. Readers may briefly miss a
+    day while it is replaced on plain Parquet (a transactional format avoids
+    that).
     """
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
@@ -201,24 +231,18 @@ def partition_merge_writer(
         if fmt == "delta":
             _merge_delta(spark, batch_df, path, keys, date_col)
             return
-        staging = f"{path.rstrip('/')}/_staging/batch_id={batch_id}"
+        root = f"{path.rstrip('/')}__staging/{query_of(spark) or 'direct'}"
+        staging = f"{root}/batch_id={batch_id}"
         if not _fs_exists(spark, f"{staging}/_SUCCESS"):
             days = [r[0] for r in batch_df.select(date_col).distinct().collect()]
             if not days:
                 return
             merged = _merged_days(spark, batch_df, path, keys, date_col, days, fmt)
             merged.write.mode("overwrite").partitionBy(date_col).format(fmt).save(staging)
-        # swap staged day directories into place (idempotent)
-        stage_root, fs = _fs(spark, staging)
-        jvm = spark.sparkContext._jvm
-        for status in fs.listStatus(stage_root):
-            name = status.getPath().getName()
-            if not status.isDirectory() or not name.startswith(f"{date_col}="):
-                continue
-            target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
-            if fs.exists(target):
-                fs.delete(target, True)
-            fs.rename(status.getPath(), target)
-        fs.delete(stage_root, True)
+        staged = spark.read.format(fmt).schema(batch_df.schema).load(staging).select(*batch_df.columns)
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(date_col).format(fmt).save(path))
+        where, fs = _fs(spark, root)
+        fs.delete(where, True)  # what stays of it does no harm: it is keyed by query and batch
 
     return process
