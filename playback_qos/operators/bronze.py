@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playback_qos.functions.paths import col_or_null
 from playback_qos.schema import KEYS
 
 
@@ -39,7 +40,7 @@ def first_row(schema: T.StructType, payload: Sequence[str], order: Sequence[str]
     """
     maps = {c for c in payload if isinstance(schema[c].dataType, T.MapType)}
     ties = [F.array_sort(F.map_entries(c)).alias(c) if c in maps else F.col(c) for c in payload]
-    best = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *ties))
+    best = F.min(F.struct(*[col_or_null(schema, c).alias(f"_o{i}") for i, c in enumerate(order)], *ties))
     back = {c: (F.map_from_entries(f"_best.{c}") if c in maps else F.col(f"_best.{c}")).alias(c) for c in payload}
     return best, back
 

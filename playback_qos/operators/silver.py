@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playback_qos.functions.paths import col_or_null
+from playback_qos.functions.paths import col_or_null, has_path
 from playback_qos.functions.qos import clamp_non_negative, tier_column
-from playback_qos.schema import TIERS
+from playback_qos.schema import DISTRIBUTION, SILVER, TIERS
 
 
 def clamp_player(df: DataFrame) -> DataFrame:
@@ -28,6 +28,8 @@ def clamp_player(df: DataFrame) -> DataFrame:
 
 def quality_tiers(df: DataFrame, tiers=TIERS) -> DataFrame:
     """One ``quality_<tier>`` column per tier (map lookup; a missing key is null)."""
+    if "qualityDistribution" not in df.columns:  # a missing column is null
+        return df.withColumns({tier_column(t): F.lit(None).cast(DISTRIBUTION) for t in tiers})
     dist = F.col("qualityDistribution")
     return df.withColumns({tier_column(t): dist.getItem(t) for t in tiers})
 
@@ -57,9 +59,16 @@ def flatten(df: DataFrame) -> DataFrame:
     """Nested rows (with tier columns) -> the 21 flat SILVER columns, in order.
 
     One ``select`` of dotted paths: Catalyst prunes unread nested fields at the
-    Parquet scan. A null parent struct gives null children.
+    Parquet scan. A null parent struct gives null children; a missing column
+    is null, of the contract's type.
     """
-    return df.select(*[F.col(path).alias(name) for name, path in FLAT_PATHS])
+    sch = df.schema
+    return df.select(
+        *[
+            (F.col(path) if has_path(sch, path) else F.lit(None).cast(SILVER[name].dataType)).alias(name)
+            for name, path in FLAT_PATHS
+        ]
+    )
 
 
 def silver_rows(df: DataFrame) -> DataFrame:

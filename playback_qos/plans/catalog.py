@@ -46,11 +46,8 @@ def q_content_qos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_qos_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = G.add_qos_fields(X.silver_fixture(spark, sf_dir))
-    return _round(
-        df.select(
-            "serverTimestamp", "customerId", "total_received_data", "buffering_ratio", "p2p_share"
-        ),
-        ["buffering_ratio", "p2p_share"],
+    return df.select(
+        "serverTimestamp", "customerId", "total_received_data", "buffering_ratio", "p2p_share"
     )
 
 
@@ -59,6 +56,13 @@ def q_qos_dominant_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("serverTimestamp", "dominant_quality")
 
 
+def q_gold_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both Gold tables as the jobs build them: one grouping-sets aggregate."""
+    views, _ = G.qos_by_both(G.add_qos_fields(X.silver_fixture(spark, sf_dir)))
+    out = [v.withColumnRenamed(k, "key").withColumn("level", F.lit(k)) for k, v in views.items()]
+    return _round(out[0].unionByName(out[1]), GOLD_DOUBLES)
+
+
 # --- Silver -------------------------------------------------------------
 
 
@@ -87,6 +91,14 @@ def q_silver_dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.dedupe_first(X.silver_fixture(spark, sf_dir), KEYS, L.FIRST_SEEN_FLAT)
 
 
+def q_silver_dedupe_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All clocks equal: the other columns alone decide which row of a key stays."""
+    same = X.silver_fixture(spark, sf_dir).withColumns(
+        {"serverTimestamp": F.lit(X.EPOCH_MS), "agentTimestamp": F.lit(X.EPOCH_MS)}
+    )
+    return B.dedupe_first(same, KEYS, L.FIRST_SEEN_FLAT)
+
+
 def q_silver_dedupe_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = Q.valid_rows(X.raw_fixture(spark, sf_dir))
     return B.dedupe(S.silver_rows(valid)).select(*KEYS)
@@ -120,6 +132,13 @@ def q_dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.dq_results(X.raw_fixture(spark, sf_dir), with_timestamp=False)
 
 
+def q_dq_results_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without one column, with one of another type and one more than the contract has."""
+    raw = X.raw_fixture(spark, sf_dir).drop("timestampInfo")
+    drifted = raw.withColumns({"eventDate": F.col("eventDate").cast("string"), "newField": F.lit(1)})
+    return Q.dq_results(drifted, with_timestamp=False)
+
+
 def q_valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(Q.valid_rows(X.raw_fixture(spark, sf_dir)))
 
@@ -174,17 +193,20 @@ QUERIES = {
     "viewer_qos": q_viewer_qos,
     "content_qos": q_content_qos,
     "qos_fields": q_qos_fields,
+    "gold_both": q_gold_both,
     "qos_dominant_quality": q_qos_dominant_quality,
     "silver_clamp": q_silver_clamp,
     "silver_quality_tiers": q_silver_quality_tiers,
     "silver_flatten": q_silver_flatten,
     "silver_dedupe_first": q_silver_dedupe_first,
+    "silver_dedupe_ties": q_silver_dedupe_ties,
     "silver_dedupe_keys": q_silver_dedupe_keys,
     "silver_layer": q_silver_layer,
     "bronze_minimal_validation": q_bronze_minimal_validation,
     "bronze_dedupe_keys": q_bronze_dedupe_keys,
     "bronze_layer": q_bronze_layer,
     "dq_results": q_dq_results,
+    "dq_results_schema_drift": q_dq_results_schema_drift,
     "valid_rows": q_valid_rows,
     "dq_silent_drops": q_dq_silent_drops,
     "viewer_qos_end_to_end": q_viewer_qos_end_to_end,

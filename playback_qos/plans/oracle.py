@@ -42,6 +42,8 @@ SILVER_COLS = (
     "quality_240p, quality_360p, quality_480p, quality_720p, quality_1080p"
 )
 
+TIE_COLS = ", ".join(f"{c.strip()} asc nulls first" for c in SILVER_COLS.split(",")[4:])
+
 IDS_OK = "customerId is not null and contentId is not null and clientId is not null"
 
 REQUIRED_FAILED = (
@@ -187,7 +189,7 @@ ORACLE_SQL = {
     "qos_fields": f"""
 with {S}, q as ({QOS.format(src='s')})
 select serverTimestamp, customerId, total_received_data,
-  round(buffering_ratio, 9) as buffering_ratio, round(p2p_share, 9) as p2p_share from q
+  buffering_ratio, p2p_share from q
 """,
     "qos_dominant_quality": f"""
 with {S}, q as ({QOS.format(src='s')}) select serverTimestamp, dominant_quality from q
@@ -202,6 +204,22 @@ with {S} select serverTimestamp, quality_240p, quality_360p, quality_480p, quali
 """,
     "silver_flatten": f"with {S} select {SILVER_COLS} from s",
     "silver_dedupe_first": f"with {S} {dedupe_first('s')}",
+    "gold_both": f"""
+with {S} select 'customerId' as level, g.* rename (customerId as key) from ({gold('s', 'customerId')}) g
+union all select 'contentId' as level, g.* rename (contentId as key) from ({gold('s', 'contentId')}) g
+""",
+    "silver_dedupe_ties": f"""
+with {S}, same as (select * replace (1704067200000 as serverTimestamp, 1704067200000 as agentTimestamp) from s)
+select {SILVER_COLS} from (
+  select *, row_number() over (partition by {KEYS} order by {TIE_COLS}) as rn from same) where rn = 1
+""",
+    "dq_results_schema_drift": f"""
+with {S} {dq('s')}""".replace(
+        "cast(1 as bigint) as passed_count,\n       cast(0 as bigint) as failed_count, "
+        "'[]' as missing_cols, '[]' as wrong_type_cols,\n       '[]' as unexpected_cols",
+        "cast(0 as bigint) as passed_count, cast(2 as bigint) as failed_count, "
+        "'[''timestampInfo'']' as missing_cols, '[''eventDate'']' as wrong_type_cols, "
+        "'[''newField'']' as unexpected_cols"),
     "silver_dedupe_keys": f"with {S} select distinct {KEYS} from s where {VALID}",
     "silver_layer": f"""
 with {S}, v as (select * from s where {VALID})
