@@ -106,9 +106,10 @@ def main(argv=None) -> None:
         ensure_dir(spark, args.telemetry_in)
         ensure_dir(spark, layout.telemetry)
         queries += [
-            jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, args.trigger, mf),
-            jobs.stream_buffering_intervals(spark, layout, args.fmt, args.trigger,
-                                            max_files_per_trigger=mf),
+            jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, args.trigger,
+                                  mf or jobs.TELEMETRY_FILES_PER_TRIGGER),
+            jobs.stream_buffering_intervals(spark, layout, args.fmt, args.trigger, pending_days=7,
+                                            max_files_per_trigger=mf or jobs.TELEMETRY_FILES_PER_TRIGGER),
         ]
     spark.streams.awaitAnyTermination()
     jobs.await_all(queries, timeout=1)

@@ -2,21 +2,16 @@
 
 ``lag() over (partition by key order by ...)`` sends every row of a key to
 one task; a key holding a third of all rows would then sort a third of the
-data in one task. Here a key with more than ``rows_per_chunk`` rows is split
-into equal-width sub-ranges of its first order column, the lag runs per
-(key, sub-range), and the first row of each sub-range takes its predecessor
-from a per-(key, sub-range) summary (one row per sub-range, so the second
-window sorts at most ``count / rows_per_chunk + 1`` rows per key).
-
-Hot keys are found on a Bernoulli sample (``sample_fraction``): only the
-sampled rows are shuffled for that count. Detection affects balance, not
-results -- a missed hot key is just processed in one task, and sub-ranges
-from sampled bounds are still monotone in the order column, so rows outside
-the sampled range land in the first/last sub-range with order intact. A key
-is hot when its sampled count exceeds ``rows_per_chunk * sample_fraction``;
-there are at most ``sample_rows / (rows_per_chunk * sample_fraction)`` ~
-``total_rows / rows_per_chunk`` of them, which bounds the broadcast.
-Everything else is built-in aggregates and windows; no row leaves the JVM.
+data in one task. Here every key is cut into fixed buckets of its first order
+column, whatever its size: the lag runs per (key, bucket), and the first row
+of a bucket takes its predecessor from a second lag over the first and last
+row of each bucket only.
+
+One path serves all keys: nothing is sampled, counted, broadcast or switched
+by size. A task sorts at most one key's rows of one bucket, so ``width`` is
+chosen from the densest rate one key can have. The second lag sees at most
+two rows a bucket: a year of hourly buckets is 17,520 rows of a key. Both
+lags read the same shuffled rows, so the input is scanned once.
 """
 
 from __future__ import annotations
@@ -26,9 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ROWS_PER_CHUNK = 2_000_000
-DEFAULT_SAMPLE_FRACTION = 0.01
-SAMPLE_SEED = 17
+#: one hour, for order columns in epoch milliseconds
+DEFAULT_BUCKET = 3_600_000
 
 
 def with_previous(
@@ -36,79 +30,32 @@ def with_previous(
     key: str,
     order: Sequence[str],
     carry: Sequence[str],
-    rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+    width: int = DEFAULT_BUCKET,
     prefix: str = "prev_",
-    sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
 ) -> DataFrame:
     """Add ``prev_<c>`` for each ``c`` in ``carry``: its value on the previous
     row of the same ``key`` when rows are ordered by ``order`` (null on the
-    first row). ``order`` must be non-null and, for a deterministic result,
-    unique within a key. The first order column must be numeric (it is split
-    into sub-ranges for hot keys). Rows with a null ``key`` form one group
-    that is never split (a null key cannot match the hot-key table); filter
-    them out first where that group could be large.
-    """
-    order = list(order)
-    carry = list(carry)
-    lead_col = order[0]
-
-    # 1. keys too large for one task, estimated on a sample (partial aggregate).
-    columns = df.columns
-    fraction = min(float(sample_fraction), 1.0)
-    sampled = df if fraction >= 1.0 else df.sample(fraction=fraction, seed=SAMPLE_SEED)
-    stats = sampled.groupBy(key).agg(
-        (F.count(F.lit(1)) / F.lit(fraction)).alias("_n"),
-        F.min(lead_col).alias("_lo"),
-        F.max(lead_col).alias("_hi"),
-    )
-    hot = stats.filter(F.col("_n") > F.lit(rows_per_chunk)).select(
-        key,
-        "_lo",
-        "_hi",
-        F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("long").alias("_parts"),
-    )
-    # |hot| <= sample_rows / (rows_per_chunk * fraction): bounded, so broadcast is safe.
-    tagged = df.join(F.broadcast(hot), on=key, how="left")
-    span = (F.col("_hi") - F.col("_lo")).cast("double") + F.lit(1.0)
-    sub = F.when(
-        F.col("_parts").isNull(), F.lit(0).cast("long")
-    ).otherwise(
-        F.floor((F.col(lead_col) - F.col("_lo")).cast("double") * F.col("_parts") / span).cast("long")
-    )
-    tagged = tagged.withColumns({"_sub": sub, "_hot": F.col("_parts").isNotNull()}).drop(
-        "_lo", "_hi", "_parts"
-    )
+    first row).
 
-    # 2. lag inside each (key, sub-range). ``_hot`` depends on the key only, so
-    # adding it to the partitioning changes no group but lets filters on it
-    # move below the window.
-    w = Window.partitionBy(key, "_hot", "_sub").orderBy(*order)
-    local = tagged.withColumns(
-        {f"{prefix}{c}": F.lag(c).over(w) for c in carry}
-        | {"_head": F.row_number().over(w) == 1}
-    )
-
-    # 3. predecessor of each hot sub-range head = last row of the previous
-    # sub-range. The summary has one row per hot sub-range:
-    # at most 2 * total_rows / rows_per_chunk rows, so it is broadcast.
-    order_struct = F.struct(*[F.col(c) for c in order])
-    summary = (
-        tagged.filter(F.col("_hot"))
-        .groupBy(key, "_sub")
-        .agg(F.max_by(F.struct(*[F.col(c) for c in carry]), order_struct).alias("_last"))
-    )
-    ws = Window.partitionBy(key).orderBy("_sub")
-    bridge = summary.select(key, "_sub", F.lag("_last").over(ws).alias("_before")).filter(
-        F.col("_before").isNotNull()
-    )
-
-    is_hot_head = F.col("_hot") & F.col("_head")
-    heads = (
-        local.filter(is_hot_head)
-        .drop(*[f"{prefix}{c}" for c in carry])
-        .join(F.broadcast(bridge), on=[key, "_sub"], how="left")
-        .withColumns({f"{prefix}{c}": F.col(f"_before.{c}") for c in carry})
-    )
-    rest = local.filter(~is_hot_head)
-    cols = columns + [f"{prefix}{c}" for c in carry]
-    return rest.select(*cols).unionByName(heads.select(*cols))
+    The first order column must be a non-null number; ``width`` is the bucket
+    size in its unit. ``order`` should be unique within a key: rows that tie
+    on all of it are put in the order of their ``carry`` values, so what comes
+    out never depends on partitioning. Rows with a null ``key`` form one group.
+    """
+    cols = df.columns
+    by = [*order, *[c for c in carry if c not in order]]
+    previous = [f"{prefix}{c}" for c in carry]
+    bucketed = df.withColumn("_bucket", F.floor(F.col(order[0]) / F.lit(width)))
+    inside = Window.partitionBy(key, "_bucket").orderBy(*by)
+    local = bucketed.withColumns(
+        {p: F.lag(c).over(inside) for p, c in zip(previous, carry)}
+        | {
+            "_first": F.lag("_bucket").over(inside).isNull(),
+            "_last": F.lead("_bucket").over(inside).isNull(),
+        }
+    )
+    across = Window.partitionBy(key).orderBy(*by)
+    edges = local.filter("_first OR _last").drop(*previous)
+    linked = edges.withColumns({p: F.lag(c).over(across) for p, c in zip(previous, carry)})
+    out = [*cols, *previous]
+    return local.filter("NOT _first").select(*out).unionByName(linked.filter("_first").select(*out))

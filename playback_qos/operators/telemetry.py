@@ -13,48 +13,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playback_qos.operators.sequence import (
-    DEFAULT_ROWS_PER_CHUNK,
-    DEFAULT_SAMPLE_FRACTION,
-    with_previous,
-)
+from playback_qos.operators.sequence import DEFAULT_BUCKET, with_previous
 from playback_qos.schema import (
     EVT_BUFFER_END,
     EVT_BUFFER_START,
     TELEMETRY,
-    TELEMETRY_BUFFERING,
-    TELEMETRY_QUALITY,
+    TELEMETRY_ORDER,
+    TELEMETRY_PAYLOADS,
     TELEMETRY_REQUIRED,
 )
 
 CORRUPT = "_corrupt_record"
 
-# Parse schema: the receiver's fields; ``timestamp`` is read as text and cast
-# after parsing so that a present-but-unusable value is told apart from an
-# absent one.
+# Parse schema: ``timestamp`` is read as text and cast after parsing so that a
+# present-but-unusable value is told apart from an absent one. Payloads are
+# text in TELEMETRY, which keeps whatever keys and values they have.
 _PARSE = T.StructType(
-    [
-        T.StructField("event_type", T.StringType()),
-        T.StructField("playback_position", T.DoubleType()),
-        T.StructField("quality", TELEMETRY_QUALITY),
-        T.StructField("buffering", TELEMETRY_BUFFERING),
-        T.StructField("sessionId", T.StringType()),
-        T.StructField("viewerId", T.StringType()),
-        T.StructField("eventId", T.StringType()),
-        T.StructField("timestamp", T.StringType()),
-        T.StructField(CORRUPT, T.StringType()),
-    ]
+    [T.StructField(f.name, T.StringType() if f.name == "timestamp" else f.dataType) for f in TELEMETRY.fields]
+    + [T.StructField(CORRUPT, T.StringType())]
 )
 
 
 def parse_telemetry(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON lines -> typed TELEMETRY columns plus ``reason`` (null = accepted).
 
-    One JSON parse per line. Unknown keys are dropped; absent optional
-    fields become null. ``reason`` is the first failed check of:
-    ``malformed`` (not a JSON object), ``missing:<field>`` (required field
-    absent or null), ``bad_type:timestamp`` (not an integer),
-    ``bad_type:payload`` (a field of the wrong JSON type).
+    One JSON parse per line. Unknown top-level keys are dropped; absent
+    optional fields become null. A payload may be any JSON object and is kept
+    whole, as JSON text (a quoted string that itself holds an object counts as
+    that object). ``reason`` is the first failed check of: ``malformed`` (not a
+    JSON object), ``missing:<field>`` (required field absent or null),
+    ``bad_type:timestamp`` (not an integer), ``bad_type:payload`` (a field of
+    the wrong JSON type, a payload that is no object).
     """
     parsed = F.from_json(
         F.col(value_col), _PARSE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -69,7 +58,7 @@ def parse_telemetry(lines: DataFrame, value_col: str = "value") -> DataFrame:
     for f in fields:
         all_null = all_null & F.col(f).isNull()
     reason: Column = F.when(F.col(CORRUPT).isNotNull() & all_null, F.lit("malformed")).when(
-        all_null & F.col(value_col).isNotNull() & ~F.col(value_col).startswith("{"),
+        all_null & F.col(value_col).isNotNull() & ~F.col(value_col).rlike(r"^\s*\{"),
         F.lit("malformed"),
     )
     for f in TELEMETRY_REQUIRED:
@@ -77,6 +66,8 @@ def parse_telemetry(lines: DataFrame, value_col: str = "value") -> DataFrame:
     reason = reason.when(ts.isNull(), F.lit("bad_type:timestamp")).when(
         F.col(CORRUPT).isNotNull(), F.lit("bad_type:payload")
     )
+    for f in TELEMETRY_PAYLOADS:
+        reason = reason.when(~F.col(f).startswith("{"), F.lit("bad_type:payload"))
     return df.select(
         *keep,
         F.col(value_col),
@@ -95,29 +86,42 @@ def split_contract(lines: DataFrame, value_col: str = "value"):
     return accepted, quarantined
 
 
+def _typed_payload(df: DataFrame, payload: str, fields: T.StructType) -> DataFrame:
+    """``payload`` replaced by its fields: taken from a struct, or from JSON text by casts of their own."""
+    base = [c for c in df.columns if c != payload]
+    if isinstance(df.schema[payload].dataType, T.StructType):
+        return df.select(*base, *[F.col(f"{payload}.{f.name}") for f in fields])
+    text = T.StructType([T.StructField(f"_{f.name}", T.StringType()) for f in fields])
+    names = F.from_json(payload, T.StructType([T.StructField(f.name, T.StringType()) for f in fields]))
+    # a Generate node, as in ``parse_telemetry``: one parse a payload, not one a field
+    parsed = df.select(*base, F.inline(F.array(names.cast(text))))
+
+    def typed(f: T.StructField) -> Column:
+        value = F.col(f"_{f.name}")
+        return F.coalesce(value.try_cast(f.dataType), value.try_cast("double").try_cast(f.dataType)).alias(f.name)
+
+    return parsed.select(*base, *[typed(f) for f in fields])
+
+
 def flatten_payloads(df: DataFrame) -> DataFrame:
-    """Typed telemetry -> flat columns (null payload gives nulls)."""
-    nested = {"quality", "buffering"}
-    base = [c for c in df.columns if c not in nested]
-    return df.select(
-        *base,
-        F.col("quality.level_index").alias("level_index"),
-        F.col("quality.height").alias("height"),
-        F.col("quality.bitrate").alias("bitrate"),
-        F.col("buffering.started_at").alias("started_at"),
-        F.col("buffering.ended_at").alias("ended_at"),
-        F.col("buffering.duration_ms").alias("duration_ms"),
-    )
+    """Telemetry -> flat columns (null payload gives nulls).
+
+    Payload values are read as integers: a fraction is cut off towards zero,
+    and what is no number (``"auto"``) becomes null. Other keys of a payload
+    stay in the accepted rows and are not among the flat columns.
+    """
+    for payload, fields in TELEMETRY_PAYLOADS.items():
+        df = _typed_payload(df, payload, fields)
+    return df
 
 
 def buffering_intervals(
     df: DataFrame,
     session: str = "sessionId",
-    order=("timestamp",),
+    order=TELEMETRY_ORDER,
     start_type: str = EVT_BUFFER_START,
     end_type: str = EVT_BUFFER_END,
-    rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-    sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
+    bucket_ms: int = DEFAULT_BUCKET,
 ) -> DataFrame:
     """Pair each buffering end with the start right before it.
 
@@ -125,20 +129,23 @@ def buffering_intervals(
     an end with no pending start is ignored, and an end clears the pending
     start. So an interval is emitted at an end whose previous start/end event
     is a start: ``started_at`` = that start's time, ``ended_at`` = the end's
-    time, ``duration_ms`` = their difference. The first ``order`` column is
-    the event time in epoch ms. Skew-safe (see ``sequence.with_previous``).
+    time, ``duration_ms`` = their difference.
+
+    The first ``order`` column is the event time in epoch ms; the others must
+    tell apart events of the same millisecond (the position in the log, a
+    sequence number), so time alone is refused. ``bucket_ms`` bounds what one
+    session brings to one task (see ``sequence.with_previous``).
     """
     order = list(order)
+    if len(order) < 2:
+        raise ValueError("events of one millisecond need a second order column")
     time_col = order[0]
     marks = df.filter(
         F.col("event_type").isin(start_type, end_type)
         & F.col(session).isNotNull()
         & F.col(time_col).isNotNull()
     ).select(session, *order, "event_type")
-    paired = with_previous(
-        marks, session, order, ["event_type", time_col], rows_per_chunk,
-        sample_fraction=sample_fraction,
-    )
+    paired = with_previous(marks, session, order, ["event_type", time_col], bucket_ms)
     return paired.filter(
         (F.col("event_type") == end_type) & (F.col("prev_event_type") == start_type)
     ).select(

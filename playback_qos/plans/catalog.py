@@ -189,6 +189,13 @@ def q_buffering_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TM.buffering_intervals(tele, order=("timestamp", "seq"))
 
 
+def q_buffering_intervals_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times cut to days, so that the second order column decides most neighbours."""
+    tele = X.telemetry_from_events(X.events(spark, sf_dir))
+    days = tele.withColumn("timestamp", F.expr("timestamp div 86400000 * 86400000"))
+    return TM.buffering_intervals(days, order=("timestamp", "seq"))
+
+
 QUERIES = {
     "viewer_qos": q_viewer_qos,
     "content_qos": q_content_qos,
@@ -216,4 +223,5 @@ QUERIES = {
     "telemetry_quarantine": q_telemetry_quarantine,
     "telemetry_flat": q_telemetry_flat,
     "buffering_intervals": q_buffering_intervals,
+    "buffering_intervals_ties": q_buffering_intervals_ties,
 }

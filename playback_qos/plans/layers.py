@@ -22,11 +22,6 @@ def bronze_layer(raw: DataFrame, keys: Sequence[str] = KEYS, deterministic: bool
     return B.bronze(raw, keys, FIRST_SEEN if deterministic else None)
 
 
-def validated_layer(bronze: DataFrame, bounds: Q.Bounds = Q.DEFAULT_BOUNDS):
-    """Bronze -> (validated rows, DQ rows)."""
-    return Q.validate(bronze, bounds)
-
-
 def silver_layer(
     validated: DataFrame,
     keys: Sequence[str] = KEYS,
@@ -161,7 +156,9 @@ def write_layers(
         raise ValueError(f"written by streams, not to be rebuilt in place: {streamed}")
 
     def write(df: DataFrame, path: str, partitioned: bool = True, mode: str = "overwrite") -> None:
-        w = df.write.mode(mode).format(fmt)
+        # rows of a day meet before they are written: few files a day, and
+        # adaptive execution splits a day that is too large for one task
+        w = (df.hint("rebalance", "eventDate") if partitioned else df).write.mode(mode).format(fmt)
         if partitioned:
             if since is not None:
                 remove_days(spark, path, "eventDate", since)

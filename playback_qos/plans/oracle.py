@@ -161,9 +161,12 @@ j as (
   select seq, json_object(
     'event_type', event_type, 'playback_position', playback_position,
     'quality', case when level_index is not null then
-        json_object('level_index', level_index, 'height', height, 'bitrate', bitrate) end,
+        json_object('level_index', level_index, 'height', height,
+          'bitrate', case when seq % 3 = 0 and seq % 61 <> 0 then bitrate + 0.75e0 else bitrate end,
+          'codec', 'avc1') end,
     'buffering', case when ended_at is not null then
-        json_object('started_at', started_at, 'ended_at', ended_at, 'duration_ms', duration_ms) end,
+        json_object('started_at', started_at, 'ended_at', ended_at, 'duration_ms', duration_ms)
+      when seq % 61 = 0 then to_json('n/a') end,
     'sessionId', case when seq % 53 <> 0 then sessionId end,
     'viewerId', viewerId, 'eventId', eventId,
     'timestamp', case when seq % 47 = 0 then to_json('n/a') else to_json("timestamp") end,
@@ -179,10 +182,26 @@ c as (
       when line->>'eventId' is null then 'missing:eventId'
       when line->>'timestamp' is null then 'missing:timestamp'
       when try_cast(line->>'timestamp' as bigint) is null then 'bad_type:timestamp'
+      when json_type(line, '$.buffering') not in ('OBJECT', 'NULL') then 'bad_type:payload'
     end as reason
   from l)
 """
 
+
+
+def intervals(ms: str) -> str:
+    return f"""
+with m as (
+  select 'sess-' || cast(user_id as varchar) as sessionId, {ms} as ms, event_id, event_type
+  from events where event_type in ('click', 'view')),
+o as (
+  select *, lag(event_type) over w as prev_type, lag(ms) over w as prev_ms from m
+  window w as (partition by sessionId order by ms, event_id))
+select sessionId, prev_ms as started_at, ms as ended_at, ms - prev_ms as duration_ms
+from o where event_type = 'view' and prev_type = 'click'
+"""
+
+
 ORACLE_SQL = {
     "viewer_qos": f"with {S} {gold('s', 'customerId')}",
     "content_qos": f"with {S} {gold('s', 'contentId')}",
@@ -250,7 +269,7 @@ select seq, line->>'event_type' as event_type,
   cast(line->>'playback_position' as double) as playback_position,
   cast(line->'quality'->>'level_index' as int) as level_index,
   cast(line->'quality'->>'height' as int) as height,
-  cast(line->'quality'->>'bitrate' as bigint) as bitrate,
+  cast(trunc(cast(line->'quality'->>'bitrate' as double)) as bigint) as bitrate,
   cast(line->'buffering'->>'started_at' as bigint) as started_at,
   cast(line->'buffering'->>'ended_at' as bigint) as ended_at,
   cast(line->'buffering'->>'duration_ms' as bigint) as duration_ms,
@@ -262,14 +281,6 @@ from c where reason is null
 with {TELEMETRY_LINES}
 select reason, count(*) as n from c where reason is not null group by reason
 """,
-    "buffering_intervals": f"""
-with m as (
-  select 'sess-' || cast(user_id as varchar) as sessionId, {MS} as ms, event_id, event_type
-  from events where event_type in ('click', 'view')),
-o as (
-  select *, lag(event_type) over w as prev_type, lag(ms) over w as prev_ms from m
-  window w as (partition by sessionId order by ms, event_id))
-select sessionId, prev_ms as started_at, ms as ended_at, ms - prev_ms as duration_ms
-from o where event_type = 'view' and prev_type = 'click'
-""",
+    "buffering_intervals": intervals(MS),
+    "buffering_intervals_ties": intervals(f"({MS} // 86400000 * 86400000)"),
 }

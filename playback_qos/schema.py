@@ -127,47 +127,6 @@ def silver_schema(tier_type: T.DataType = DISTRIBUTION) -> T.StructType:
 SILVER = silver_schema()
 SILVER_COLUMNS = SILVER.fieldNames()
 
-GOLD_MEASURES = [
-    "total_buffering_time",
-    "total_bufferings",
-    "total_received_data",
-    "avg_buffering_ratio",
-    "avg_p2p_share",
-    "event_count",
-    "max_quality",
-    "buffering_ratio",
-]
-
-
-def gold_schema(key: str) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField(key, T.StringType()),
-            T.StructField("eventDate", T.DateType()),
-            T.StructField("total_buffering_time", T.LongType()),
-            T.StructField("total_bufferings", T.LongType()),
-            T.StructField("total_received_data", T.LongType()),
-            T.StructField("avg_buffering_ratio", T.DoubleType()),
-            T.StructField("avg_p2p_share", T.DoubleType()),
-            T.StructField("event_count", T.LongType()),
-            T.StructField("max_quality", T.StringType()),
-            T.StructField("buffering_ratio", T.DoubleType()),
-        ]
-    )
-
-
-DQ = T.StructType(
-    [
-        T.StructField("rule_name", T.StringType()),
-        T.StructField("passed_count", T.LongType()),
-        T.StructField("failed_count", T.LongType()),
-        T.StructField("missing_cols", T.StringType()),
-        T.StructField("wrong_type_cols", T.StringType()),
-        T.StructField("unexpected_cols", T.StringType()),
-        T.StructField("run_timestamp", T.TimestampType()),
-    ]
-)
-
 TELEMETRY_QUALITY = T.StructType(
     [
         T.StructField("level_index", T.IntegerType()),
@@ -184,12 +143,15 @@ TELEMETRY_BUFFERING = T.StructType(
     ]
 )
 
+# Payloads are free-form objects, kept whole as JSON text; these are the fields read from them.
+TELEMETRY_PAYLOADS = {"quality": TELEMETRY_QUALITY, "buffering": TELEMETRY_BUFFERING}
+
 TELEMETRY = T.StructType(
     [
         T.StructField("event_type", T.StringType()),
         T.StructField("playback_position", T.DoubleType()),
-        T.StructField("quality", TELEMETRY_QUALITY),
-        T.StructField("buffering", TELEMETRY_BUFFERING),
+        T.StructField("quality", T.StringType()),
+        T.StructField("buffering", T.StringType()),
         T.StructField("sessionId", T.StringType()),
         T.StructField("viewerId", T.StringType()),
         T.StructField("eventId", T.StringType()),
@@ -197,6 +159,18 @@ TELEMETRY = T.StructType(
     ]
 )
 
+# Where a line stands in the receiver's log: file, split of the file, line in reading order.
+LOG_POSITION = T.StructType(
+    [
+        T.StructField("log_file", T.StringType()),
+        T.StructField("log_split", T.LongType()),
+        T.StructField("log_line", T.LongType()),
+    ]
+)
+
+#: Event time, then the log position of events of the same millisecond.
+TELEMETRY_ORDER = ("timestamp", *LOG_POSITION.fieldNames())
+
 INTERVALS = T.StructType(
     [
         T.StructField("sessionId", T.StringType()),

@@ -187,8 +187,10 @@ def telemetry_json_from_events(ev: DataFrame) -> DataFrame:
     """JSON lines (column ``value``) as the receiver would log them, with faults.
 
     Faults injected by event id: a missing ``sessionId`` (id % 53 == 0), a
-    non-numeric ``timestamp`` (id % 47 == 0), a truncated line (id % 101 == 0).
-    Every line also carries an unknown key that the contract drops.
+    non-numeric ``timestamp`` (id % 47 == 0), a payload that is no object
+    (id % 61 == 0, where it is absent), a truncated line (id % 101 == 0).
+    Every line also carries an unknown key that the contract drops; quality
+    payloads have a key and a fractional bitrate (id % 3 == 0) that it keeps.
     """
     # 1. one JSON text per event (numeric timestamp, every field written)
     body = (
@@ -212,6 +214,19 @@ def telemetry_json_from_events(ev: DataFrame) -> DataFrame:
             ),
         ],
     )
+    lines = _select(
+        lines,
+        [
+            ("seq", "seq"),
+            (
+                "line",
+                "case when seq % 61 = 0 then replace(line, '\"buffering\":null', '\"buffering\":\"n/a\"') "
+                "when seq % 3 = 0 then "
+                "regexp_replace(line, '\"bitrate\":([0-9]+)', '\"bitrate\":$1.75,\"codec\":\"avc1\"') "
+                "else line end",
+            ),
+        ],
+    )
     return _select(
         lines,
         [("seq", "seq"), ("value", "case when seq % 101 = 0 then substring(line, 1, 40) else line end")],

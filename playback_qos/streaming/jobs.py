@@ -17,12 +17,23 @@ from playback_qos.operators import gold as G
 from playback_qos.operators import quality as Q
 from playback_qos.operators import silver as S
 from playback_qos.operators import telemetry as TM
-from playback_qos.schema import DISTRIBUTION, KEYS, TELEMETRY, raw_schema, silver_schema
+from playback_qos.schema import (
+    DISTRIBUTION,
+    KEYS,
+    LOG_POSITION,
+    TELEMETRY,
+    TELEMETRY_ORDER,
+    raw_schema,
+    silver_schema,
+)
 from playback_qos.sources import tables as TB
 from playback_qos.streaming import sinks as K
 from playback_qos.streaming.layout import Layout
 from playback_qos.streaming.state import buffering_intervals_stream
 
+#: Input files of one telemetry micro-batch, which bounds what a session brings to one task.
+TELEMETRY_FILES_PER_TRIGGER = 64
+
 _DAY = "_event_day"
 _SALT = "_salt"
 
@@ -101,7 +112,8 @@ def stream_bronze(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                   salt_buckets: int | None = None) -> StreamingQuery:
     """Raw table stream -> id filter -> dedupe -> Bronze (partitioned by eventDate).
 
-    ``tier_type`` is the value type of ``qualityDistribution`` in the source.
+    Bronze gets every column of the source. ``tier_type`` is the value type of
+    ``qualityDistribution`` where the source has no file yet.
     """
     raw = TB.read_stream(spark, layout.source_raw, raw_schema(tier_type), fmt,
                          max_files_per_trigger)
@@ -276,7 +288,7 @@ def telemetry_batch_writer(accepted_path: str, quarantine_path: str, fmt: str =
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        checked = TM.parse_telemetry(batch_df).persist()
+        checked = TM.parse_telemetry(TB.with_log_line(batch_df)).persist()
         try:
             K.write_batch_once(
                 spark,
@@ -296,8 +308,8 @@ def telemetry_batch_writer(accepted_path: str, quarantine_path: str, fmt: str =
 
 def stream_telemetry(spark: SparkSession, incoming: str, layout: Layout, fmt: str = "parquet",
                      trigger: str | None = None,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Receiver log directory (JSON lines) -> accepted events + quarantine."""
+                     max_files_per_trigger: int | None = TELEMETRY_FILES_PER_TRIGGER) -> StreamingQuery:
+    """Receiver log directory (JSON lines) -> accepted events, with their log position, + quarantine."""
     lines = TB.telemetry_lines_stream(spark, incoming, max_files_per_trigger)
     w = (
         lines.writeStream.foreachBatch(
@@ -310,12 +322,20 @@ def stream_telemetry(spark: SparkSession, incoming: str, layout: Layout, fmt: st
 
 
 def stream_buffering_intervals(spark: SparkSession, layout: Layout, fmt: str = "parquet",
-                               trigger: str | None = None, order=("timestamp",),
-                               max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Accepted telemetry stream -> buffering intervals (stateful, append)."""
-    tele = TB.read_batch_table_stream(spark, layout.telemetry, TELEMETRY, fmt,
+                               trigger: str | None = None, order=TELEMETRY_ORDER,
+                               max_files_per_trigger: int | None = TELEMETRY_FILES_PER_TRIGGER,
+                               pending_days: int | None = None) -> StreamingQuery:
+    """Accepted telemetry stream -> buffering intervals (stateful, append).
+
+    A long-running query should set ``pending_days``, after which a session's
+    pending start is dropped (see ``state.buffering_intervals_stream``).
+    """
+    if pending_days is not None and trigger == "available_now":
+        raise ValueError("a query that drains its input and stops cannot expire state")
+    tele = TB.read_batch_table_stream(spark, layout.telemetry,
+                                      T.StructType(LOG_POSITION.fields + TELEMETRY.fields), fmt,
                                       max_files_per_trigger)
-    out = buffering_intervals_stream(tele, order)
+    out = buffering_intervals_stream(tele, order, pending_days)
     return K.append_stream(out, layout.buffering_intervals,
                            layout.checkpoint("buffering_intervals"), fmt, None, trigger,
                            name="buffering_intervals")

@@ -2,8 +2,9 @@
 
 Window functions are refused on streams, so the pairing runs as a
 ``transformWithStateInPandas`` processor keyed by session: the only state
-kept per session is the pending buffering start (epoch ms), i.e. one long.
-Rows of a session inside one micro-batch are ordered by (timestamp, seq);
+kept per session is the pending buffering start (epoch ms), i.e. one long,
+and it can expire. Only buffering starts and ends are shuffled. Rows of a session
+inside one micro-batch are put in a total order (time, then log position);
 across micro-batches, arrival order is trusted (the collector posts in
 order). A micro-batch is bounded with ``maxFilesPerTrigger``, which bounds
 what one session can bring to one task.
@@ -15,9 +16,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from playback_qos.schema import EVT_BUFFER_END, EVT_BUFFER_START, INTERVALS
+from playback_qos.schema import EVT_BUFFER_END, EVT_BUFFER_START, INTERVALS, TELEMETRY_ORDER
 
 _OUT_COLS = INTERVALS.fieldNames()
 
@@ -26,21 +28,19 @@ class BufferingPairing(StatefulProcessor):
     """Emit (sessionId, started_at, ended_at, duration_ms) at each end whose
     previous start/end event is a start."""
 
-    def __init__(self, order=("timestamp", "seq")):
+    def __init__(self, order=TELEMETRY_ORDER, pending_days: int | None = None):
         self.order = list(order)
+        self.ttl_ms = None if pending_days is None else int(pending_days) * 86_400_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pending = handle.getValueState("pending_start", "started_at long")
+        self.pending = handle.getValueState("pending_start", "started_at long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch[batch["event_type"].isin([EVT_BUFFER_START, EVT_BUFFER_END])]
-        batch = batch[batch["timestamp"].notna()]
-        if batch.empty:
-            return
-        batch = batch.sort_values(self.order, kind="stable")
+        # rows that tie on the order go by type, as in the batch form
+        batch = batch.sort_values([*self.order, "event_type"], kind="stable", na_position="first")
         types = batch["event_type"].reset_index(drop=True)
-        times = batch["timestamp"].astype("int64").reset_index(drop=True)
+        times = batch[self.order[0]].astype("int64").reset_index(drop=True)
         if self.pending.exists():  # carry the pending start in front of the batch
             types = pd.concat([pd.Series([EVT_BUFFER_START]), types], ignore_index=True)
             times = pd.concat(
@@ -63,16 +63,31 @@ class BufferingPairing(StatefulProcessor):
         pass
 
 
-def buffering_intervals_stream(telemetry: DataFrame, order=("timestamp", "seq")) -> DataFrame:
-    """Streaming telemetry (typed) -> interval rows, append mode."""
-    cols = ["sessionId", "event_type", *order]
+def buffering_intervals_stream(telemetry: DataFrame, order=TELEMETRY_ORDER, pending_days: int | None = None) -> DataFrame:
+    """Streaming telemetry (typed) -> interval rows, append mode.
+
+    ``order`` is event time and then what tells apart events of one
+    millisecond. With ``pending_days`` a start whose end does not come within
+    so many days (of processing time) is forgotten, so a session that ends on a
+    start does not stay in the state for good. Spark then runs batches without
+    data for ever, so only a query that never ends can have it, and a
+    checkpoint keeps the choice it was made with.
+    """
+    order = list(order)
+    if len(order) < 2:
+        raise ValueError("events of one millisecond need a second order column")
+    marks = telemetry.filter(
+        F.col("event_type").isin(EVT_BUFFER_START, EVT_BUFFER_END)
+        & F.col("sessionId").isNotNull()
+        & F.col(order[0]).isNotNull()
+    )
     return (
-        telemetry.select(*cols)
+        marks.select("sessionId", "event_type", *order)
         .groupBy("sessionId")
         .transformWithStateInPandas(
-            statefulProcessor=BufferingPairing(order),
+            statefulProcessor=BufferingPairing(order, pending_days),
             outputStructType=INTERVALS,
             outputMode="Append",
-            timeMode="None",
+            timeMode="None" if pending_days is None else "ProcessingTime",
         )
     )

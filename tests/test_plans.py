@@ -43,8 +43,14 @@ def test_scans_read_only_needed_columns(static_plans):
 
 
 def test_telemetry_parse_happens_once(static_plans):
-    plan = static_plans("telemetry_contract")
-    assert plan.count("from_json") == 1
+    assert static_plans("telemetry_quarantine").count("from_json") == 1
+    assert static_plans("telemetry_contract").count("from_json") == 3  # the line and its two payloads
+
+
+def test_intervals_scan_and_shuffle_the_events_once(static_plans):
+    plan = static_plans("buffering_intervals")
+    assert plan.count("FileScan") == 1 and "Broadcast" not in plan
+    assert shuffles(plan) - plan.count("ReusedExchange") == 2  # all marks by session and bucket; the edges of buckets by session
 
 
 def test_both_gold_tables_share_one_scan_and_shuffle(spark):

@@ -36,13 +36,13 @@ def model(rows):
 
 @settings(max_examples=12, deadline=None)
 @given(EVENTS, st.sampled_from([1, 2, 5, 1000]))
-def test_intervals_match_model(spark, events, rows_per_chunk):
+def test_intervals_match_model(spark, events, bucket_ms):
     rows = [(s, ts, kind, i) for i, (s, ts, kind) in enumerate(events)]
     df = spark.createDataFrame(
         rows, "sessionId string, timestamp long, event_type string, seq long"
     )
     got = buffering_intervals(
-        df, order=("timestamp", "seq"), rows_per_chunk=rows_per_chunk, sample_fraction=1.0
+        df, order=("timestamp", "seq"), bucket_ms=bucket_ms
     ).collect()
     assert sorted(tuple(r) for r in got) == model(rows)
 

@@ -9,7 +9,7 @@ from playback_qos.operators import gold as G
 from playback_qos.operators import quality as Q
 from playback_qos.operators import telemetry as TM
 from playback_qos.plans import layers as L
-from playback_qos.schema import KEYS, TELEMETRY, raw_schema, silver_schema
+from playback_qos.schema import KEYS, LOG_POSITION, TELEMETRY, raw_schema, silver_schema
 from playback_qos.sources import fixtures as X
 from playback_qos.sources.tables import read_table
 from playback_qos.streaming import jobs as J
@@ -144,6 +144,7 @@ def test_telemetry_stream_contract_and_intervals(spark, tmp_dir):
     J.stream_telemetry(spark, incoming, layout, trigger="available_now",
                        max_files_per_trigger=1).awaitTermination()
     accepted = read_table(spark, layout.telemetry).drop("batch_id")
+    assert set(LOG_POSITION.names) <= set(accepted.columns)
     acc_batch, quar_batch = TM.split_contract(lines.drop("seq"))
     assert accepted.count() == acc_batch.count()
     assert accepted.select(*TELEMETRY.fieldNames()).exceptAll(acc_batch).count() == 0
@@ -153,7 +154,7 @@ def test_telemetry_stream_contract_and_intervals(spark, tmp_dir):
     J.stream_buffering_intervals(spark, layout, trigger="available_now",
                                  max_files_per_trigger=1).awaitTermination()
     got = read_table(spark, layout.buffering_intervals)
-    want = TM.buffering_intervals(acc_batch)
+    want = TM.buffering_intervals(TM.split_contract(lines)[0], order=("timestamp", "seq"))
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
 
@@ -243,26 +244,47 @@ def test_deterministic_stream_dedupe_matches_batch_first(spark, tmp_dir):
 
 def test_interval_state_survives_restart(spark, tmp_dir):
     layout = Layout(tmp_dir)
-    tele = X.telemetry_from_events(X.events(spark, SF)).drop("seq")
+    tele = X.telemetry_from_events(X.events(spark, SF))
+    order = ("timestamp", "seq")
     ms = tele.approxQuantile("timestamp", [0.33, 0.66], 0.01)
     parts = [tele.filter(F.col("timestamp") < ms[0]),
              tele.filter((F.col("timestamp") >= ms[0]) & (F.col("timestamp") < ms[1])),
              tele.filter(F.col("timestamp") >= ms[1])]
     for p in parts[:2]:
         p.coalesce(1).write.mode("append").parquet(layout.telemetry)
-    J.stream_buffering_intervals(spark, layout, trigger="available_now",
+    J.stream_buffering_intervals(spark, layout, trigger="available_now", order=order,
                                  max_files_per_trigger=1).awaitTermination()
     first = read_table(spark, layout.buffering_intervals).count()
     parts[2].coalesce(1).write.mode("append").parquet(layout.telemetry)
     # a new query object on the same checkpoint: state is restored from RocksDB
-    J.stream_buffering_intervals(spark, layout, trigger="available_now",
+    J.stream_buffering_intervals(spark, layout, trigger="available_now", order=order,
                                  max_files_per_trigger=1).awaitTermination()
     got = read_table(spark, layout.buffering_intervals)
-    want = TM.buffering_intervals(tele)
+    want = TM.buffering_intervals(tele, order=order)
     assert first < got.count() == want.count()
     assert got.exceptAll(want).count() == 0
 
 
+def test_drifted_source_reaches_bronze_and_the_schema_rule(spark, tmp_dir):
+    """One column missing, one of another type, one too many, and a newer file with yet another column."""
+    layout = Layout(tmp_dir)
+    raw = X.raw_fixture(spark, SF).drop("timestampInfo").withColumn("newField", F.lit(7))
+    drifted = raw.withColumn("player", F.to_json("player"))
+    drifted.filter("eventDate < '2024-01-10'").write.parquet(layout.source_raw)
+    drifted.withColumn("later", F.lit("x")).filter("eventDate >= '2024-01-10'").write.mode("append").parquet(
+        layout.source_raw)
+    J.stream_bronze(spark, layout, trigger="available_now", tier_type=LONG).awaitTermination()
+    bronze = read_table(spark, layout.bronze)
+    assert {"newField", "later"} <= set(bronze.columns) and "timestampInfo" not in bronze.columns
+    assert bronze.filter("newField = 7").count() == bronze.count() > 0
+    J.stream_validation(spark, layout, trigger="available_now", tier_type=LONG).awaitTermination()
+    dq = {r["rule_name"]: r for r in read_table(spark, layout.dq_results).collect()}
+    rule = next(r for r in dq.values() if r["missing_cols"] is not None)
+    assert rule["failed_count"] > 0
+    assert "timestampInfo" in str(rule["missing_cols"]) and "player" in str(rule["wrong_type_cols"])
+    assert "newField" in str(rule["unexpected_cols"]) and "later" in str(rule["unexpected_cols"])
+
+
 def test_salted_stream_dedupe_splits_hot_key(spark, tmp_dir):
     """Two-level salted dedupe: one row per key, same key set, hot key split."""
     layout = Layout(tmp_dir)

@@ -13,6 +13,7 @@ from playback_qos.operators.telemetry import (
 )
 from playback_qos.schema import TELEMETRY
 from playback_qos.sources.fixtures import events, telemetry_from_events
+from playback_qos.sources.tables import telemetry_lines
 
 
 def line(**kw):
@@ -84,31 +85,60 @@ def plain_lag(df, key, order, carry):
     return df.withColumns({f"prev_{c}": F.lag(c).over(w) for c in carry})
 
 
-@pytest.mark.parametrize(
-    "rows_per_chunk,fraction", [(1, 1.0), (7, 1.0), (50, 1.0), (10_000_000, 1.0), (5, 0.3), (2, 0.05)]
-)
-def test_with_previous_matches_plain_lag(spark, rows_per_chunk, fraction):
+def intervals_by_lag(t):
+    marks = t.filter(F.col("event_type").isin("buffering_start", "buffering_end"))
+    want = plain_lag(marks, "sessionId", ["timestamp", "seq"], ["event_type", "timestamp"])
+    return want.filter("event_type = 'buffering_end' and prev_event_type = 'buffering_start'").select(
+        "sessionId", F.col("prev_timestamp").alias("started_at"), F.col("timestamp").alias("ended_at"),
+        (F.col("timestamp") - F.col("prev_timestamp")).alias("duration_ms"))
+
+
+@pytest.mark.parametrize("width", [1, 3_600_000, 10**9, 10**15])
+def test_with_previous_matches_plain_lag(spark, width):
     t = telemetry_from_events(events(spark, "/root/testdata/sf0.001")).select(
         "sessionId", "timestamp", "seq", "event_type")
     want = plain_lag(t, "sessionId", ["timestamp", "seq"], ["event_type", "timestamp"])
-    got = with_previous(t, "sessionId", ["timestamp", "seq"], ["event_type", "timestamp"],
-                        rows_per_chunk=rows_per_chunk, sample_fraction=fraction)
+    got = with_previous(t, "sessionId", ["timestamp", "seq"], ["event_type", "timestamp"], width)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
 
 
 def test_hot_session_split_matches_brute_force(spark):
-    # one session holds every row: the sub-range path must give the plain result
+    # one session holds a third of the rows, spread over many buckets
     t = telemetry_from_events(events(spark, "/root/testdata/sf0.01")).withColumn(
         "sessionId", F.when(F.col("seq") % 3 == 0, F.lit("hot")).otherwise(F.col("sessionId")))
-    want = plain_lag(t.filter(F.col("event_type").isin("buffering_start", "buffering_end")),
-                     "sessionId", ["timestamp", "seq"], ["event_type", "timestamp"])
-    want = want.filter("event_type = 'buffering_end' and prev_event_type = 'buffering_start'")
-    want = want.select("sessionId", F.col("prev_timestamp").alias("started_at"),
-                       F.col("timestamp").alias("ended_at"),
-                       (F.col("timestamp") - F.col("prev_timestamp")).alias("duration_ms"))
-    for fraction in (1.0, 0.1):  # exact bounds, and bounds from a sample
-        got = buffering_intervals(t, order=("timestamp", "seq"), rows_per_chunk=100,
-                                  sample_fraction=fraction)
-        assert got.count() == want.count()
-        assert got.exceptAll(want).count() == 0
+    got, want = buffering_intervals(t, order=("timestamp", "seq")), intervals_by_lag(t)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+
+
+def test_ties_do_not_depend_on_partitioning(spark):
+    t = telemetry_from_events(events(spark, "/root/testdata/sf0.001")).withColumns(
+        {"timestamp": F.expr("timestamp div 86400000"), "seq": F.col("seq") % 3})  # not even seq is unique
+    one = buffering_intervals(t.repartition(1), order=("timestamp", "seq"))
+    other = buffering_intervals(t.repartition(7, "eventId"), order=("timestamp", "seq"))
+    assert one.count() == other.count() and one.exceptAll(other).count() == 0
+    with pytest.raises(ValueError, match="second order column"):
+        buffering_intervals(t, order=("timestamp",))
+
+
+def test_log_position_orders_events_of_one_millisecond(spark, tmp_dir):
+    kinds = ["buffering_start", "buffering_end"] * 50 + ["buffering_end", "buffering_start"] * 50
+    with open(f"{tmp_dir}/telemetry.log", "w") as f:
+        f.writelines(line(event_type=k, eventId=str(i)) + "\n" for i, k in enumerate(kinds))
+    accepted, _ = split_contract(telemetry_lines(spark, tmp_dir))
+    assert buffering_intervals(accepted.repartition(5, "eventId")).count() == 99
+
+
+def test_payloads_are_kept_whole_and_typed_late(spark):
+    lines = [line(quality={"bitrate": 320000.5, "height": "auto", "codec": {"name": "avc1"}}),
+             "  " + line(), line(quality={}), line(quality=7), '   {"other": 1}',
+             line(quality={"bitrate": 9007199254740993})]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "n int, value string")
+    got = {r["n"]: r for r in parse_telemetry(df).collect()}
+    assert {n: r["reason"] for n, r in got.items()} == {
+        0: None, 1: None, 2: None, 3: "bad_type:payload", 4: "missing:event_type", 5: None}
+    assert json.loads(got[0]["quality"])["codec"] == {"name": "avc1"}
+    flat = {r["n"]: r for r in flatten_payloads(split_contract(df)[0]).collect()}
+    assert (flat[0]["bitrate"], flat[0]["height"], flat[1]["height"]) == (320000, None, 240)
+    assert flat[2]["bitrate"] is None and flat[5]["bitrate"] == 9007199254740993
