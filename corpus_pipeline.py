@@ -38,9 +38,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the boilerplate lines of their source; all documents stay."""
+    """Texts without the boilerplate lines of their source; all documents stay. Copies of a text are one page."""
     packed = docs.select(_rest(docs), "text", F.col("source").alias("__host"))
-    return _unpacked(docs, drop_boilerplate(packed, host="__host"))
+    return _unpacked(docs, drop_boilerplate(packed, host="__host", distinct_pages=True))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,23 +22,29 @@ def _has_word(line: Column) -> Column:
 
 
 def boilerplate_lines(
-    docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    distinct_pages: bool = False,
 ) -> DataFrame:
     """(host, line_hash, n_pages, host_pages) of lines in more than ``ratio`` of a host's pages.
 
     Each page counts a line once, before anything moves, and each task sums its
     pages first, so a host or line in a third of all rows costs a row a task.
     Lines are told apart by 64-bit hashes. At most (distinct lines of a mean
-    page) / ratio lines of a host can pass.
+    page) / ratio lines of a host can pass. With ``distinct_pages``, rows of a
+    host with the same text (by its SHA-256) are one page: each task leaves one
+    of them before they move, and the pages' line hashes are written once.
     """
-    pages = docs.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("host_pages"))
+    hashes = F.array_distinct(F.transform(F.filter(_lines(F.col(text)), _has_word), lambda x: F.xxhash64(x)))
+    rows = docs.select(F.col(host).alias("host"), F.col(text).alias("text"), hashes.alias("line_hashes"))
+    if distinct_pages:
+        rows = written(rows.select("host", F.sha2("text", 256).alias("page"), "line_hashes").distinct())
+    pages = rows.groupBy("host").agg(F.count("*").alias("host_pages"))
     held = (
-        docs.select(
-            F.col(host).alias("host"),
-            F.explode(
-                F.array_distinct(F.transform(F.filter(_lines(F.col(text)), _has_word), lambda x: F.xxhash64(x)))
-            ).alias("line_hash"),
-        )
+        rows.select("host", F.explode("line_hashes").alias("line_hash"))
         .groupBy("host", "line_hash")
         .agg(F.count("*").alias("n_pages"))
         .filter(F.col("n_pages") >= min_pages)
@@ -51,13 +57,18 @@ def boilerplate_lines(
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    distinct_pages: bool = False,
 ) -> DataFrame:
     """``docs`` with boilerplate lines cut from ``text``; adds n_lines and n_dropped.
 
     All rows stay, also those left without a line (text ''); a null text stays
     null with 0 lines. Lines without a word are never boilerplate. A null host
-    is a host. Repeated rows are pages each. Columns of ``docs`` that are named
+    is a host. Repeated rows are pages each, unless ``distinct_pages``. Columns of ``docs`` that are named
     n_lines or n_dropped are replaced; all others pass through.
 
     The lines of each host are one small row, written first, so the planner
@@ -65,7 +76,7 @@ def drop_boilerplate(
     and splits hot hosts (adaptive skew join).
     """
     lists = written(
-        boilerplate_lines(docs, host, text, ratio, min_pages)
+        boilerplate_lines(docs, host, text, ratio, min_pages, distinct_pages)
         .groupBy("host")
         .agg(F.sort_array(F.collect_set("line_hash")).alias("__line_drop"))
         .withColumnRenamed("host", "__line_host")

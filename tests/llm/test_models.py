@@ -218,3 +218,16 @@ def test_pipeline_odd_rows(spark, odd, empty):
         told = corpus_pipeline.language(spark, table_, SF)
         assert told.columns == table_.columns and told.count() <= table_.count()
     assert kept.count() == 0
+
+
+def test_pipeline_keeps_a_page_copied_for_a_third_of_the_rows(spark):
+    page = "the only report of the flood\nwith its second line"
+    texts = [page] * 10 + [f"page {i} has words of its own\nhome about contact" for i in range(20)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    cut = written(corpus_pipeline.lines(spark, docs, SF))
+    after = {r.doc_id: r.text for r in cut.collect()}
+    assert all(after[i] == page for i in range(10))
+    assert all(after[i] == f"page {i - 10} has words of its own" for i in range(10, 30))
+    kept = [r.text for r in corpus_pipeline.near_duplicates(spark, cut, SF).collect()]
+    assert kept.count(page) == 1 and len(kept) == 21 and all(kept)
