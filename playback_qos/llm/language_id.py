@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -18,8 +18,10 @@ from playback_qos.llm.common import written
 ORDER = 4
 #: A model holds at most so many n-grams of all languages; beyond, its order is lowered till it does.
 MAX_GRAMS = 4_000_000
-#: The rejection limits are set on one of so many parts of the labelled rows, dealt by a hash.
+#: The rejection limits are set on all labelled rows, each scored by the counts of the other parts of so many.
 CALIBRATION_FOLDS = 8
+#: The variance of a language of so many rows and one lies midway between its own and that of all languages.
+PRIOR_ROWS = 20
 #: A text is rejected if its cross-entropy is above its language's usual one by so many
 #: standard deviations, and by so many nats a character: another language, not a mixed text.
 REJECT_Z = 8.0
@@ -112,36 +114,42 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
+def _fold(text: str) -> Column:
+    """Copies of a text share a fold, so that none is scored by counts of another."""
+    return F.pmod(F.xxhash64(F.col(text)), F.lit(CALIBRATION_FOLDS)).cast("int")
+
+
 def count_grams(docs: DataFrame, text: str, lang: str, order: int = ORDER) -> DataFrame:
-    """(lang, gram, n) over all rows with a language; each task counts its rows first."""
+    """(lang, fold, gram, n) over all rows with a language; each task counts its rows first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        total: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in (x.slice(i, SLICE_ROWS) for x in batches for i in range(0, x.num_rows, SLICE_ROWS)):
-            rows: dict[str, list[str]] = {}
-            for t, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                if t and name is not None:
-                    rows.setdefault(name, []).append(t)
+            rows: dict[tuple[str, int], list[str]] = {}
+            for t, *name in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "fold")), strict=True):
+                if t and name[0] is not None:
+                    rows.setdefault(tuple(name), []).append(t)
             for name, texts in rows.items():
                 for part in _slices(texts):
                     have = total.setdefault(name, [])
                     have.append(_distinct(grams(part, order).key))
                     if len(have) >= 8:
                         total[name] = [_sums(*(np.concatenate(x) for x in zip(*have)))]
-        for name, have in total.items():
+        for (name, fold), have in total.items():
             keys, counts = _sums(*(np.concatenate(x) for x in zip(*have)))
             for i in range(0, len(keys), 100_000):
                 part = slice(i, i + 100_000)
                 k = keys[part].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(k)), pa.array(k), pa.array(counts[part], pa.int64())], ["lang", "gram", "n"]
+                    [pa.array([name] * len(k)), pa.array([fold] * len(k), pa.int32()), pa.array(k), pa.array(counts[part], pa.int64())],
+                    ["lang", "fold", "gram", "n"],
                 )
 
     return (
-        docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+        docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), _fold(text).alias("fold"))
         .filter("text IS NOT NULL AND lang IS NOT NULL")
-        .mapInArrow(count, "lang string, gram long, n long")
-        .groupBy("lang", "gram")
+        .mapInArrow(count, "lang string, fold int, gram long, n long")
+        .groupBy("lang", "fold", "gram")
         .agg(F.sum("n").alias("n"))
     )
 
@@ -270,38 +278,96 @@ class Model:
         return out
 
 
-def calibrate(model: Model, docs: DataFrame, text: str, lang: str) -> None:
-    """Set what cross-entropy is usual for each language, from its own labelled rows.
+def _scored(docs: DataFrame, text: str, lang: str, models: dict[int, Model]) -> DataFrame:
+    """(lang, h, n) of the rows of the models' folds that their fold's model tells right."""
+    held = docs.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (x.slice(i, SLICE_ROWS) for x in batches for i in range(0, x.num_rows, SLICE_ROWS)):
+            rows: dict[int, list[tuple[str, str]]] = {}
+            for t, name, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "fold")), strict=True):
+                rows.setdefault(fold, []).append((t, name))
+            for fold, pairs in rows.items():
+                names = iter([name for _, name in pairs])
+                for part in _slices([t for t, _ in pairs]):
+                    told = [(own, x[2], float(x[3])) for x in held.value[fold].predict(part) if (own := next(names)) == x[0] and x[3]]
+                    kinds = (pa.string(), pa.float64(), pa.float64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x[i] for x in told], k) for i, k in enumerate(kinds)], ["lang", "h", "n"]
+                    )
+
+    return (
+        docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), _fold(text).alias("fold"))
+        .filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("fold").isin(list(models)))
+        .mapInArrow(run, "lang string, h double, n double")
+    )
+
+
+def calibrate(langs: list[str], parts: Iterable[DataFrame]) -> dict[str, tuple[float, float, float]]:
+    """What cross-entropy is usual for each language, from (lang, h, n) of labelled rows not learned from.
 
     The variance of a text's mean is fitted as ``own + char / n`` (n: its
-    characters) from sums that Spark takes over all rows given; a language of
-    under 20 of them takes the sums of all languages, and if these are under 20
-    rejects nothing.
+    characters) from sums that Spark takes over all rows given. Each language
+    has its own mean; the variance of one with few rows is drawn to that of all
+    languages about their own means, and widened by the error of its mean. A
+    language without a row given rejects nothing, nor does any if all together
+    have under 20.
     """
-    if not model.langs:
-        return
-    scored = (
-        identify(docs, model, text, [F.col(lang).cast("string").alias("own_lang")])
-        .filter("lang_pred = own_lang AND n_chars_scored > 0")
-        .select("lang_pred", F.col("cross_entropy").alias("h"), F.col("n_chars_scored").cast("double").alias("n"))
-    )
     sums = {"rows": F.lit(1), "n": F.col("n"), "hn": F.expr("h * n"), "h": F.col("h"), "hh": F.expr("h * h"),
             "r": F.expr("1 / n"), "rr": F.expr("1 / n / n"), "hr": F.expr("h / n"), "hhr": F.expr("h * h / n")}
-    found = scored.groupBy("lang_pred").agg(*[F.sum(v).alias(k) for k, v in sums.items()]).collect()
-    own_sums = {x["lang_pred"]: {k: x[k] for k in sums} for x in found}
-    pooled = {k: sum(x[k] for x in own_sums.values()) for k in sums}
-    for name in model.langs:
-        x = own_sums.get(name, pooled)
-        x = x if x["rows"] >= 20 else pooled
-        if x["rows"] < 20:
-            continue
-        mean = x["hn"] / x["n"]
-        square = (x["hh"] - 2 * mean * x["h"]) / x["rows"] + mean**2  # mean square deviation
-        by_r = (x["hhr"] - 2 * mean * x["hr"] + mean**2 * x["r"]) / x["rows"]
-        r, spread = x["r"] / x["rows"], x["rr"] / x["rows"] - (x["r"] / x["rows"]) ** 2
+    moments: dict[str, np.ndarray] = {}
+    means = {}
+    found: dict[str, dict[str, float]] = {}
+    for scored in parts:
+        for x in scored.groupBy("lang").agg(*[F.sum(v).alias(k) for k, v in sums.items()]).collect():
+            have = found.setdefault(x["lang"], dict.fromkeys(sums, 0.0))
+            for k in sums:
+                have[k] += x[k]
+    for name, x in found.items():
+        mean = means[name] = x["hn"] / x["n"]
+        square = x["hh"] - 2 * mean * x["h"] + x["rows"] * mean**2
+        by_r = x["hhr"] - 2 * mean * x["hr"] + mean**2 * x["r"]
+        moments[name] = np.array([square, by_r, x["r"], x["rr"], x["rows"]])
+
+    def fit(m: np.ndarray) -> np.ndarray:
+        square, by_r, r, rr = m[:4] / m[4]
+        spread = rr - r**2
         slope = max(0.0, (by_r - square * r) / spread) if spread > 1e-12 else 0.0
-        own = max(square - slope * r, 1e-4)
-        model.limit[name] = (mean, own**0.5, slope**0.5)
+        return np.array([max(square - slope * r, 1e-4), slope])
+
+    pool = sum(moments.values(), np.zeros(5))
+    if pool[4] < 20:
+        return {}
+    limit = {}
+    for name in langs:
+        if name in moments:
+            rows = moments[name][4]
+            weight = (rows - 1) / (rows - 1 + PRIOR_ROWS)
+            own, char = np.sqrt((weight * fit(moments[name]) + (1 - weight) * fit(pool)) * (1 + 1 / rows))
+            limit[name] = (means[name], float(own), float(char))
+    return limit
+
+
+def _by_lang(rows: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    names = np.array(rows.column("lang").to_pylist(), dtype=object)
+    keys, n = rows.column("gram").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    out = {}
+    for x in set(names):
+        order = np.argsort(keys[names == x])
+        out[x] = (keys[names == x][order], n[names == x][order])
+    return out
+
+
+def _without(counts: dict, part: dict) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The counts less those of a part of the rows."""
+    out = {}
+    for name, (keys, n) in counts.items():
+        left = n.copy()
+        if name in part:
+            left[np.searchsorted(keys, part[name][0])] -= part[name][1]
+        if (left > 0).any():
+            out[name] = (keys[left > 0], left[left > 0])
+    return out
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER) -> Model:
@@ -309,21 +375,26 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
     Counting covers every row; the table of n-grams is written, and collected
     only if it has at most MAX_GRAMS rows: else a shorter order is counted,
-    whose table is bounded by the alphabet. Calibration scores one in
-    CALIBRATION_FOLDS of the labelled rows.
+    whose table is bounded by the alphabet. Calibration scores every labelled
+    row by the counts of the other folds, as many folds in a pass as their
+    models together have MAX_GRAMS rows. ``key`` is not read.
     """
-    table = written(count_grams(docs, text, lang, order))
-    while order > 1 and table.count() > MAX_GRAMS:
+    folds = written(count_grams(docs, text, lang, order))
+    while order > 1 and folds.select("lang", "gram").distinct().count() > MAX_GRAMS:
         order -= 1
         mask = F.lit((1 << (order * _BITS)) - 1)
-        table = written(table.groupBy("lang", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n")))
-    rows = table.toArrow()
-    names = np.array(rows.column("lang").to_pylist(), dtype=object)
-    keys = rows.column("gram").to_numpy().view(np.uint64)
-    n = rows.column("n").to_numpy()
-    model = Model({x: (keys[names == x], n[names == x]) for x in set(names)}, order)
-    fold = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(CALIBRATION_FOLDS)) == 0
-    calibrate(model, docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & fold), text, lang)
+        folds = written(folds.groupBy("lang", "fold", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n")))
+    counts = _by_lang(folds.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
+    model = Model(counts, order)
+    at_once = max(1, MAX_GRAMS // max(1, sum(len(x) for x, _ in counts.values())))
+    some = sorted(x.fold for x in folds.select("fold").distinct().collect())
+
+    def parts() -> Iterator[DataFrame]:
+        for i in range(0, len(some), at_once):
+            others = {f: _without(counts, _by_lang(folds.filter(F.col("fold") == f).toArrow())) for f in some[i : i + at_once]}
+            yield _scored(docs, text, lang, {f: Model(x, order) for f, x in others.items()})
+
+    model.limit = calibrate(model.langs, parts())
     return model
 
 

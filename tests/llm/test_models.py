@@ -157,6 +157,24 @@ def test_language_id(spark, odd, empty):
     assert np.allclose(total, 1)
 
 
+def test_language_id_rare_and_unlearned(spark):
+    r = random.Random(11)
+    latin = {x: ["".join(r.choice(a) for _ in range(r.randint(2, 7))) for _ in range(60)] for x, a in (("aa", "aeiourstln"), ("bb", "aeouhkmpvw"))}
+    han = [chr(0x4E00 + i) for i in range(500)]
+
+    def text(x):
+        return "".join(r.choices(han, k=150)) if x == "zh" else " ".join(r.choices(latin[x], k=60))
+
+    names = ["aa"] * 150 + ["bb"] * 150 + ["zh"] * 12
+    docs = spark.createDataFrame([(i, text(x), x) for i, x in enumerate(names)], "doc_id long, text string, lang string")
+    model = train(docs)
+    assert model.limit["zh"][0] > model.limit["aa"][0] + 1  # its own mean, not the pool's
+    new = spark.createDataFrame([(i, text(x), x) for i, x in enumerate(["aa", "bb", "zh"] * 10)], docs.schema)
+    assert all(x.lang_pred == x.lang and not x.rejected for x in identify(new, model).collect())
+    foreign = ["kysymys on siitä että minä en ole käynyt siellä " * 4, "dlaczego nie przyszedłeś wczoraj do mojego domu " * 4]
+    assert all(x.rejected for x in identify(spark.createDataFrame([(1, t) for t in foreign], "doc_id long, text string"), model).collect())
+
+
 def test_sentencepiece_matches_library(spark, docs, odd, empty):
     library = sentencepiece.SentencePieceProcessor(model_file=piece_model_path())
     assert encode_documents(empty, piece_model_path()).count() == 0
