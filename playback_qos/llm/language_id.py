@@ -16,7 +16,8 @@ from playback_qos.llm.common import written
 
 #: Characters of the longest n-gram.
 ORDER = 4
-#: A model holds at most so many n-grams of all languages; beyond, its order is lowered till it does.
+#: A model in memory holds at most so many n-grams of all languages (and 4 times as many
+#: probabilities); beyond, the same model is computed, stored and joined by Spark.
 MAX_GRAMS = 4_000_000
 #: The rejection limits are set on all labelled rows, each scored by the counts of the other parts of so many.
 CALIBRATION_FOLDS = 8
@@ -278,6 +279,162 @@ class Model:
         return out
 
 
+class StoredModel:
+    """The same models as tables: the n-grams and contexts of each length, with a list of (language, value)."""
+
+    order = ORDER
+
+    def __init__(self, langs: list[str]):
+        self.langs = langs
+        self.limit: dict[str, tuple[float, float, float]] = {}
+        self.unseen = np.zeros(len(langs))
+        self.grams: list[DataFrame] = []  #: (gram, found: log-probabilities), by length from 1 on
+        self.contexts: list[DataFrame | None] = []  #: (ctx, weights: logs of the weight left to shorter contexts)
+
+
+class _Light:
+    """What Python workers need of a stored model; its tables stay on the driver."""
+
+    def __init__(self, model: StoredModel):
+        self.langs, self.order, self.limit = model.langs, model.order, model.limit
+
+
+class _Answers(Model):
+    """Looks up n-grams whose log-probabilities are at hand already."""
+
+    def __init__(self, model: _Light, keys: np.ndarray, logp: np.ndarray):
+        self.langs, self.order, self.limit = model.langs, model.order, model.limit
+        self.keys, self.logp = keys, logp
+
+    def lookup(self, keys: np.ndarray, k: int) -> np.ndarray:
+        return self.logp[_find(self.keys, keys)[0]]
+
+
+def _tail(gram: str, k: int) -> Column:
+    """The last k characters."""
+    return F.col(gram) if k * _BITS >= 64 else F.col(gram).bitwiseAND(F.lit((1 << (k * _BITS)) - 1))
+
+
+def store(table: DataFrame, langs: list[str], order: int = ORDER) -> StoredModel:
+    """The model of (lang, gram, n), computed by joins; only discounts and sums of each language are collected."""
+    model = StoredModel(langs)
+    model.order = order
+    number = F.create_map(*[F.lit(x) for pair in enumerate(langs) for x in reversed(pair)])
+    raw = {order: written(table.select(number[F.col("lang")].alias("lang"), "gram", F.col("n").cast("double").alias("c")))}
+    for k in range(order - 1, 0, -1):
+        shorter = raw[k + 1].select("lang", _tail("gram", k).alias("gram"))
+        raw[k] = written(shorter.groupBy("lang", "gram").agg(F.count("*").cast("double").alias("c")))
+    chars = raw[1].select("gram").distinct().count()
+    ctx = F.shiftrightunsigned("gram", _BITS)
+    lower = None
+    for k in range(1, order + 1):
+        stats = raw[k].groupBy("lang").agg(
+            F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice"),
+            F.sum("c").alias("total"), F.count("*").alias("kinds"),
+        ).collect()
+        d = {x.lang: x.once / (x.once + 2 * x.twice) if x.once and x.twice else 0.5 for x in stats}
+        held = F.create_map(*[F.lit(v) for pair in d.items() for v in pair])
+        rows = raw[k].withColumn("d", held[F.col("lang")]).withColumn("ctx", ctx)
+        found = rows.groupBy("lang", "ctx").agg(F.sum("c").alias("total"), (F.first("d") * F.count("*") / F.sum("c")).alias("weight"))
+        contexts = written(found)
+        rows = rows.join(contexts, ["lang", "ctx"])
+        if k == 1:
+            for x in stats:
+                model.unseen[x.lang] = np.log(d[x.lang] * x.kinds / x.total / (chars + 1))
+            base = F.col("weight") / F.lit(chars + 1)
+        else:
+            rows = rows.withColumn("tail", _tail("gram", k - 1)).join(
+                lower.select("lang", F.col("gram").alias("tail"), F.col("p").alias("shorter")), ["lang", "tail"]
+            )
+            base = F.col("weight") * F.col("shorter")
+        share = F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total")
+        lower = written(rows.select("lang", "gram", (share + base).alias("p")))
+        logs = lower.groupBy("gram").agg(F.collect_list(F.struct("lang", F.log("p").alias("v"))).alias("found"))
+        model.grams.append(written(logs))
+        weights = contexts.groupBy("ctx").agg(F.collect_list(F.struct("lang", F.log("weight").alias("v"))).alias("weights"))
+        model.contexts.append(written(weights) if k > 1 else None)
+    return model
+
+
+def _looked_up(keys: DataFrame, model: StoredModel) -> DataFrame:
+    """(gram, logp) with the log-probability of each of the n-grams in every language."""
+    unseen, order = model.unseen, model.order
+    for k in range(1, order + 1):
+        level = model.grams[k - 1].select(F.col("gram").alias(f"g{k}"), F.col("found").alias(f"found{k}"))
+        keys = keys.join(level, _tail("gram", k) == F.col(f"g{k}"), "left").drop(f"g{k}")
+        if k > 1:
+            ctx = model.contexts[k - 1].select(F.col("ctx").alias(f"c{k}"), F.col("weights").alias(f"weights{k}"))
+            keys = keys.join(ctx, F.shiftrightunsigned(_tail("gram", k), _BITS) == F.col(f"c{k}"), "left").drop(f"c{k}")
+
+    def dense(column: pa.Array, fill: float) -> np.ndarray:
+        out = np.full((len(column), len(unseen)), fill)
+        n = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        flat = column.flatten()
+        out[np.repeat(np.arange(len(column)), n), flat.field("lang").to_numpy()] = flat.field("v").to_numpy()
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
+            out = np.broadcast_to(unseen, (batch.num_rows, len(unseen)))
+            for k in range(1, order + 1):
+                if k > 1:
+                    out = out + dense(batch.column(f"weights{k}"), 0.0)
+                own = dense(batch.column(f"found{k}"), np.nan)
+                out = np.where(np.isnan(own), out, own)
+            edges = np.arange(0, out.size + 1, len(unseen), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.ListArray.from_arrays(edges, out.ravel())], ["gram", "logp"])
+
+    return keys.mapInArrow(run, "gram long, logp array<double>")
+
+
+def _identify_stored(source: DataFrame, body: str, model: StoredModel, ddl: str, new: tuple[str, ...]) -> DataFrame:
+    """As ``identify``: blocks of texts ask for their distinct n-grams, and each block is scored with the answers.
+
+    A frequent n-gram costs a row a block, and a block's answers a bounded size.
+    """
+    order, light = model.order, _Light(model)
+    room = max(1, SLICE_CHARS * 4 // max(4, len(model.langs)))
+    fields = [f.name for f in source.schema.fields]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, block, size = [], None, 0
+            for i, n in zip(batch.column("__id").to_pylist(), batch.column("__size").to_pylist(), strict=True):
+                if block is None or size >= room or len(ids) and i - block >= 100_000:
+                    block, size = i, 0
+                size += n
+                ids.append(block)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(ids, pa.int64())], [*fields, "__block"])
+
+    inner = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
+    sized = source.select("*", F.monotonically_increasing_id().alias("__id"), F.coalesce(F.length(body), F.lit(0)).alias("__size"))
+    rows = written(sized.mapInArrow(deal, inner + ", __block long"))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts: dict[int, list[str]] = {}
+            for t, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                texts.setdefault(block, []).append(t or "")
+            for block, own in texts.items():
+                k = _distinct(grams(own, order).key)[0].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), block)), pa.array(k)], ["__block", "gram"])
+
+    asked = written(rows.select(body, "__block").mapInArrow(ask, "__block long, gram long").distinct())
+    answers = written(_looked_up(asked.select("gram").distinct(), model))
+
+    def score(texts: pa.Table, found: pa.Table) -> pa.Table:
+        keys = found.column("gram").to_numpy().view(np.uint64)
+        by = np.argsort(keys)
+        logp = found.column("logp").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(keys), len(light.langs))[by]
+        own = [t or "" for t in texts.column(body).to_pylist()]
+        told = list(zip(*_Answers(light, keys[by], logp).predict(own)))
+        kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_())
+        out = [texts.column(c) for c in fields if c != body]
+        return pa.Table.from_arrays([*out, *(pa.array(x, k) for x, k in zip(told, kinds, strict=True))], [c for c in fields if c != body] + list(new))
+
+    return rows.groupBy("__block").cogroup(asked.join(answers, "gram").groupBy("__block")).applyInArrow(score, ddl)
+
+
 def _scored(docs: DataFrame, text: str, lang: str, models: dict[int, Model]) -> DataFrame:
     """(lang, h, n) of the rows of the models' folds that their fold's model tells right."""
     held = docs.sparkSession.sparkContext.broadcast(models)
@@ -370,24 +527,26 @@ def _without(counts: dict, part: dict) -> dict[str, tuple[np.ndarray, np.ndarray
     return out
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER) -> Model:
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER) -> Model | StoredModel:
     """Fit the models on all labelled rows of ``docs``.
 
-    Counting covers every row; the table of n-grams is written, and collected
-    only if it has at most MAX_GRAMS rows: else a shorter order is counted,
-    whose table is bounded by the alphabet. Calibration scores every labelled
-    row by the counts of the other folds, as many folds in a pass as their
-    models together have MAX_GRAMS rows. ``key`` is not read.
+    Counting covers every row, and the order is the same at every size. The
+    table of n-grams is written; if it has at most MAX_GRAMS rows it is
+    collected, and the model held in memory, else Spark computes the same model
+    as tables. Calibration scores every labelled row by the counts of the other
+    folds: in memory as many folds in a pass as their models together have
+    MAX_GRAMS rows, else one. ``key`` is not read.
     """
     folds = written(count_grams(docs, text, lang, order))
-    while order > 1 and folds.select("lang", "gram").distinct().count() > MAX_GRAMS:
-        order -= 1
-        mask = F.lit((1 << (order * _BITS)) - 1)
-        folds = written(folds.groupBy("lang", "fold", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n")))
-    counts = _by_lang(folds.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
-    model = Model(counts, order)
-    at_once = max(1, MAX_GRAMS // max(1, sum(len(x) for x, _ in counts.values())))
+    table = written(folds.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     some = sorted(x.fold for x in folds.select("fold").distinct().collect())
+    langs = sorted(x.lang for x in table.select("lang").distinct().collect())
+    size = table.count()
+    if size > MAX_GRAMS or size * len(langs) > 4 * MAX_GRAMS:
+        return _train_stored(docs, text, lang, order, folds, table, some, langs)
+    counts = _by_lang(table.toArrow())
+    model = Model(counts, order)
+    at_once = max(1, MAX_GRAMS // max(1, size))
 
     def parts() -> Iterator[DataFrame]:
         for i in range(0, len(some), at_once):
@@ -398,7 +557,30 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return model
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str | Column] | None = None) -> DataFrame:
+def _train_stored(
+    docs: DataFrame, text: str, lang: str, order: int, folds: DataFrame, table: DataFrame, some: list[int], langs: list[str]
+) -> StoredModel:
+    model = store(table, langs, order)
+    labelled = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), _fold(text).alias("fold"))
+    labelled = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
+
+    def parts() -> Iterator[DataFrame]:
+        for f in some:
+            rest = written(folds.filter(F.col("fold") != f).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+            known = sorted(x.lang for x in rest.select("lang").distinct().collect())
+            if known:
+                told = identify(labelled.filter(F.col("fold") == f), store(rest, known, order), keep=["lang"])
+                yield told.filter("lang_pred = lang AND n_chars_scored > 0").select(
+                    "lang", F.col("cross_entropy").alias("h"), F.col("n_chars_scored").cast("double").alias("n")
+                )
+
+    model.limit = calibrate(langs, parts())
+    return model
+
+
+def identify(
+    docs: DataFrame, model: Model | StoredModel, text: str = "text", keep: list[str | Column] | None = None
+) -> DataFrame:
     """``keep`` (all columns by default) with lang_pred, score, cross_entropy, n_chars_scored, rejected.
 
     The language of the lowest cross-entropy a character wins. ``score`` is its
@@ -410,12 +592,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str |
     """
     new = ("lang_pred", "score", "cross_entropy", "n_chars_scored", "rejected")
     columns = keep if keep is not None else [c for c in docs.columns if c not in new]
-    held = docs.sparkSession.sparkContext.broadcast(model)
     body = "__text_scored"
     source = docs.select(*columns, F.col(text).alias(body))
     types = [f for f in source.schema.fields if f.name != body]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in types)
     ddl += ", lang_pred string, score double, cross_entropy double, n_chars_scored long, rejected boolean"
+    if isinstance(model, StoredModel):
+        return _identify_stored(source, body, model, ddl, new)
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

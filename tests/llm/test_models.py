@@ -13,7 +13,7 @@ from conftest import words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from playback_qos.llm import jaccard_join, warc
+from playback_qos.llm import jaccard_join, language_id, warc
 from playback_qos.llm.bpe import Encoder, encode_documents
 from playback_qos.llm.common import scratch_dir, table, written
 from playback_qos.llm.components import components
@@ -175,6 +175,22 @@ def test_language_id_rare_and_unlearned(spark):
     assert all(x.rejected for x in identify(spark.createDataFrame([(1, t) for t in foreign], "doc_id long, text string"), model).collect())
 
 
+def test_language_id_stored_model_is_the_same(spark, docs, odd, monkeypatch):
+    named = docs.select("doc_id", "text", "lang").union(odd.select("doc_id", "text", "lang"))
+    held = train(docs)
+    monkeypatch.setattr(language_id, "MAX_GRAMS", 100)
+    stored = train(docs)
+    assert stored.order == held.order == 4 and stored.langs == held.langs
+    for name, limit in held.limit.items():
+        assert stored.limit[name] == pytest.approx(limit, rel=1e-6)
+    columns = ("doc_id", "text", "lang_pred", "rejected", "n_chars_scored", "score", "cross_entropy")
+    got, want = (sorted((tuple(r[c] for c in columns) for r in identify(named, m).collect()), key=repr) for m in (stored, held))
+    assert len(got) == named.count()
+    for a, b in zip(got, want, strict=True):
+        assert a[:5] == b[:5]
+        assert (a[6] is None) == (b[6] is None) and (a[6] is None or a[5:] == pytest.approx(b[5:], rel=1e-6))
+
+
 def test_sentencepiece_matches_library(spark, docs, odd, empty):
     library = sentencepiece.SentencePieceProcessor(model_file=piece_model_path())
     assert encode_documents(empty, piece_model_path()).count() == 0
