@@ -20,10 +20,11 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 
-#: Code points on either side of a span in which a term co-occurs with it.
-CONTEXT = 64
-#: A term: so many letters in a row or more.
-TERM = r"\p{L}{3,}"
+#: Stands for each code point of a base span where terms are looked for.
+_MASK = "\uffff"
+#: A term: a whole run of three letters or more, or of one or two that starts with a capital
+#: or is of a script without case. None that touches a base span.
+TERM = rf"(?<![\p{{L}}{_MASK}])(?:\p{{L}}{{3,}}+|[\p{{Lu}}\p{{Lt}}\p{{Lo}}]\p{{L}}?+(?!\p{{L}}))(?!{_MASK})"
 #: Documents in which a term and an entity must meet to be judged.
 MIN_SUPPORT = 3
 #: Share of an entity's information that a term may disclose before it is generalised, and removed.
@@ -104,89 +105,119 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[F.when(likely[k], spans(k)).otherwise(F.array().cast(kind_of)) for k in KINDS])
 
 
-def _context_terms(text: Column, spans: Column) -> Column:
-    """array<struct<term, start, end, entity>> of the whole terms within CONTEXT of each span."""
+def _entity(s: Column) -> Column:
+    return F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).otherwise(_digits(s["value"])))
 
-    def around(s: Column) -> Column:
-        entity = F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).otherwise(_digits(s["value"])))
-        from_ = F.greatest(F.lit(0), s["start"] - CONTEXT).cast("int")
-        # a word that the window cuts is not a term of it
-        before = F.substr(text, from_ + 1, (s["start"] - from_).cast("int"))
-        lead = F.when(from_ > 0, F.length(F.regexp_extract(before, r"^[\p{L}]*", 0))).otherwise(0)
-        after = F.substr(text, (s["end"] + 1).cast("int"), F.lit(CONTEXT))
-        whole = F.when(F.length(after) < CONTEXT, after).otherwise(F.regexp_replace(after, r"\p{L}+$", ""))
 
-        def terms(part: Column, at: Column) -> Column:
-            return F.transform(
-                _located(part, TERM),
-                lambda x: F.struct(
-                    F.lower(x["value"]).alias("term"),
-                    (at + x["end"] - F.length(x["value"])).cast("long").alias("start"),
-                    (at + x["end"]).cast("long").alias("end"),
-                    entity.alias("entity"),
-                ),
-            )
+def _masked(text: Column, spans: Column) -> Column:
+    """The text, of the same length, with _MASK all over its base spans."""
+    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def put(a: Column, s: Column) -> Column:
+        start, end = F.greatest(a["at"], s["start"]), F.greatest(a["at"], s["end"])
+        gap = F.substr(text, (a["at"] + 1).cast("int"), (start - a["at"]).cast("int"))
+        return F.struct(
+            F.concat(a["out"], gap, F.repeat(F.lit(_MASK), (end - start).cast("int"))).alias("out"), end.alias("at")
+        )
+
+    rest = lambda a: F.concat(a["out"], F.substr(text, (a["at"] + 1).cast("int")))
+    return F.when(F.size(spans) > 0, F.aggregate(order, zero, put, rest)).otherwise(text)
+
+
+def _terms(body: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(TERM), F.lit(0)), F.lower))
+
 
-        return F.concat(terms(F.substr(before, lead + 1), from_ + lead), terms(whole, s["end"]))
+def _term_hashes(body: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w))))
+
+
+def _places(body: Column, removed: Column, generalised: Column) -> Column:
+    """array<struct<start, end, action>> of all terms whose hashes are listed, in one walk over the pieces."""
+    words = F.regexp_extract_all(body, F.lit(TERM), F.lit(0))
+    pieces = F.zip_with(
+        F.slice(F.split(body, TERM, -1), 1, F.size(words)),
+        words,
+        lambda a, w: F.struct(
+            (F.length(a) + F.length(w)).cast("long").alias("step"),
+            F.length(w).cast("long").alias("n"),
+            F.xxhash64(F.lower(w)).alias("h"),
+        ),
+    )
+    zero = F.struct(
+        F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start: long, end: long, action: string>>").alias("out")
+    )
+
+    def step(a: Column, x: Column) -> Column:
+        end = a["at"] + x["step"]
+        place = lambda action: F.concat(
+            a["out"], F.array(F.struct((end - x["n"]).alias("start"), end.alias("end"), F.lit(action).alias("action")))
+        )
+        out = F.when(F.array_contains(removed, x["h"]), place("remove"))
+        out = out.when(F.array_contains(generalised, x["h"]), place("generalise")).otherwise(a["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
 
-    return F.flatten(F.transform(spans, around))
+    return F.aggregate(pieces, zero, step, lambda a: a["out"])
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, key, spans, terms) of every row: its base spans, and the terms around them. Written once."""
+    """(row, key, spans, entities, body) of every row: its base spans, their distinct entities, and the text
+    with the spans masked. Texts and spans are written once."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(key).alias("key"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    spans = rows.withColumn("spans", base_spans(F.col("text")))
-    some = F.size("spans") > 0
-    return written(spans.withColumn("terms", F.when(some, _context_terms(F.col("text"), F.col("spans")))).drop("text"))
+    spans = written(rows.withColumn("spans", base_spans(F.col("text"))))
+    return spans.select(
+        "row",
+        "key",
+        "spans",
+        F.array_distinct(F.transform("spans", _entity)).alias("entities"),
+        _masked(F.col("text"), F.col("spans")).alias("body"),
+    )
 
 
 def disclosing_terms(
-    docs: DataFrame,
-    found: DataFrame,
-    text: str = "text",
-    generalise: float = GENERALISE,
-    remove: float = REMOVE,
-    min_support: int = MIN_SUPPORT,
+    found: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, min_support: int = MIN_SUPPORT
 ) -> DataFrame:
     """(term, entity, disclosure, action) of the terms that reveal too much of an entity.
 
-    With N documents, n(t) that hold the term, n(e) the entity, and n(t, e) the
-    term within the entity's context, the term's pointwise mutual information
+    With N documents, n(t) that hold the term, n(e) the entity, and n(t, e)
+    both, anywhere in the text, the term's pointwise mutual information
     log2(N n(t, e) / (n(t) n(e))) is set against the entity's own information
-    log2(N / n(e)): 1 if the term only ever stands beside the entity. From
-    ``generalise`` on the term is generalised, from ``remove`` on removed.
-    All counts are of documents and over all rows; each row counts a term or
-    pair once before anything moves, so neither needs a distinct count.
+    log2(N / n(e)): 1 if the term only ever shares a document with the entity.
+    From ``generalise`` on the term is generalised, from ``remove`` on removed.
+    All counts are of documents and over all rows; each row counts a term,
+    entity or pair once before anything moves. Entities below ``min_support``
+    go before they are paired.
     """
     n_docs = found.count()
-    pairs = (
-        found.filter(F.size("terms") > 0)
-        .select(F.explode(F.array_distinct(F.transform("terms", lambda x: F.struct(x["term"], x["entity"])))).alias("p"))
-        .groupBy("p.term", "p.entity")
-        .agg(F.count("*").alias("n_pair"))
-        .filter(F.col("n_pair") >= min_support)
-    )
-    entities = (
-        found.filter(F.size("spans") > 0)
-        .select(F.explode(F.array_distinct(F.transform("terms", lambda x: x["entity"]))).alias("entity"))
+    some = found.filter(F.size("entities") > 0)
+    entities = written(
+        some.select(F.explode("entities").alias("entity"))
         .groupBy("entity")
         .agg(F.count("*").alias("n_entity"))
         .filter(F.col("n_entity") >= min_support)
     )
+    judged_rows = (
+        some.select("row", F.explode("entities").alias("entity"))
+        .join(entities, "entity")
+        .groupBy("row")
+        .agg(F.collect_list("entity").alias("judged"))
+    )
+    pairs = (
+        some.select("row", _terms(F.col("body")).alias("terms"))
+        .join(written(judged_rows), "row")
+        .select("judged", F.explode("terms").alias("term"))
+        .select("term", F.explode("judged").alias("entity"))
+        .groupBy("term", "entity")
+        .agg(F.count("*").alias("n_pair"))
+        .filter(F.col("n_pair") >= min_support)
+    )
     words = (
-        docs.select(
-            F.explode(
-                F.array_distinct(
-                    F.transform(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w))
-                )
-            ).alias("term_hash")
-        )
-        .groupBy("term_hash")
-        .agg(F.count("*").alias("n_term"))
+        found.select(F.explode(_term_hashes(F.col("body"))).alias("term_hash")).groupBy("term_hash").agg(F.count("*").alias("n_term"))
     )
     judged = written(pairs.join(entities, "entity")).withColumn("term_hash", F.xxhash64("term"))
     information = F.log2(F.lit(float(n_docs)) / F.col("n_entity"))
@@ -208,33 +239,36 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **thresho
     """(key, spans) of every row, spans being array<struct<kind, start, end, action>>.
 
     Base spans come first, by kind as listed and start, with action 'replace';
-    then disclosing terms in their contexts (kind 'term', action 'generalise'
-    or 'remove') by start, leaving out terms that overlap a base span. A null
-    or empty text has none. Repeated rows are documents each, a null key is
-    kept, extra columns are not read. Texts are never shuffled. An entity or
-    term in very many documents is counted from partial sums, and its rows are
-    split by the adaptive join.
+    then disclosing terms by start (kind 'term', action 'generalise' or
+    'remove', the stronger if it discloses several entities), wherever they
+    stand in any text, also in one without the entity, leaving out terms that
+    touch a base span. A null or empty text has none. Repeated rows are
+    documents each, a null key is kept, extra columns are not read. Texts are
+    shuffled once, to the list of rows with a disclosing term. An entity or term in very many documents is counted
+    from partial sums, and its rows are split by the adaptive join.
     """
     found = find(docs, key, text)
-    chosen = written(disclosing_terms(docs, found, text, **thresholds))
-    overlaps = lambda t, s: (t["start"] < s["end"]) & (s["start"] < t["end"])
-    terms = (
-        found.filter(F.size("terms") > 0)
-        .select("row", "spans", F.explode("terms").alias("t"))
-        .filter(~F.exists("spans", lambda s: overlaps(F.col("t"), s)))
-        .select("row", "t.term", "t.entity", "t.start", "t.end")
-        .join(chosen, ["term", "entity"])
-        .groupBy("row", "start", "end")
+    actions = written(
+        disclosing_terms(found, **thresholds)
+        .groupBy(F.xxhash64("term").alias("term_hash"))
         .agg(F.max("action").alias("action"))  # 'remove' outdoes 'generalise'
+    )
+    hits = written(
+        found.select("row", F.explode(_term_hashes(F.col("body"))).alias("term_hash"))
+        .join(actions, "term_hash")
         .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "action"))).alias("extra"))
+        .agg(
+            F.collect_list(F.when(F.col("action") == "remove", F.col("term_hash"))).alias("removed"),
+            F.collect_list(F.when(F.col("action") != "remove", F.col("term_hash"))).alias("generalised"),
+        )
     )
+    extra = F.when(F.col("removed").isNotNull(), _places(F.col("body"), F.col("removed"), F.col("generalised")))
     kind_of = "array<struct<kind: string, start: long, end: long, action: string>>"
     base = F.transform("spans", lambda s: F.struct(s["kind"], s["start"], s["end"], F.lit("replace").alias("action")))
     more = F.transform("extra", lambda s: F.struct(F.lit("term").alias("kind"), s["start"], s["end"], s["action"]))
     return (
-        found.select("row", "key", "spans")
-        .join(terms, "row", "left")
+        found.join(hits.hint("merge"), "row", "left")  # one plan at every size: texts move once
+        .withColumn("extra", extra)
         .select(
             F.col("key").alias(key),
             F.concat(base.cast(kind_of), F.coalesce(more.cast(kind_of), F.array().cast(kind_of))).alias("spans"),

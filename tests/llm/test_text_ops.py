@@ -168,6 +168,19 @@ def test_pii_terms(spark):
     assert {r.doc_id: r.r for r in joined}[0] == "write to  at <EMAIL> today number 0"
 
 
+def test_pii_terms_anywhere_in_the_text(spark):
+    far = " common words of the text" * 10
+    texts = [(i, f"Zorblat and Bo, 李{far} {i} boss@corp.org xboss") for i in range(4)]
+    texts += [(4, f"a text{far} on Zorblat, Bo 😀 and 李 alone, Zorblat")]
+    texts += [(10 + i, f"and a text on{far} alone xboss {i}") for i in range(30)]
+    table_ = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.sanitise(table_).collect()}
+    for i, t in texts[:5]:
+        terms = [(t[s.start : s.end], s.action) for s in found[i] if s.kind == "term"]
+        assert terms == [(x, "generalise") for x in ("Zorblat", "Bo", "李", "Zorblat")[: 3 if i < 4 else 4]]
+    assert not any(found[i] for i, _ in texts[5:])
+
+
 def plain_quality(t):
     w = words(t)
     trigrams = Counter(zip(w, w[1:], w[2:]))
