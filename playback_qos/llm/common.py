@@ -10,7 +10,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,22 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def grid(vec: Column, scale: int, limit: int) -> Column:
+    """``floor(scale * x)`` of each component as an int, within ``limit`` either way.
+
+    Null for a null vector and for one with a null, NaN or infinite component.
+    """
+    x = F.transform(vec, lambda c: c.cast("double"))
+    good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    held = F.transform(x, lambda c: F.greatest(F.lit(-float(limit)), F.least(F.lit(float(limit)), F.floor(c * scale).cast("double"))).cast("int"))
+    return F.when(good, held)
+
+
+def int_rows(column: pa.Array, dim: int) -> np.ndarray:
+    """A column of lists of ``dim`` integers as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+
+
 def byte_set(members: bytes) -> np.ndarray:
     out = np.zeros(256, dtype=bool)
     out[np.frombuffer(members, dtype=np.uint8)] = True

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playback_qos.llm import pii
+from playback_qos.llm import pii, simhash
 from playback_qos.llm.bpe import encode_documents
+from playback_qos.llm.centroids import cluster
 from playback_qos.llm.common import table
 from playback_qos.llm.decontaminate import decontaminate
 from playback_qos.llm.jaccard_join import near_duplicates
@@ -16,6 +17,7 @@ from playback_qos.llm.quality import fit_weights, quality
 from playback_qos.llm.sharding import shard_documents
 from playback_qos.llm.substring_dedup import remove_repeated_windows
 from playback_qos.llm.warc import roundtrip
+from playback_qos.llm.whitening import whiten
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -104,6 +106,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -117,6 +131,9 @@ LLM_QUERIES = {
         op8_language_id,
         op9_sentencepiece,
         op10_line_dedup,
+        op11_centroids,
+        op12_simhash,
+        op13_whitening,
     )
 }
 
@@ -230,10 +247,45 @@ SELECT doc_id, source, coalesce(len(ls), 0)::BIGINT AS n_lines,
 FROM cut
 """
 
+
+
+def _op11_sql(k: int = 16, rounds: int = 3, dim: int = 64, scale: int = 64) -> str:
+    def assigned(i: int) -> str:
+        square = f"list_sum(list_transform(range(1, {dim + 1}), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT"
+        return f"a{i} AS MATERIALIZED (SELECT r, min({{'d': {square}, 'c': c.c}}) AS best FROM v, c{i} c GROUP BY r)"
+
+    def moved(i: int) -> str:
+        return f"""m{i} AS (
+  SELECT c, list(m ORDER BY i) AS x FROM (
+    SELECT best.c AS c, i, ((sum(x[i]) - ((sum(x[i]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+    FROM (SELECT best, x, unnest(range(1, {dim + 1})) AS i FROM a{i} JOIN v USING (r)) GROUP BY best.c, i) GROUP BY c
+), c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.x, c{i}.x) AS x FROM c{i} LEFT JOIN m{i} ON c{i}.c = m{i}.c)"""
+
+    steps = ", ".join(f"{assigned(i)}, {moved(i)}" for i in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda z: floor({scale} * z::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) = {dim}
+    AND len(list_filter(embedding, lambda z: z IS NOT NULL AND isfinite(z))) = {dim}
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h, x) - 1)::INTEGER AS c, x
+  FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM v ORDER BY h, x LIMIT {k})
+), {steps}, {assigned(rounds)}, inertias AS (
+  SELECT best.c AS c, sum(best.d)::BIGINT AS own FROM a{rounds} GROUP BY best.c
+)
+SELECT vec_id, best.c AS cluster, best.d AS distance, own AS cluster_inertia,
+  (SELECT sum(own)::BIGINT FROM inertias) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} USING (r) JOIN inertias ON inertias.c = best.c JOIN c{rounds} c ON c.c = best.c
+"""
+
+
+OP11_SQL = _op11_sql()
+
 LLM_ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
     "op2_decontamination": OP2_SQL,
     "op3_sharding": OP3_SQL,
     "op7_warc": OP7_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_centroids": OP11_SQL,
 }

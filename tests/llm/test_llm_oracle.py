@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         c.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -29,4 +29,4 @@ def test_all_operators_are_registered():
     from __spark_entry__ import queries
 
     names = {x.split("_")[0] for x in LLM_QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)} and {*LLM_QUERIES, "pipeline"} <= set(queries())
+    assert names == {f"op{n}" for n in range(1, 14)} and {*LLM_QUERIES, "pipeline"} <= set(queries())
