@@ -17,8 +17,13 @@ from playback_qos.operators import quality as Q
 from playback_qos.operators import silver as S
 from playback_qos.operators import telemetry as TM
 from playback_qos.plans import layers as L
-from playback_qos.schema import KEYS, SILVER_COLUMNS
+from playback_qos.schema import KEYS, SILVER_COLUMNS, TELEMETRY
+from playback_qos.session import scratch_dir
 from playback_qos.sources import fixtures as X
+from playback_qos.sources.tables import read_table
+from playback_qos.streaming import jobs as J
+from playback_qos.streaming.layout import Layout
+from playback_qos.streaming.sinks import ensure_dir
 
 DIGITS = 9
 GOLD_DOUBLES = ["avg_buffering_ratio", "avg_p2p_share", "buffering_ratio"]
@@ -174,6 +179,21 @@ def q_telemetry_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TM.flatten_payloads(accepted)
 
 
+def q_telemetry_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accepted lines of logs that grow between three runs of the stream job, each run from its checkpoint."""
+    lines = X.telemetry_json_from_events(X.events(spark, sf_dir))
+    ids = lines.agg(F.min("seq").alias("low"), F.max("seq").alias("high")).first()
+    layout = Layout(scratch_dir(spark))
+    n_logs = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = [] if ids.low is None else [ids.low + (ids.high - ids.low) * k // 3 for k in (1, 2)]
+    for upto in [*cuts, None]:
+        X.grow_logs(lines, f"{layout.base}/incoming", n_logs, upto)
+        J.await_all([J.stream_telemetry(spark, f"{layout.base}/incoming", layout, trigger="available_now")])
+    ensure_dir(spark, layout.telemetry)  # of no line at all
+    accepted = read_table(spark, layout.telemetry, schema=J.TELEMETRY_STORED)
+    return TM.flatten_payloads(accepted.select(*TELEMETRY.fieldNames()))
+
+
 def q_telemetry_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = X.telemetry_json_from_events(X.events(spark, sf_dir))
     _, quarantined = TM.split_contract(lines)
@@ -220,6 +240,7 @@ QUERIES = {
     "content_qos_end_to_end": q_content_qos_end_to_end,
     "dq_results_end_to_end": q_dq_results_end_to_end,
     "telemetry_contract": q_telemetry_contract,
+    "telemetry_tail": q_telemetry_tail,
     "telemetry_quarantine": q_telemetry_quarantine,
     "telemetry_flat": q_telemetry_flat,
     "buffering_intervals": q_buffering_intervals,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +54,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.sparkContext.setCheckpointDir(fallback)
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors share.
+
+    Only a local session may do without that setting; it gets a temporary folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="playback-qos-"))
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"

@@ -10,7 +10,13 @@ filters rows.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playback_qos.functions.qos import tier_column
 from playback_qos.schema import (
@@ -19,6 +25,7 @@ from playback_qos.schema import (
     EVT_QUALITY,
     TIERS,
 )
+from playback_qos.sources import tail
 
 # Fixed epoch (2024-01-01T00:00:00Z in ms) used for heartbeat clocks.
 EPOCH_MS = 1704067200000
@@ -231,3 +238,44 @@ def telemetry_json_from_events(ev: DataFrame) -> DataFrame:
         lines,
         [("seq", "seq"), ("value", "case when seq % 101 = 0 then substring(line, 1, 40) else line end")],
     )
+
+
+def grow_logs(lines: DataFrame, folder: str, n_logs: int, upto: int | None = None) -> int:
+    """Let ``n_logs`` receiver logs in ``folder`` hold the lines (``seq``, ``value``) below ``upto``; returns their number.
+
+    A log is the lines of ``seq`` modulo ``n_logs`` in order, so each call with
+    a larger ``upto`` makes the logs longer. The last line of a log that has
+    more to come is cut in its middle and has no end yet. Tasks write the logs,
+    each by a hidden file that is renamed when it is whole.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[tail.__name__])
+    open_path = tail.open_path
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = open_path(folder)
+        fs.create_dir(root, recursive=True)
+        log, out, n, closed = None, None, 0, False
+        part = f"{root}/.part-{TaskContext.get().taskAttemptId()}"
+
+        def finish() -> None:
+            if out is not None:
+                out.close()
+                fs.move(part, f"{root}/log-{log:05d}.jsonl")
+
+        for b in batches:
+            for own, seq, value in zip(*(b.column(c).to_pylist() for c in ("log", "seq", "value")), strict=True):
+                if own != log:
+                    finish()
+                    log, out, closed = own, fs.open_output_stream(part), False
+                raw = value.encode() + b"\n"
+                if upto is None or seq < upto:
+                    out.write(raw)
+                    n += 1
+                elif not closed:
+                    out.write(raw[: len(raw) // 2])
+                    closed = True
+        finish()
+        yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
+
+    dealt = lines.withColumn("log", F.expr(f"cast(pmod(seq, {n_logs}) as int)")).repartition(n_logs, "log")
+    return dealt.sortWithinPartitions("log", "seq").mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0

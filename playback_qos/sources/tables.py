@@ -105,8 +105,8 @@ _FILE_POSITION = {"log_file": "_metadata.file_path", "log_split": "_metadata.fil
 def with_log_line(lines: DataFrame) -> DataFrame:
     """Add ``log_line`` to lines as they come from the scan: it grows with the
     line's place within a split (with ``log_file`` and ``log_split`` before it,
-    the whole log position)."""
-    return lines.withColumn("log_line", F.monotonically_increasing_id())
+    the whole log position). Lines that have it, as those of a tailed log, keep it."""
+    return lines if "log_line" in lines.columns else lines.withColumn("log_line", F.monotonically_increasing_id())
 
 
 def telemetry_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -116,8 +116,11 @@ def telemetry_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def telemetry_lines_stream(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
-    """Receiver log files (JSON lines), stream: ``value``, ``log_file`` and
-    ``log_split``; each micro-batch adds ``log_line`` (streams refuse it)."""
+    """Closed log files (JSON lines), stream: ``value``, ``log_file`` and
+    ``log_split``; each micro-batch adds ``log_line`` (streams refuse it).
+
+    Each file is read once, when it appears: what is appended later is not
+    seen. Logs that grow are for ``sources.tail.tail_lines``."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

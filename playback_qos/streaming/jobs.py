@@ -27,6 +27,7 @@ from playback_qos.schema import (
     silver_schema,
 )
 from playback_qos.sources import tables as TB
+from playback_qos.sources.tail import tail_lines
 from playback_qos.streaming import sinks as K
 from playback_qos.streaming.layout import Layout
 from playback_qos.streaming.state import buffering_intervals_stream
@@ -34,6 +35,12 @@ from playback_qos.streaming.state import buffering_intervals_stream
 #: Input files of one telemetry micro-batch, which bounds what a session brings to one task.
 TELEMETRY_FILES_PER_TRIGGER = 64
 
+#: Columns of the accepted telemetry table.
+TELEMETRY_STORED = T.StructType(LOG_POSITION.fields + TELEMETRY.fields)
+
+#: New log bytes of one micro-batch of tailed logs.
+TELEMETRY_BYTES_PER_TRIGGER = 1 << 30
+
 _DAY = "_event_day"
 _SALT = "_salt"
 
@@ -308,9 +315,26 @@ def telemetry_batch_writer(accepted_path: str, quarantine_path: str, fmt: str =
 
 def stream_telemetry(spark: SparkSession, incoming: str, layout: Layout, fmt: str = "parquet",
                      trigger: str | None = None,
-                     max_files_per_trigger: int | None = TELEMETRY_FILES_PER_TRIGGER) -> StreamingQuery:
-    """Receiver log directory (JSON lines) -> accepted events, with their log position, + quarantine."""
-    lines = TB.telemetry_lines_stream(spark, incoming, max_files_per_trigger)
+                     max_files_per_trigger: int | None = TELEMETRY_FILES_PER_TRIGGER,
+                     source: str = "tail",
+                     max_bytes_per_trigger: int | None = TELEMETRY_BYTES_PER_TRIGGER,
+                     pattern: str = "*") -> StreamingQuery:
+    """Receiver logs (JSON lines) -> accepted events, with their log position, + quarantine.
+
+    ``source="tail"`` reads on in logs that grow, each line once (see
+    ``sources.tail``); ``incoming`` is their folder or a single log, ``pattern``
+    picks names. ``source="files"`` is for closed files on storage that only
+    Spark reads: each file is read once, when it appears. A checkpoint belongs
+    to the source it was made with. A draining run over tailed logs is one
+    micro-batch.
+    """
+    if source == "tail":
+        limit = None if trigger == "available_now" else max_bytes_per_trigger
+        lines = tail_lines(spark, incoming, limit, pattern=pattern)
+    elif source == "files":
+        lines = TB.telemetry_lines_stream(spark, incoming, max_files_per_trigger)
+    else:
+        raise ValueError(f"unknown source {source!r}")
     w = (
         lines.writeStream.foreachBatch(
             telemetry_batch_writer(layout.telemetry, layout.telemetry_quarantine, fmt)
@@ -333,8 +357,7 @@ def stream_buffering_intervals(spark: SparkSession, layout: Layout, fmt: str = "
     if pending_days is not None and trigger == "available_now":
         raise ValueError("a query that drains its input and stops cannot expire state")
     tele = TB.read_batch_table_stream(spark, layout.telemetry,
-                                      T.StructType(LOG_POSITION.fields + TELEMETRY.fields), fmt,
-                                      max_files_per_trigger)
+                                      TELEMETRY_STORED, fmt, max_files_per_trigger)
     out = buffering_intervals_stream(tele, order, pending_days)
     return K.append_stream(out, layout.buffering_intervals,
                            layout.checkpoint("buffering_intervals"), fmt, None, trigger,
