@@ -2,7 +2,7 @@
 
   python -m playback_qos [--shuffle-partitions N] run --base DIR
         [--trigger "30 seconds" | --available-now] [--late-days N]
-        [--gold-mode complete|merge] [--salt-buckets N] [--telemetry-in DIR] [--fmt parquet]
+        [--gold-mode complete|merge] [--salt-buckets N] [--telemetry-in DIR] [--telemetry-pattern GLOB] [--telemetry-late DELAY] [--fmt parquet]
   python -m playback_qos batch --base DIR [--since YYYY-MM-DD] [--fmt parquet]
   python -m playback_qos export --src DIR --dst DIR
 """
@@ -47,8 +47,11 @@ def main(argv=None) -> None:
                      default="first_seen",
                      help="first_by_order keeps the earliest row per key (needs --late-days)")
     run.add_argument("--telemetry-in", default=None,
-                     help="directory of player JSON-lines logs: also run the contract split "
-                          "and the buffering-interval pairing")
+                     help="directory of player JSON-lines logs, or one log, which may grow: also run "
+                          "the contract split and the buffering-interval pairing")
+    run.add_argument("--telemetry-pattern", default="*", help="names of the logs in that directory")
+    run.add_argument("--telemetry-late", default=jobs.LATE,
+                     help="how late an event may come and still be paired (event time)")
     bat = sub.add_parser("batch", help="rebuild every layer table from source_raw, each once")
     bat.add_argument("--base", required=True)
     bat.add_argument("--fmt", default="parquet")
@@ -84,8 +87,10 @@ def main(argv=None) -> None:
                                silver_dedupe=args.silver_dedupe)
         if args.telemetry_in:
             now = "available_now"
-            jobs.await_all([jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, now)])
-            jobs.await_all([jobs.stream_buffering_intervals(spark, layout, args.fmt, now)])
+            jobs.await_all([jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, now,
+                                                  pattern=args.telemetry_pattern)])
+            jobs.await_all([jobs.stream_buffering_intervals(spark, layout, args.fmt, now,
+                                                            late=args.telemetry_late)])
         return
     # long-running: every stage at once; each reads its input table as it grows
     for path in (layout.source_raw, layout.bronze, layout.validated, layout.silver):
@@ -107,8 +112,9 @@ def main(argv=None) -> None:
         ensure_dir(spark, layout.telemetry)
         queries += [
             jobs.stream_telemetry(spark, args.telemetry_in, layout, args.fmt, args.trigger,
-                                  mf or jobs.TELEMETRY_FILES_PER_TRIGGER),
+                                  pattern=args.telemetry_pattern),
             jobs.stream_buffering_intervals(spark, layout, args.fmt, args.trigger, pending_days=7,
+                                            late=args.telemetry_late,
                                             max_files_per_trigger=mf or jobs.TELEMETRY_FILES_PER_TRIGGER),
         ]
     spark.streams.awaitAnyTermination()

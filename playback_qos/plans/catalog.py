@@ -17,7 +17,7 @@ from playback_qos.operators import quality as Q
 from playback_qos.operators import silver as S
 from playback_qos.operators import telemetry as TM
 from playback_qos.plans import layers as L
-from playback_qos.schema import KEYS, SILVER_COLUMNS, TELEMETRY
+from playback_qos.schema import INTERVALS, KEYS, SILVER_COLUMNS, TELEMETRY
 from playback_qos.session import scratch_dir
 from playback_qos.sources import fixtures as X
 from playback_qos.sources.tables import read_table
@@ -216,6 +216,30 @@ def q_buffering_intervals_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TM.buffering_intervals(days, order=("timestamp", "seq"))
 
 
+def q_buffering_intervals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream job on events that arrive in random order, the bound of lateness being the table's time span."""
+    tele = X.telemetry_from_events(X.events(spark, sf_dir))
+    order = ("timestamp", "seq")
+    span = tele.agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high")).first()
+    layout = Layout(scratch_dir(spark))
+    days = 0 if span.low is None else (span.high - span.low) // 86_400_000 + 2
+    tele.repartition(F.hash("seq")).write.parquet(layout.telemetry)
+
+    def drain() -> None:
+        J.await_all([J.stream_buffering_intervals(spark, layout, trigger="available_now", order=order, late=f"{days} days",
+                                                  slot_ms=3_600_000, max_files_per_trigger=64)])
+
+    drain()
+    # one event of another session behind the bound lets the watermark pass all others
+    far = tele.filter("seq IS NOT NULL").limit(1).withColumns(
+        {"sessionId": F.lit("end of stream"), "event_type": F.lit("buffering_start"),
+         "timestamp": F.lit(span.high).cast("long") + (days + 1) * 86_400_000})
+    far.write.mode("append").parquet(layout.telemetry)
+    drain()
+    ensure_dir(spark, layout.buffering_intervals)
+    return read_table(spark, layout.buffering_intervals, schema=INTERVALS)
+
+
 QUERIES = {
     "viewer_qos": q_viewer_qos,
     "content_qos": q_content_qos,
@@ -245,4 +269,5 @@ QUERIES = {
     "telemetry_flat": q_telemetry_flat,
     "buffering_intervals": q_buffering_intervals,
     "buffering_intervals_ties": q_buffering_intervals_ties,
+    "buffering_intervals_stream": q_buffering_intervals_stream,
 }

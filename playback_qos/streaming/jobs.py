@@ -30,7 +30,7 @@ from playback_qos.sources import tables as TB
 from playback_qos.sources.tail import tail_lines
 from playback_qos.streaming import sinks as K
 from playback_qos.streaming.layout import Layout
-from playback_qos.streaming.state import buffering_intervals_stream
+from playback_qos.streaming.state import LATE, SLOT_MS, buffering_intervals_stream
 
 #: Input files of one telemetry micro-batch, which bounds what a session brings to one task.
 TELEMETRY_FILES_PER_TRIGGER = 64
@@ -348,17 +348,17 @@ def stream_telemetry(spark: SparkSession, incoming: str, layout: Layout, fmt: st
 def stream_buffering_intervals(spark: SparkSession, layout: Layout, fmt: str = "parquet",
                                trigger: str | None = None, order=TELEMETRY_ORDER,
                                max_files_per_trigger: int | None = TELEMETRY_FILES_PER_TRIGGER,
-                               pending_days: int | None = None) -> StreamingQuery:
-    """Accepted telemetry stream -> buffering intervals (stateful, append).
+                               pending_days: int | None = None, late: str = LATE,
+                               slot_ms: int = SLOT_MS) -> StreamingQuery:
+    """Accepted telemetry stream -> buffering intervals, paired in event time (stateful, append).
 
-    A long-running query should set ``pending_days``, after which a session's
-    pending start is dropped (see ``state.buffering_intervals_stream``).
+    The result does not depend on the order in which events arrive, up to
+    ``late`` (see ``state.buffering_intervals_stream``). A checkpoint of the
+    earlier pairing by arrival cannot go on with this one.
     """
-    if pending_days is not None and trigger == "available_now":
-        raise ValueError("a query that drains its input and stops cannot expire state")
     tele = TB.read_batch_table_stream(spark, layout.telemetry,
                                       TELEMETRY_STORED, fmt, max_files_per_trigger)
-    out = buffering_intervals_stream(tele, order, pending_days)
+    out = buffering_intervals_stream(tele, order, late, slot_ms, pending_days)
     return K.append_stream(out, layout.buffering_intervals,
                            layout.checkpoint("buffering_intervals"), fmt, None, trigger,
                            name="buffering_intervals")

@@ -1,93 +1,137 @@
-"""Stateful streaming form of buffering-interval pairing (per session).
-
-Window functions are refused on streams, so the pairing runs as a
-``transformWithStateInPandas`` processor keyed by session: the only state
-kept per session is the pending buffering start (epoch ms), i.e. one long,
-and it can expire. Only buffering starts and ends are shuffled. Rows of a session
-inside one micro-batch are put in a total order (time, then log position);
-across micro-batches, arrival order is trusted (the collector posts in
-order). A micro-batch is bounded with ``maxFilesPerTrigger``, which bounds
-what one session can bring to one task.
+"""Streaming form of buffering-interval pairing, in event time.
+
+Window functions are refused on streams, and a pairing in order of arrival is
+wrong as soon as events come late or from several logs. Here a
+``transformWithState`` processor keeps a session's starts and ends in slots of
+event time; a slot is paired, in the total order of the batch form, once the
+watermark has passed its end. What stays per session is its open slots and one
+pending start.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from playback_qos.schema import EVT_BUFFER_END, EVT_BUFFER_START, INTERVALS, TELEMETRY_ORDER
 
-_OUT_COLS = INTERVALS.fieldNames()
+#: How late an event may come (event time, against the newest event seen) and still be paired.
+LATE = "10 minutes"
+#: Width of a slot.
+SLOT_MS = 60_000
+#: Input rows that are held before they go to their slots.
+SLICE = 4096
+
+
+def _in_order(mark: tuple) -> tuple:
+    """Sort key of (order columns, type): nulls first, as Spark sorts."""
+    return tuple((v is not None, v) for v in mark)
 
 
 class BufferingPairing(StatefulProcessor):
-    """Emit (sessionId, started_at, ended_at, duration_ms) at each end whose
-    previous start/end event is a start."""
+    """Emit (sessionId, started_at, ended_at, duration_ms) at each end whose previous start/end event is a start."""
 
-    def __init__(self, order=TELEMETRY_ORDER, pending_days: int | None = None):
-        self.order = list(order)
-        self.ttl_ms = None if pending_days is None else int(pending_days) * 86_400_000
+    def __init__(self, marks: T.StructType, slot_ms: int = SLOT_MS, pending_ms: int | None = None):
+        self.marks, self.slot_ms, self.pending_ms = marks, int(slot_ms), pending_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pending = handle.getValueState("pending_start", "started_at long", self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        # rows that tie on the order go by type, as in the batch form
-        batch = batch.sort_values([*self.order, "event_type"], kind="stable", na_position="first")
-        types = batch["event_type"].reset_index(drop=True)
-        times = batch[self.order[0]].astype("int64").reset_index(drop=True)
-        if self.pending.exists():  # carry the pending start in front of the batch
-            types = pd.concat([pd.Series([EVT_BUFFER_START]), types], ignore_index=True)
-            times = pd.concat(
-                [pd.Series([self.pending.get()[0]], dtype="int64"), times], ignore_index=True
-            )
-        # an end pairs with the event right before it iff that event is a start
-        pair = (types == EVT_BUFFER_END) & (types.shift() == EVT_BUFFER_START)
-        if types.iloc[-1] == EVT_BUFFER_START:
-            self.pending.update((int(times.iloc[-1]),))
-        else:
-            self.pending.clear()
-        if pair.any():
-            e = times[pair].reset_index(drop=True)
-            s = times.shift()[pair].astype("int64").reset_index(drop=True)
-            yield pd.DataFrame(
-                {"sessionId": key[0], "started_at": s, "ended_at": e, "duration_ms": e - s}
-            )[_OUT_COLS]
+        self.handle = handle
+        held = T.StructType([T.StructField("marks", T.ArrayType(self.marks))])
+        self.slots = handle.getMapState("slots", "slot long", held)
+        self.pending = handle.getValueState("pending_start", "started_at long")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        slots: dict[int, list[tuple]] = {}
+        for i, r in enumerate(rows, 1):
+            slots.setdefault(r[1] // self.slot_ms, []).append(tuple(r)[1:-1])  # without key and event time
+            if i % SLICE == 0:
+                self._keep(slots)
+                slots = {}
+        self._keep(slots)
+        return iter(())
+
+    def _keep(self, slots: dict[int, list[tuple]]) -> None:
+        for slot, marks in slots.items():
+            if self.slots.containsKey((slot,)):
+                marks = [*map(tuple, self.slots.getValue((slot,))[0]), *marks]
+            else:
+                self.handle.registerTimer((slot + 1) * self.slot_ms - 1)  # no event of the slot is on time then
+            self.slots.updateValue((slot,), (marks,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        started = self.pending.get()[0] if self.pending.exists() else None
+        before = started
+        # all slots that end by now, in order, whatever order timers come in
+        for slot in sorted(k[0] for k in self.slots.keys() if (k[0] + 1) * self.slot_ms - 1 <= now):
+            for mark in sorted((tuple(m) for m in self.slots.getValue((slot,))[0]), key=_in_order):
+                if mark[-1] == EVT_BUFFER_START:
+                    started = mark[0]
+                elif started is not None:
+                    yield Row(sessionId=key[0], started_at=started, ended_at=mark[0], duration_ms=mark[0] - started)
+                    started = None
+            self.slots.removeKey((slot,))
+        if started is not None and self.pending_ms is not None and started + self.pending_ms <= now:
+            started = None
+        if started is None:
+            if before is not None:
+                self.pending.clear()
+        elif started != before:
+            self.pending.update((started,))
+            if self.pending_ms is not None:
+                self.handle.registerTimer(started + self.pending_ms)
 
     def close(self) -> None:
         pass
 
 
-def buffering_intervals_stream(telemetry: DataFrame, order=TELEMETRY_ORDER, pending_days: int | None = None) -> DataFrame:
-    """Streaming telemetry (typed) -> interval rows, append mode.
+def buffering_intervals_stream(
+    telemetry: DataFrame,
+    order=TELEMETRY_ORDER,
+    late: str = LATE,
+    slot_ms: int = SLOT_MS,
+    pending_days: int | None = None,
+) -> DataFrame:
+    """Streaming telemetry (typed) -> interval rows, append mode; the same rows as the batch form.
+
+    ``order`` is event time (epoch ms) and then what tells apart events of one
+    millisecond. Events may arrive in any order, ``late`` behind the newest one;
+    those that come later still are dropped, and Spark counts them
+    (``numRowsDroppedByWatermark``, see ``streaming.audit``). An interval comes
+    out when the watermark has passed the slot of its end, so a run that drains
+    its input keeps the last ``late`` of it in state for the next one.
 
-    ``order`` is event time and then what tells apart events of one
-    millisecond. With ``pending_days`` a start whose end does not come within
-    so many days (of processing time) is forgotten, so a session that ends on a
-    start does not stay in the state for good. Spark then runs batches without
-    data for ever, so only a query that never ends can have it, and a
-    checkpoint keeps the choice it was made with.
+    One slot of one session is in memory at a time, and input rows by slices.
+    Only starts and ends are shuffled. With ``pending_days`` a start whose end
+    does not follow within so many days of event time is forgotten, so a session
+    that ends on a start leaves nothing behind; a checkpoint keeps the choices it
+    was made with.
     """
     order = list(order)
     if len(order) < 2:
         raise ValueError("events of one millisecond need a second order column")
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have this package
     marks = telemetry.filter(
         F.col("event_type").isin(EVT_BUFFER_START, EVT_BUFFER_END)
         & F.col("sessionId").isNotNull()
         & F.col(order[0]).isNotNull()
     )
+    columns = [*order, "event_type"]
+    kinds = T.StructType([T.StructField(c, telemetry.schema[c].dataType) for c in columns])
     return (
-        marks.select("sessionId", "event_type", *order)
+        marks.select("sessionId", *columns, F.timestamp_millis(order[0]).alias("_event_time"))
+        .withWatermark("_event_time", late)
         .groupBy("sessionId")
-        .transformWithStateInPandas(
-            statefulProcessor=BufferingPairing(order, pending_days),
+        .transformWithState(
+            statefulProcessor=BufferingPairing(kinds, slot_ms, None if pending_days is None else int(pending_days) * 86_400_000),
             outputStructType=INTERVALS,
             outputMode="Append",
-            timeMode="None" if pending_days is None else "ProcessingTime",
+            timeMode="EventTime",
         )
     )

@@ -9,7 +9,7 @@ from playback_qos.operators import gold as G
 from playback_qos.operators import quality as Q
 from playback_qos.operators import telemetry as TM
 from playback_qos.plans import layers as L
-from playback_qos.schema import KEYS, LOG_POSITION, TELEMETRY, raw_schema, silver_schema
+from playback_qos.schema import INTERVALS, KEYS, LOG_POSITION, TELEMETRY, raw_schema, silver_schema
 from playback_qos.sources import fixtures as X
 from playback_qos.sources.tables import read_table
 from playback_qos.streaming import jobs as J
@@ -40,6 +40,15 @@ def raw_with_seq(spark):
     return X.nest(X.silver_from_events(ev)).withColumn("seq", F.col("timestampInfo.server"))
 
 
+YEARS = 3650
+
+
+def later(spark, path, schema):
+    """An event far behind all others, so that the watermark passes them."""
+    row = dict.fromkeys(schema.names) | {"event_type": "buffering_start", "sessionId": "far", "timestamp": 2**42}
+    spark.createDataFrame([tuple(row.values())], schema).coalesce(1).write.mode("append").parquet(path)
+
+
 def keyset(df):
     return sorted(tuple(r) for r in df.select(*KEYS).collect())
 
@@ -141,7 +150,7 @@ def test_telemetry_stream_contract_and_intervals(spark, tmp_dir):
             part = part.filter(F.col("seq") < hi)
         part.select("value").coalesce(1).write.mode("append").text(incoming)
         lo = hi
-    J.stream_telemetry(spark, incoming, layout, trigger="available_now",
+    J.stream_telemetry(spark, incoming, layout, trigger="available_now", source="files",
                        max_files_per_trigger=1).awaitTermination()
     accepted = read_table(spark, layout.telemetry).drop("batch_id")
     assert set(LOG_POSITION.names) <= set(accepted.columns)
@@ -151,7 +160,8 @@ def test_telemetry_stream_contract_and_intervals(spark, tmp_dir):
     quarantine = read_table(spark, layout.telemetry_quarantine)
     assert quarantine.count() == quar_batch.count()
 
-    J.stream_buffering_intervals(spark, layout, trigger="available_now",
+    later(spark, f"{layout.telemetry}/query_id=later/batch_id=0", accepted.drop("query_id").schema)
+    J.stream_buffering_intervals(spark, layout, trigger="available_now", late=f"{YEARS} days",
                                  max_files_per_trigger=1).awaitTermination()
     got = read_table(spark, layout.buffering_intervals)
     want = TM.buffering_intervals(TM.split_contract(lines)[0], order=("timestamp", "seq"))
@@ -242,29 +252,55 @@ def test_deterministic_stream_dedupe_matches_batch_first(spark, tmp_dir):
     assert got.exceptAll(want).count() == 0
 
 
-def test_interval_state_survives_restart(spark, tmp_dir):
+def test_intervals_do_not_depend_on_arrival(spark, tmp_dir):
+    """Events dealt at random over micro-batches and two runs: the same rows as the batch form."""
     layout = Layout(tmp_dir)
-    tele = X.telemetry_from_events(X.events(spark, SF))
+    tele = X.telemetry_from_events(X.events(spark, SF)).withColumn(
+        "sessionId", F.when(F.col("seq") % 3 == 0, F.lit("hot")).otherwise(F.col("sessionId")))
     order = ("timestamp", "seq")
-    ms = tele.approxQuantile("timestamp", [0.33, 0.66], 0.01)
-    parts = [tele.filter(F.col("timestamp") < ms[0]),
-             tele.filter((F.col("timestamp") >= ms[0]) & (F.col("timestamp") < ms[1])),
-             tele.filter(F.col("timestamp") >= ms[1])]
-    for p in parts[:2]:
-        p.coalesce(1).write.mode("append").parquet(layout.telemetry)
-    J.stream_buffering_intervals(spark, layout, trigger="available_now", order=order,
-                                 max_files_per_trigger=1).awaitTermination()
-    first = read_table(spark, layout.buffering_intervals).count()
-    parts[2].coalesce(1).write.mode("append").parquet(layout.telemetry)
-    # a new query object on the same checkpoint: state is restored from RocksDB
-    J.stream_buffering_intervals(spark, layout, trigger="available_now", order=order,
-                                 max_files_per_trigger=1).awaitTermination()
+    for k in range(2):  # the first run reads three of them
+        for p in range(3 - k):
+            tele.filter(F.pmod(F.hash("seq"), F.lit(5)) == 3 * k + p).coalesce(1).write.mode("append").parquet(layout.telemetry)
+        if k:
+            later(spark, layout.telemetry, tele.schema)
+        # a new query object on the same checkpoint: state and timers are restored from RocksDB
+        J.stream_buffering_intervals(spark, layout, trigger="available_now", order=order, late=f"{YEARS} days",
+                                     max_files_per_trigger=1, slot_ms=3_600_000).awaitTermination()
+        if not k:
+            assert read_table(spark, layout.buffering_intervals, schema=INTERVALS).count() == 0
     got = read_table(spark, layout.buffering_intervals)
     want = TM.buffering_intervals(tele, order=order)
-    assert first < got.count() == want.count()
+    assert got.count() == want.count() > 50
     assert got.exceptAll(want).count() == 0
 
 
+def test_intervals_in_order_come_out_as_the_watermark_goes(spark, tmp_dir, monkeypatch):
+    """Within the bound nothing is lost; late events are dropped; an old start is forgotten; slices of two rows."""
+    from playback_qos.streaming import state
+
+    monkeypatch.setattr(state, "SLICE", 2)
+    layout = Layout(tmp_dir)
+    start, end, minute = "buffering_start", "buffering_end", 60_000
+
+    def put(*events):
+        rows = [(kind, session, t * minute, i) for i, (kind, session, t) in enumerate(events)]
+        df = spark.createDataFrame(rows, "event_type string, sessionId string, timestamp long, seq long")
+        df.coalesce(1).write.mode("append").parquet(layout.telemetry)
+        J.stream_buffering_intervals(spark, layout, trigger="available_now", order=("timestamp", "seq"), late="10 minutes",
+                                     slot_ms=minute, pending_days=1).awaitTermination()
+        return sorted((r.sessionId, r.started_at // minute, r.ended_at // minute)
+                      for r in read_table(spark, layout.buffering_intervals, schema=INTERVALS).collect())
+
+    assert put((end, "a", 105), (start, "a", 101), (start, "a", 100), (start, "b", 103), (None, "a", 104), (end, None, 104)) == []
+    assert put((end, "b", 104), (end, "a", 103), (start, "c", 120)) == [("a", 101, 103), ("b", 103, 104)]
+    # before the watermark (110): dropped, and the end at 105 stays without a start
+    assert put((start, "a", 104), (end, "c", 119), (end, "c", 121), (start, "d", 125)) == [("a", 101, 103), ("b", 103, 104)]
+    day = 24 * 60
+    put((start, "e", 2 * day))
+    assert put((end, "d", 2 * day - 5), (end, "d", 2 * day - 4), (start, "x", 2 * day + 30)) == [
+        ("a", 101, 103), ("b", 103, 104), ("c", 120, 121)]
+
+
 def test_drifted_source_reaches_bronze_and_the_schema_rule(spark, tmp_dir):
     """One column missing, one of another type, one too many, and a newer file with yet another column."""
     layout = Layout(tmp_dir)
