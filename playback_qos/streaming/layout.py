@@ -46,6 +46,17 @@ class Layout:
     def gold_content(self) -> str:
         return self._p("gold", "content_qos")
 
+    @property
+    def gold_deltas(self) -> str:
+        return self._p("gold", "deltas")
+
+    @property
+    def gold_base(self) -> str:
+        return self._p("gold", "base")
+
+    def bloom(self, table: str) -> str:
+        return self._p("index", table)
+
     @property
     def telemetry(self) -> str:
         return self._p("telemetry")
