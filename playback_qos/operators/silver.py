@@ -26,12 +26,16 @@ def clamp_player(df: DataFrame) -> DataFrame:
     )
 
 
+def tier_values(df: DataFrame, tiers=TIERS) -> dict:
+    """``quality_<tier>`` -> value of the tier in the map (a missing key or column is null)."""
+    if "qualityDistribution" not in df.columns:
+        return {tier_column(t): F.lit(None).cast(DISTRIBUTION) for t in tiers}
+    return {tier_column(t): F.col("qualityDistribution").getItem(t) for t in tiers}
+
+
 def quality_tiers(df: DataFrame, tiers=TIERS) -> DataFrame:
     """One ``quality_<tier>`` column per tier (map lookup; a missing key is null)."""
-    if "qualityDistribution" not in df.columns:  # a missing column is null
-        return df.withColumns({tier_column(t): F.lit(None).cast(DISTRIBUTION) for t in tiers})
-    dist = F.col("qualityDistribution")
-    return df.withColumns({tier_column(t): dist.getItem(t) for t in tiers})
+    return df.withColumns(tier_values(df, tiers))
 
 
 # Flat SILVER column -> nested source path.

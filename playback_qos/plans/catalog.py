@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playback_qos.operators import bronze as B
 from playback_qos.operators import gold as G
@@ -21,6 +22,7 @@ from playback_qos.schema import INTERVALS, KEYS, SILVER_COLUMNS, TELEMETRY
 from playback_qos.session import scratch_dir
 from playback_qos.sources import fixtures as X
 from playback_qos.sources.tables import read_table
+from playback_qos.streaming import incremental as I  # noqa: E741
 from playback_qos.streaming import jobs as J
 from playback_qos.streaming.layout import Layout
 from playback_qos.streaming.sinks import ensure_dir
@@ -144,6 +146,13 @@ def q_dq_results_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.dq_results(drifted, with_timestamp=False)
 
 
+def q_dq_results_dotted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extra columns whose names hold dots, beside a struct that holds a map: Bronze keeps them, rule 0 lists them."""
+    raw = X.raw_fixture(spark, sf_dir).withColumns(
+        {"player.extra": F.lit(1), "odd.struct": F.struct(F.create_map(F.lit("k"), F.col("timestampInfo.server")).alias("m"))})
+    return Q.dq_results(B.dedupe_first(B.minimal_validation(raw), KEYS, L.FIRST_SEEN), with_timestamp=False)
+
+
 def q_valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(Q.valid_rows(X.raw_fixture(spark, sf_dir)))
 
@@ -170,6 +179,34 @@ def q_dq_results_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.dq_results(bronze, with_timestamp=False)
 
 
+def _chained(spark: SparkSession, sf_dir: str) -> Layout:
+    """The chain over new files, run twice on the whole table: up to the middle of its events, then the rest."""
+    raw = X.raw_fixture(spark, sf_dir)
+    clock = F.col("timestampInfo.server")
+    ends = raw.agg(F.min(clock).alias("low"), F.max(clock).alias("high")).first()
+    layout = Layout(scratch_dir(spark))
+    ensure_dir(spark, layout.silver)
+    middle = F.lit(None if ends.low is None else (ends.low + ends.high) // 2).cast("long")
+    for part in (raw.filter(clock <= middle), raw.filter(clock > middle)):
+        # files of a day are named in the order of the clock
+        part.repartitionByRange(clock).write.mode("append").partitionBy("eventDate").parquet(layout.source_raw)
+        I.run_incremental(spark, layout, tier_type=T.LongType(), chunk_days=None)
+    return layout
+
+
+def q_viewer_qos_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Viewer Gold read from the deltas of two runs."""
+    layout = _chained(spark, sf_dir)
+    return _round(I.read_gold(spark, layout, "customerId"), GOLD_DOUBLES)
+
+
+def q_content_qos_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content Gold read after its deltas have been folded."""
+    layout = _chained(spark, sf_dir)
+    I.fold_gold(spark, layout)
+    return _round(I.read_gold(spark, layout, "contentId"), GOLD_DOUBLES)
+
+
 # --- Telemetry ----------------------------------------------------------
 
 
@@ -258,11 +295,14 @@ QUERIES = {
     "bronze_layer": q_bronze_layer,
     "dq_results": q_dq_results,
     "dq_results_schema_drift": q_dq_results_schema_drift,
+    "dq_results_dotted_names": q_dq_results_dotted_names,
     "valid_rows": q_valid_rows,
     "dq_silent_drops": q_dq_silent_drops,
     "viewer_qos_end_to_end": q_viewer_qos_end_to_end,
     "content_qos_end_to_end": q_content_qos_end_to_end,
     "dq_results_end_to_end": q_dq_results_end_to_end,
+    "viewer_qos_incremental": q_viewer_qos_incremental,
+    "content_qos_incremental": q_content_qos_incremental,
     "telemetry_contract": q_telemetry_contract,
     "telemetry_tail": q_telemetry_tail,
     "telemetry_quarantine": q_telemetry_quarantine,

@@ -287,3 +287,7 @@ select reason, count(*) as n from c where reason is not null group by reason
 # the same lines, but out of logs that grow between the runs of a stream
 ORACLE_SQL["telemetry_tail"] = f"select * exclude (seq) from ({ORACLE_SQL['telemetry_contract']})"
 ORACLE_SQL["buffering_intervals_stream"] = ORACLE_SQL["buffering_intervals"]
+ORACLE_SQL["dq_results_dotted_names"] = ORACLE_SQL["dq_results_end_to_end"].replace(
+    "'[]' as unexpected_cols", "'[''player.extra'', ''odd.struct'']' as unexpected_cols")
+ORACLE_SQL["viewer_qos_incremental"] = ORACLE_SQL["viewer_qos_end_to_end"]
+ORACLE_SQL["content_qos_incremental"] = ORACLE_SQL["content_qos_end_to_end"]

@@ -12,6 +12,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,8 +101,8 @@ def _groups(spark: SparkSession, table: str, paths: list[str]) -> list[tuple[T.S
     """Files by a schema that Spark can unite: footers are read in parallel, and halves apart where two types collide."""
     try:
         return [(_read(spark, table, paths).schema, paths)]
-    except PySparkException as e:
-        if len(paths) == 1 or "CANNOT_MERGE" not in f"{e.getCondition()} {e}":
+    except (PySparkException, Py4JJavaError) as e:  # a failed footer task is raised as it is
+        if len(paths) == 1 or "CANNOT_MERGE" not in str(e):
             raise
     half = len(paths) // 2
     found: dict[str, tuple[T.StructType, list[str]]] = {}

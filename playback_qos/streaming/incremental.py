@@ -14,16 +14,18 @@ over these files:
   day, so no key stays in memory and no row is dropped for being late;
 * Gold keeps mergeable sums of each micro-batch, folded when read.
 
-Outputs are partitioned by day and, below it, by query, micro-batch and chunk.
-A chunk that is written again replaces its own directories; a chunk that is
-done is marked beside the checkpoint and skipped in a replay.
+Outputs are partitioned by day and, below it, by query, micro-batch and chunk. A
+chunk that is done is marked beside the checkpoint and skipped in a replay; one
+that was interrupted writes only the directories that are not there yet, so
+what a reader has taken is never written twice. This rests on renames of
+directories, as HDFS and mounted storage have them.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +42,7 @@ from playback_qos.plans.layers import FIRST_SEEN, FIRST_SEEN_FLAT
 from playback_qos.schema import DISTRIBUTION, KEYS, raw_schema, silver_schema
 from playback_qos.sources.evolving import SchemaHistory, conform, read_files, try_contract
 from playback_qos.streaming.layout import Layout
-from playback_qos.streaming.sinks import _fs, child_names, ensure_dir, query_of, trigger_kwargs
+from playback_qos.streaming.sinks import _fs, child_names, delete, ensure_dir, query_of, trigger_kwargs
 
 DAY = "eventDate"
 #: Directories below a day: the query, micro-batch and chunk that wrote them.
@@ -61,6 +63,7 @@ class Chunk:
     batch: int
     part: int
     paths: tuple
+    retry: bool = False  #: an earlier attempt may have written some of it
 
     @property
     def own(self) -> dict:
@@ -109,11 +112,6 @@ def _mark(spark: SparkSession, path: str, text: str = "") -> None:
     out.close()
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    p, fs = _fs(spark, path)
-    fs.delete(p, True)
-
-
 def stream_files(
     spark: SparkSession,
     table: str,
@@ -149,8 +147,10 @@ def stream_files(
             _mark(session, f"{checkpoint}/boundary", f"files={len(found)} bytes={sum(r.length for r in found)} newest={newest}")
         for part, paths in enumerate(chunks([(r.path, r.length) for r in found], chunk_bytes, chunk_days)):
             chunk = Chunk(query, batch_id, part, tuple(paths))
-            done = f"{checkpoint}/done/{chunk.name}"
+            begun, done = (f"{checkpoint}/{x}/{chunk.name}" for x in ("begun", "done"))
             if not _exists(session, done):
+                chunk = replace(chunk, retry=_exists(session, begun))
+                _mark(session, begun)
                 process(chunk)
                 _mark(session, done)
 
@@ -161,13 +161,22 @@ def stream_files(
 
 
 def write_days(df: DataFrame, path: str, chunk: Chunk, fmt: str = "parquet") -> None:
-    """Write a chunk's rows by day; written again, they replace what this chunk wrote before and nothing else.
+    """Write a chunk's rows by day, each day's as one directory that appears at once (by a rename).
 
-    Rows of a day meet first (a few files a day, not one a task and day), and
-    adaptive execution splits days that are too large for a task.
+    In a retry the days that an earlier attempt has written stay as they are,
+    since readers may have taken them already; they hold the same rows. Rows of
+    a day meet first (a few files a day, not one a task and day), and adaptive
+    execution splits days that are too large for a task.
     """
-    ensure_dir(df.sparkSession, path)
+    spark = df.sparkSession
+    ensure_dir(spark, path)
     own = {k: F.lit(v) for k, v in chunk.own.items()}
+    if chunk.retry:
+        below = "/".join(f"{k}={v}" for k, v in chunk.own.items())
+        there = [n.split("=", 1)[1] for n in child_names(spark, path) if n.startswith(f"{DAY}=") and _exists(spark, f"{path}/{n}/{below}")]
+        null = any(n.startswith("__HIVE") for n in there)
+        days = [n for n in there if not n.startswith("__HIVE")]
+        df = df.filter(F.when(F.col(DAY).isNull(), F.lit(not null)).otherwise(~F.col(DAY).cast("string").isin(days)))
     (df.hint("rebalance", DAY).withColumns(own).write.mode("overwrite").format(fmt)
      .option("partitionOverwriteMode", "dynamic").partitionBy(DAY, *OWN).save(path))
 
@@ -247,7 +256,7 @@ class KeyIndex:
         return may.join(held, _same(held, may, self.keys), "left_semi")
 
     def forget_staging(self, chunk: Chunk) -> None:
-        remove(self.spark, f"{self.bloom}__staging/{chunk.name}")
+        delete(self.spark, f"{self.bloom}__staging/{chunk.name}")
 
 
 def append_new(rows: DataFrame, index: KeyIndex, order: Sequence[str], chunk: Chunk) -> None:
@@ -255,9 +264,8 @@ def append_new(rows: DataFrame, index: KeyIndex, order: Sequence[str], chunk: Ch
 
     Of a chunk's rows with one key the first by ``order`` stays; tasks reduce
     their own rows before anything moves, so a hot key costs a row a task. The
-    reduced rows are written once to a staging folder and read from there.
-    Written again, the chunk gives the same rows: what it wrote itself does not
-    count as known.
+    reduced rows are written once to a staging folder and read from there. A
+    retry gives the same rows: what the chunk wrote itself does not count as known.
     """
     spark = index.spark
     staging = f"{index.table.rstrip('/')}__staging/{chunk.name}"
@@ -270,7 +278,7 @@ def append_new(rows: DataFrame, index: KeyIndex, order: Sequence[str], chunk: Ch
     keys = T.StructType([f for f in rows.schema.fields if f.name in index.keys])
     index.add(read_days(spark, index.table, keys, days).filter(_own(chunk)), chunk)
     index.forget_staging(chunk)
-    remove(spark, staging)
+    delete(spark, staging)
 
 
 # --- stages -----------------------------------------------------------------
@@ -447,9 +455,9 @@ def fold_gold(spark: SparkSession, layout: Layout, keep: int = 2) -> str:
     if len(kept) > keep:
         for r in spark.read.parquet(f"{layout.gold_base}/{kept[-keep]}/chunks").toLocalIterator():
             day = "__HIVE_DEFAULT_PARTITION__" if r[DAY] is None else r[DAY].isoformat()
-            remove(spark, "/".join([layout.gold_deltas, f"{DAY}={day}", *[f"{c}={r[c]}" for c in OWN]]))
+            delete(spark, "/".join([layout.gold_deltas, f"{DAY}={day}", *[f"{c}={r[c]}" for c in OWN]]))
         for name in kept[:-keep]:
-            remove(spark, f"{layout.gold_base}/{name}")
+            delete(spark, f"{layout.gold_base}/{name}")
     return at
 
 

@@ -3,7 +3,7 @@ complete-mode table replacement."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Container
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,14 +61,18 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def remove_days(spark: SparkSession, path: str, date_col: str, since: str) -> None:
-    """Delete the ``date_col=YYYY-MM-DD`` directories of ``path`` from day ``since`` on."""
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    if not fs.delete(p, True) and fs.exists(p):
+        raise OSError(f"cannot remove {p}")
+
+
+def remove_days(spark: SparkSession, path: str, date_col: str, since: str, keep: Container[str] = ()) -> None:
+    """Delete the ``date_col=YYYY-MM-DD`` directories of ``path`` from day ``since`` on, but those named in ``keep``."""
     for name in child_names(spark, path):
         col, _, day = name.partition("=")
-        if col == date_col and day[:1].isdigit() and day >= since:
-            p, fs = _fs(spark, f"{path.rstrip('/')}/{name}")
-            if not fs.delete(p, True) and fs.exists(p):
-                raise OSError(f"cannot remove {p}")
+        if col == date_col and day[:1].isdigit() and day >= since and name not in keep:
+            delete(spark, f"{path.rstrip('/')}/{name}")
 
 
 def query_of(spark: SparkSession) -> str | None:
