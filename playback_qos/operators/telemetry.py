@@ -27,20 +27,31 @@ CORRUPT = "_corrupt_record"
 
 # Parse schema: ``timestamp`` is read as text and cast after parsing so that a
 # present-but-unusable value is told apart from an absent one. Payloads are
-# text in TELEMETRY, which keeps whatever keys and values they have.
+# variants in TELEMETRY, which keep whatever keys, values and types they have.
 _PARSE = T.StructType(
     [T.StructField(f.name, T.StringType() if f.name == "timestamp" else f.dataType) for f in TELEMETRY.fields]
     + [T.StructField(CORRUPT, T.StringType())]
 )
 
 
+def _is_object(variant: Column) -> Column:
+    return F.schema_of_variant(variant).startswith("OBJECT")
+
+
+def _payload(name: str) -> Column:
+    """A payload as it is kept: JSON null is null, and a string that holds JSON is that JSON."""
+    raw = F.col(name)
+    text = F.schema_of_variant(raw) == "STRING"
+    return F.when(F.is_variant_null(raw), None).when(text, F.try_parse_json(F.try_variant_get(raw, "$", "string"))).otherwise(raw)
+
+
 def parse_telemetry(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON lines -> typed TELEMETRY columns plus ``reason`` (null = accepted).
 
-    One JSON parse per line. Unknown top-level keys are dropped; absent
-    optional fields become null. A payload may be any JSON object and is kept
-    whole, as JSON text (a quoted string that itself holds an object counts as
-    that object). ``reason`` is the first failed check of: ``malformed`` (not a
+    One JSON parse per line, payloads included. Unknown top-level keys are
+    dropped; absent optional fields become null. A payload may be any JSON
+    object and is kept whole, as a variant (a quoted string that itself holds an
+    object counts as that object). ``reason`` is the first failed check of: ``malformed`` (not a
     JSON object), ``missing:<field>`` (required field absent or null),
     ``bad_type:timestamp`` (not an integer), ``bad_type:payload`` (a field of
     the wrong JSON type, a payload that is no object).
@@ -67,11 +78,12 @@ def parse_telemetry(lines: DataFrame, value_col: str = "value") -> DataFrame:
         F.col(CORRUPT).isNotNull(), F.lit("bad_type:payload")
     )
     for f in TELEMETRY_PAYLOADS:
-        reason = reason.when(~F.col(f).startswith("{"), F.lit("bad_type:payload"))
+        given = F.col(f).isNotNull() & ~F.is_variant_null(F.col(f))
+        reason = reason.when(given & ~F.coalesce(_is_object(_payload(f)), F.lit(False)), F.lit("bad_type:payload"))
     return df.select(
         *keep,
         F.col(value_col),
-        *[F.col(f) for f in fields if f != "timestamp"],
+        *[(_payload(f) if f in TELEMETRY_PAYLOADS else F.col(f)).alias(f) for f in fields if f != "timestamp"],
         ts.alias("timestamp"),
         reason.alias("reason"),
     ).select(*keep, value_col, *fields, "reason")
@@ -86,21 +98,18 @@ def split_contract(lines: DataFrame, value_col: str = "value"):
     return accepted, quarantined
 
 
-def _typed_payload(df: DataFrame, payload: str, fields: T.StructType) -> DataFrame:
-    """``payload`` replaced by its fields: taken from a struct, or from JSON text by casts of their own."""
-    base = [c for c in df.columns if c != payload]
-    if isinstance(df.schema[payload].dataType, T.StructType):
-        return df.select(*base, *[F.col(f"{payload}.{f.name}") for f in fields])
-    text = T.StructType([T.StructField(f"_{f.name}", T.StringType()) for f in fields])
-    names = F.from_json(payload, T.StructType([T.StructField(f.name, T.StringType()) for f in fields]))
-    # a Generate node, as in ``parse_telemetry``: one parse a payload, not one a field
-    parsed = df.select(*base, F.inline(F.array(names.cast(text))))
+def _typed_payload(payload: str, kind: T.DataType, fields: T.StructType) -> list[Column]:
+    """The fields of ``payload``, taken from a struct, or by casts of their own from a variant or JSON text."""
+    if isinstance(kind, T.StructType):
+        return [F.col(f"{payload}.{f.name}") for f in fields]
+    variant = F.col(payload) if isinstance(kind, T.VariantType) else F.try_parse_json(payload)
 
     def typed(f: T.StructField) -> Column:
-        value = F.col(f"_{f.name}")
-        return F.coalesce(value.try_cast(f.dataType), value.try_cast("double").try_cast(f.dataType)).alias(f.name)
+        name, path = f.dataType.simpleString(), f"$.{f.name}"
+        whole = F.try_variant_get(variant, path, name)
+        return F.coalesce(whole, F.try_variant_get(variant, path, "double").try_cast(f.dataType)).alias(f.name)
 
-    return parsed.select(*base, *[typed(f) for f in fields])
+    return [typed(f) for f in fields]
 
 
 def flatten_payloads(df: DataFrame) -> DataFrame:
@@ -111,7 +120,8 @@ def flatten_payloads(df: DataFrame) -> DataFrame:
     stay in the accepted rows and are not among the flat columns.
     """
     for payload, fields in TELEMETRY_PAYLOADS.items():
-        df = _typed_payload(df, payload, fields)
+        base = [c for c in df.columns if c != payload]
+        df = df.select(*base, *_typed_payload(payload, df.schema[payload].dataType, fields))
     return df
 
 

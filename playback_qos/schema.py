@@ -143,15 +143,15 @@ TELEMETRY_BUFFERING = T.StructType(
     ]
 )
 
-# Payloads are free-form objects, kept whole as JSON text; these are the fields read from them.
+# Payloads are free-form objects, kept whole as variants; these are the fields read from them.
 TELEMETRY_PAYLOADS = {"quality": TELEMETRY_QUALITY, "buffering": TELEMETRY_BUFFERING}
 
 TELEMETRY = T.StructType(
     [
         T.StructField("event_type", T.StringType()),
         T.StructField("playback_position", T.DoubleType()),
-        T.StructField("quality", T.StringType()),
-        T.StructField("buffering", T.StringType()),
+        T.StructField("quality", T.VariantType()),
+        T.StructField("buffering", T.VariantType()),
         T.StructField("sessionId", T.StringType()),
         T.StructField("viewerId", T.StringType()),
         T.StructField("eventId", T.StringType()),

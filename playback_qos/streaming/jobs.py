@@ -55,6 +55,14 @@ def _has_map(dt: T.DataType) -> bool:
     return False
 
 
+def _day_watermark(df: DataFrame, late_days: int) -> DataFrame:
+    """Event-time column of the day, rows ``late_days`` behind the newest day being on time.
+
+    (Spark drops what is as old as the watermark itself, so that is a second older.)
+    """
+    return df.withColumn(_DAY, F.to_timestamp(F.col("eventDate"))).withWatermark(_DAY, f"{int(late_days)} days 1 second")
+
+
 def dedupe_stream(df: DataFrame, keys: Sequence[str] = KEYS, late_days: int | None = None,
                   salt_buckets: int | None = None) -> DataFrame:
     """Streaming dedupe on ``keys`` (first arriving row per key survives).
@@ -71,8 +79,7 @@ def dedupe_stream(df: DataFrame, keys: Sequence[str] = KEYS, late_days: int | No
     """
     keys = list(keys)
     if late_days is not None:
-        df = df.withColumn(_DAY, F.to_timestamp(F.col("eventDate"))).withWatermark(
-            _DAY, f"{int(late_days)} days")
+        df = _day_watermark(df, late_days)
         keys = [*keys, _DAY]
     if salt_buckets:
         hashable = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
@@ -100,12 +107,10 @@ def dedupe_first_stream(
     """
     keys = list(keys)
     columns = df.columns
-    day = F.to_timestamp(F.col("eventDate"))
     best, payload = B.first_row(df.schema, [c for c in columns if c not in keys], order)
     out = {c: F.col(c) for c in keys} | payload
     return (
-        df.withColumn(_DAY, day)
-        .withWatermark(_DAY, f"{int(late_days)} days")
+        _day_watermark(df, late_days)
         .groupBy(*keys, _DAY)
         .agg(best.alias("_best"))
         .select(*[out[c] for c in columns])
@@ -124,7 +129,7 @@ def stream_bronze(spark: SparkSession, layout: Layout, fmt: str = "parquet",
     """
     raw = TB.read_stream(spark, layout.source_raw, raw_schema(tier_type), fmt,
                          max_files_per_trigger)
-    out = dedupe_stream(B.minimal_validation(raw), KEYS, late_days, salt_buckets)
+    out = dedupe_stream(K.counted(B.minimal_validation(raw), K.ROWS_IN), KEYS, late_days, salt_buckets)
     return K.append_stream(out, layout.bronze, layout.checkpoint("source_to_bronze"), fmt,
                            "eventDate", trigger, name="source_to_bronze")
 
@@ -161,12 +166,15 @@ def stream_silver(spark: SparkSession, layout: Layout, fmt: str = "parquet",
     """
     valid = TB.read_batch_table_stream(spark, layout.validated, raw_schema(tier_type), fmt,
                                        max_files_per_trigger)
-    flat = S.silver_rows(valid)
+    flat = K.counted(S.silver_rows(valid), K.ROWS_IN)
     if dedupe_mode == "first_seen":
         out = dedupe_stream(flat, KEYS, late_days, salt_buckets)
     elif dedupe_mode == "first_by_order":
         if late_days is None:
             raise ValueError("first_by_order needs late_days (the watermark delay)")
+        if trigger == "available_now":
+            raise ValueError("first_by_order holds days back until the watermark has passed them, so a run that drains its "
+                             "input and stops leaves them out; streaming.incremental keeps the first row of each chunk")
         out = dedupe_first_stream(flat, KEYS, late_days=late_days)
     else:
         raise ValueError(f"unknown dedupe_mode {dedupe_mode!r}")
@@ -202,8 +210,7 @@ def stream_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet",
     qos = G.add_qos_fields(silver, quality_order)
     extra: tuple = ()
     if late_days is not None:
-        qos = qos.withColumn(_DAY, F.to_timestamp(F.col("eventDate"))).withWatermark(
-            _DAY, f"{int(late_days)} days")
+        qos = _day_watermark(qos, late_days)
         extra = (_DAY,)
     targets = (("customerId", layout.gold_viewer, "gold_viewer"),
                ("contentId", layout.gold_content, "gold_content"))

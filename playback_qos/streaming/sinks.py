@@ -22,6 +22,15 @@ def trigger_kwargs(trigger: str | None) -> dict:
     return {"processingTime": trigger}
 
 
+#: Names of the row counts that queries observe for ``streaming.audit``.
+ROWS_IN, ROWS_OUT = "rows_in", "rows_out"
+
+
+def counted(df: DataFrame, name: str) -> DataFrame:
+    """``df``, its rows counted in the query's progress under ``name``."""
+    return df.observe(name, F.count(F.lit(1)).alias("n"))
+
+
 def append_stream(
     df: DataFrame,
     path: str,
@@ -32,7 +41,7 @@ def append_stream(
     name: str | None = None,
 ) -> StreamingQuery:
     """Append sink; the file sink's commit log makes replays exactly-once."""
-    w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    w = counted(df, ROWS_OUT).writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(partition_by)
     if name:

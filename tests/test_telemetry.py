@@ -138,7 +138,20 @@ def test_payloads_are_kept_whole_and_typed_late(spark):
     got = {r["n"]: r for r in parse_telemetry(df).collect()}
     assert {n: r["reason"] for n, r in got.items()} == {
         0: None, 1: None, 2: None, 3: "bad_type:payload", 4: "missing:event_type", 5: None}
-    assert json.loads(got[0]["quality"])["codec"] == {"name": "avc1"}
+    assert got[0]["quality"].toPython()["codec"] == {"name": "avc1"}
     flat = {r["n"]: r for r in flatten_payloads(split_contract(df)[0]).collect()}
     assert (flat[0]["bitrate"], flat[0]["height"], flat[1]["height"]) == (320000, None, 240)
     assert flat[2]["bitrate"] is None and flat[5]["bitrate"] == 9007199254740993
+
+
+def test_payload_values_keep_their_types(spark, tmp_dir):
+    """Nested and mixed values survive the table; null, quoted objects and other JSON as the contract says."""
+    lines = [line(quality={"a": [1, {"b": None}], "c": 2**60, "d": "x", "e": 0.25, "f": True}), line(quality=None), line(quality=...),
+             line(quality='{"height": 5}'), line(quality=[1]), line(quality="{broken"), line(quality=False)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "n int, value string")
+    parse_telemetry(df).write.parquet(f"{tmp_dir}/t")
+    got = {r["n"]: r for r in spark.read.parquet(f"{tmp_dir}/t").collect()}
+    value = got[0]["quality"].toPython()
+    assert value == {"a": [1, {"b": None}], "c": 2**60, "d": "x", "e": pytest.approx(0.25), "f": True} and value["f"] is True
+    assert got[1]["quality"] is None and got[2]["quality"] is None and got[3]["quality"].toPython() == {"height": 5}
+    assert {n: r["reason"] for n, r in got.items()} == {0: None, 1: None, 2: None, 3: None, 4: "bad_type:payload", 5: "bad_type:payload", 6: "bad_type:payload"}
