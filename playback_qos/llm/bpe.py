@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Encoded words that a worker keeps, in two generations of so many.
-CACHE = 80_000
+#: Bytes of encoded words that a worker keeps, in two generations of so many.
+CACHE_BYTES = 48 << 20
+#: Bytes that an entry takes besides its characters and ids: both objects and their place in the table.
+ENTRY_BYTES = 200
+#: Pairs of pieces whose compatibility a worker keeps.
+MAX_FITS = 400_000
 #: Rows that are in hand at once.
 SLICE = 512
 
@@ -58,7 +62,7 @@ class Encoder:
             self.shorter[p] = next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.token), None)
         self.matcher = ahocorasick.Automaton()
         for p in self.token:
-            self.matcher.add_word(p, p)
+            self.matcher.add_word(p, (len(p) - 1, p))
         self.matcher.make_automaton()
         known = "".join(re.escape(p) for p in sorted(self.ids) if len(p) == 1 and p != SPACE)
         # a word with the spaces before it; characters without a piece stand alone
@@ -67,6 +71,7 @@ class Encoder:
         self.fits: dict[tuple[str, str], bool] = {}
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
+        self.held = 0  # bytes of ``young``
 
     def merge(self, text: str) -> list[str]:
         """Join neighbours, the highest score first, then the leftmost, till none has a piece."""
@@ -97,11 +102,10 @@ class Encoder:
         return [p for p in part if p is not None]
 
     def compatible(self, a: str, b: str) -> bool:
-        known = self.fits.get((a, b))
-        if known is None:
-            if len(self.fits) >= 200_000:
-                self.fits.clear()
-            known = self.fits[a, b] = self.merge(a + b) == [a, b]
+        """Whether merging the joined characters of two pieces gives them back; noted in ``fits``."""
+        if len(self.fits) >= MAX_FITS:
+            self.fits.clear()
+        known = self.fits[a, b] = self.merge(a + b) == [a, b]
         return known
 
     def backtrack(self, word: str) -> list[str]:
@@ -109,26 +113,33 @@ class Encoder:
         n = len(word)
         if word in self.token:
             return [word]
-        best: list[str | None] = [None] * n  # the longest piece at each position
-        for end, p in self.matcher.iter(word):
-            k = end - len(p) + 1
-            if best[k] is None or len(p) > len(best[k]):
-                best[k] = p
+        best: list[str | None] = [None] * n  # the longest piece at each position: matches come by their ends
+        for end, (back, p) in self.matcher.iter(word):
+            best[end - back] = p
         failed = bytearray(n + 1)
+        shorter, fits = self.shorter, self.fits
         out: list[str] = []
-        at, piece = 0, best[0]
+        at, last, piece = 0, None, best[0]
         while at < n:
-            last = out[-1] if out else None
-            while piece is not None and (failed[at + len(piece)] or last is not None and not self.compatible(last, piece)):
-                piece = self.shorter[piece]
+            while piece is not None:
+                to = at + len(piece)
+                if not failed[to]:
+                    if last is None:
+                        break
+                    good = fits.get((last, piece))
+                    if self.compatible(last, piece) if good is None else good:
+                        break
+                piece = shorter[piece]
             if piece is not None:
                 out.append(piece)
-                at += len(piece)
+                at, last = to, piece
                 piece = best[at] if at < n else None
             else:
                 failed[at] = 1
                 piece = out.pop()
                 at -= len(piece)
+                last = out[-1] if out else None
+                piece = shorter[piece]
         return out
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -143,7 +154,7 @@ class Encoder:
         if spaces > 1:  # runs of spaces merge last, with the word's own space if that stayed alone
             free = 1 if pieces[0] == SPACE else 0
             pieces = self.merge(SPACE * (spaces - 1 + free)) + pieces[free:]
-        return tuple(self.ids[p] for p in pieces)
+        return tuple(map(self.ids.__getitem__, pieces))
 
     def encode(self, text: str) -> list[int]:
         if not text:
@@ -158,8 +169,9 @@ class Encoder:
                     ids = self.word(w)
                 if len(w) <= 64:
                     young[w] = ids
-                    if len(young) >= CACHE:
-                        self.old, self.young = young, {}
+                    self.held += ENTRY_BYTES + 2 * len(w) + 8 * len(ids)
+                    if self.held >= CACHE_BYTES:
+                        self.old, self.young, self.held = young, {}, 0
                         young, old = self.young, self.old
             out += ids
         return out
