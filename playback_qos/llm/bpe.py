@@ -23,6 +23,10 @@ MAX_FITS = 400_000
 SLICE = 512
 
 
+def _escaped(characters: str) -> str:
+    return "".join(map(re.escape, characters))
+
+
 class Encoder:
     """Encodes like the library with the same model: no sampling, no begin or end ids.
 
@@ -64,15 +68,44 @@ class Encoder:
         for p in self.token:
             self.matcher.add_word(p, (len(p) - 1, p))
         self.matcher.make_automaton()
-        known = "".join(re.escape(p) for p in sorted(self.ids) if len(p) == 1 and p != SPACE)
-        # a word with the spaces before it; characters without a piece stand alone
-        self.words = re.compile(f"{SPACE}+[{known}]*|[{known}]+|.", re.S)
+        # a run of characters that pieces join, with the spaces before it; a character of no piece stands alone
+        runs = "|".join([*(f"[{x}]+" for x in map(_escaped, self._joined()) if x), f"[{_escaped(self._lone())}]"])
+        self.words = re.compile(f"{SPACE}+(?:{runs})?|{runs}|.", re.S)
         self.single = {p for p in self.ids if len(p) == 1}
         self.fits: dict[tuple[str, str], bool] = {}
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
         self.held = 0  # bytes of ``young``
 
+    def _classes(self) -> list[str]:
+        """Characters of the pieces, those together that stand side by side in some piece, directly or over others.
+
+        No piece crosses from one class to another (the space apart), so no
+        merge does, and text may be cut there: the runs are encoded on their own.
+        """
+        parent = {c: c for p in self.ids for c in p if c in self.ids and c != SPACE}
+
+        def find(c: str) -> str:
+            while parent[c] != c:
+                c = parent[c]
+            return c
+
+        for p in self.ids:
+            for a, b in zip(p, p[1:]):
+                if a in parent and b in parent:
+                    parent[find(a)] = find(b)
+        out: dict[str, str] = {}
+        for c in sorted(parent):
+            out[find(c)] = out.get(find(c), "") + c
+        return list(out.values())
+
+    def _joined(self) -> list[str]:
+        return sorted((x for x in self._classes() if len(x) > 1), key=len, reverse=True)
+
+    def _lone(self) -> str:
+        """Characters that no piece joins with others (a private one if there is none, as the pattern needs some)."""
+        return "".join(x for x in self._classes() if len(x) == 1) or "\uf8ff"
+
     def merge(self, text: str) -> list[str]:
         """Join neighbours, the highest score first, then the leftmost, till none has a piece."""
         part: list[str | None] = list(text)
