@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,20 +34,46 @@ GENERALISE = 0.75
 REMOVE = 0.9
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it (inside other lambdas too)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(steps: Column, zero: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each entry of an array, ``add`` over it and all before it, from ``zero``.
+
+    In blocks of the square root of the array's length, so 20,000 entries take
+    some three million steps; ``add`` is associative and ``zero`` its neutral.
+    """
+    all_of = lambda x: F.aggregate(x, zero, add)
+
+    def over(s: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(s))).cast("int"))
+        starts = F.filter(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / width).cast("int")), lambda _: F.size(s) > 0)
+        return _let(F.transform(starts, lambda b: F.slice(s, b * width + 1, width)), blocks)
+
+    def blocks(parts: Column) -> Column:
+        return _let(F.transform(parts, all_of), lambda sums: F.flatten(F.transform(parts, lambda part, j: block(part, F.slice(sums, F.lit(1), j)))))
+
+    def block(part: Column, before: Column) -> Column:
+        return _let(all_of(before), lambda o: F.transform(part, lambda _, i: add(o, all_of(F.slice(part, F.lit(1), i + 1)))))
+
+    return _let(steps, over)
+
+
+def _sums(steps: Column) -> Column:
+    return _running(steps.cast("array<bigint>"), F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
 def _located(text: Column, pattern: str) -> Column:
-    """array<struct<value, start, end>> of the leftmost, non-overlapping matches, in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    steps = F.zip_with(
-        F.slice(between, 1, F.size(found)), found, lambda a, b: (F.length(a) + F.length(b)).cast("long")
-    )
-    return F.transform(
-        F.arrays_zip(found.alias("v"), steps.alias("s")),
-        lambda x, i: F.struct(
-            x["v"].alias("value"),
-            F.aggregate(F.slice(steps, 1, i + 1), F.lit(0).cast("long"), lambda a, b: a + b).alias("end"),
-        ),
-    )
+    """array<struct<value, end>> of the leftmost, non-overlapping matches, in code points; each pattern runs twice a text."""
+
+    def ends(found: Column) -> Column:
+        between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        steps = F.zip_with(between, found, lambda a, b: (F.length(a) + F.length(b)).cast("long"))
+        return F.zip_with(found, _sums(steps), lambda v, end: F.struct(v.alias("value"), end.alias("end")))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), ends)
 
 
 def _digits(value: Column) -> Column:
@@ -110,19 +138,28 @@ def _entity(s: Column) -> Column:
 
 
 def _masked(text: Column, spans: Column) -> Column:
-    """The text, of the same length, with _MASK all over its base spans."""
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    """The text, of the same length, with _MASK all over its base spans.
+
+    Pieces between the spans' ends (each span's own and the greatest before it)
+    are joined. Characters are taken from an array, so a piece costs what it holds.
+    """
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
 
-    def put(a: Column, s: Column) -> Column:
-        start, end = F.greatest(a["at"], s["start"]), F.greatest(a["at"], s["end"])
-        gap = F.substr(text, (a["at"] + 1).cast("int"), (start - a["at"]).cast("int"))
-        return F.struct(
-            F.concat(a["out"], gap, F.repeat(F.lit(_MASK), (end - start).cast("int"))).alias("out"), end.alias("at")
-        )
+    def pieces(s: Column, reach: Column, letters: Column) -> Column:
+        def piece(x: Column, i: Column) -> Column:
+            at = F.when(i > 0, F.element_at(reach, F.greatest(i, F.lit(1)))).otherwise(F.lit(0).cast("long"))
+            gap = F.slice(letters, (at + 1).cast("int"), F.greatest(x["start"] - at, F.lit(0).cast("long")).cast("int"))
+            fill = F.repeat(F.lit(_MASK), F.greatest(x["end"] - F.greatest(x["start"], at), F.lit(0).cast("long")).cast("int"))
+            return F.concat(F.array_join(gap, ""), fill)
 
-    rest = lambda a: F.concat(a["out"], F.substr(text, (a["at"] + 1).cast("int")))
-    return F.when(F.size(spans) > 0, F.aggregate(order, zero, put, rest)).otherwise(text)
+        last = F.element_at(reach, -1)
+        rest = F.array_join(F.slice(letters, (last + 1).cast("int"), F.size(letters)), "")
+        return F.concat(F.array_join(F.transform(s, piece), ""), rest)
+
+    ends = lambda s: _running(F.transform(s, lambda x: x["end"]), F.lit(0).cast("long"), lambda a, b: F.greatest(a, b))
+    letters = F.split(text, "")
+    masked = _let(order, lambda s: _let(ends(s), lambda reach: _let(letters, lambda x: pieces(s, reach, x))))
+    return F.when(F.size(spans) > 0, masked).otherwise(text)
 
 
 def _terms(body: Column) -> Column:
@@ -134,31 +171,20 @@ def _term_hashes(body: Column) -> Column:
 
 
 def _places(body: Column, removed: Column, generalised: Column) -> Column:
-    """array<struct<start, end, action>> of all terms whose hashes are listed, in one walk over the pieces."""
-    words = F.regexp_extract_all(body, F.lit(TERM), F.lit(0))
-    pieces = F.zip_with(
-        F.slice(F.split(body, TERM, -1), 1, F.size(words)),
-        words,
-        lambda a, w: F.struct(
-            (F.length(a) + F.length(w)).cast("long").alias("step"),
-            F.length(w).cast("long").alias("n"),
-            F.xxhash64(F.lower(w)).alias("h"),
-        ),
-    )
-    zero = F.struct(
-        F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start: long, end: long, action: string>>").alias("out")
-    )
+    """array<struct<start, end, action>> of all terms whose hashes are listed."""
 
-    def step(a: Column, x: Column) -> Column:
-        end = a["at"] + x["step"]
-        place = lambda action: F.concat(
-            a["out"], F.array(F.struct((end - x["n"]).alias("start"), end.alias("end"), F.lit(action).alias("action")))
-        )
-        out = F.when(F.array_contains(removed, x["h"]), place("remove"))
-        out = out.when(F.array_contains(generalised, x["h"]), place("generalise")).otherwise(a["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+    def listed(words: Column) -> Column:
+        between = F.slice(F.split(body, TERM, -1), F.lit(1), F.size(words))
+        steps = F.zip_with(between, words, lambda a, w: (F.length(a) + F.length(w)).cast("long"))
+
+        def place(w: Column, end: Column) -> Column:
+            h = F.xxhash64(F.lower(w))
+            action = F.when(F.array_contains(removed, h), "remove").when(F.array_contains(generalised, h), "generalise")
+            return F.struct((end - F.length(w)).alias("start"), end.alias("end"), action.alias("action"))
 
-    return F.aggregate(pieces, zero, step, lambda a: a["out"])
+        return F.filter(F.zip_with(words, _sums(steps), place), lambda x: x["action"].isNotNull())
+
+    return _let(F.regexp_extract_all(body, F.lit(TERM), F.lit(0)), listed)
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -190,8 +216,12 @@ def disclosing_terms(
     log2(N / n(e)): 1 if the term only ever shares a document with the entity.
     From ``generalise`` on the term is generalised, from ``remove`` on removed.
     All counts are of documents and over all rows; each row counts a term,
-    entity or pair once before anything moves. Entities below ``min_support``
-    go before they are paired.
+    entity or pair once before anything moves. A pair is made only if it can
+    reach the threshold: term and entity in ``min_support`` documents or more,
+    and n(t) at most N**(1 - generalise) * n(e)**generalise, since n(t, e) is at
+    most n(e). That leaves out the common words of a long page, and loses none
+    that discloses. A pair met in fewer documents is not judged: every rare word
+    of a single page, or of its copy, would disclose all that the page holds.
     """
     n_docs = found.count()
     some = found.filter(F.size("entities") > 0)
@@ -201,30 +231,36 @@ def disclosing_terms(
         .agg(F.count("*").alias("n_entity"))
         .filter(F.col("n_entity") >= min_support)
     )
-    judged_rows = (
-        some.select("row", F.explode("entities").alias("entity"))
-        .join(entities, "entity")
-        .groupBy("row")
-        .agg(F.collect_list("entity").alias("judged"))
+    judged_rows = written(some.select("row", F.explode("entities").alias("entity")).join(entities, "entity"))
+    most = entities.agg(F.max("n_entity")).first()[0] or 0
+
+    def limit(n_entity):
+        """n(t) of a term that meets the entity in all of its documents and just reaches the threshold."""
+        return F.lit(1 + 1e-9) * F.pow(F.lit(float(n_docs)), 1 - generalise) * F.pow(n_entity, generalise)
+
+    words = written(
+        found.select(F.explode(_term_hashes(F.col("body"))).alias("term_hash"))
+        .groupBy("term_hash")
+        .agg(F.count("*").alias("n_term"))
+        .filter((F.col("n_term") >= min_support) & (F.col("n_term") <= limit(F.lit(float(most)))))
     )
-    pairs = (
-        some.select("row", _terms(F.col("body")).alias("terms"))
-        .join(written(judged_rows), "row")
-        .select("judged", F.explode("terms").alias("term"))
-        .select("term", F.explode("judged").alias("entity"))
+    terms = (
+        some.join(judged_rows.select(F.col("row").alias("_row")), F.col("row") == F.col("_row"), "left_semi")
+        .select("row", F.explode(_terms(F.col("body"))).alias("term"))
+        .withColumn("term_hash", F.xxhash64("term"))
+        .join(words, "term_hash")
+    )
+    judged = (
+        terms.join(judged_rows, "row")
+        .filter(F.col("n_term") <= limit(F.col("n_entity")))
         .groupBy("term", "entity")
-        .agg(F.count("*").alias("n_pair"))
+        .agg(F.count("*").alias("n_pair"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"))
         .filter(F.col("n_pair") >= min_support)
     )
-    words = (
-        found.select(F.explode(_term_hashes(F.col("body"))).alias("term_hash")).groupBy("term_hash").agg(F.count("*").alias("n_term"))
-    )
-    judged = written(pairs.join(entities, "entity")).withColumn("term_hash", F.xxhash64("term"))
     information = F.log2(F.lit(float(n_docs)) / F.col("n_entity"))
     mutual = F.log2(F.lit(float(n_docs)) * F.col("n_pair") / (F.col("n_term") * F.col("n_entity")))
     return (
-        judged.join(words, "term_hash")
-        .withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
+        judged.withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
         .filter(F.col("disclosure") >= generalise)
         .select(
             "term",

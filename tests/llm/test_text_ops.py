@@ -181,6 +181,50 @@ def test_pii_terms_anywhere_in_the_text(spark):
     assert not any(found[i] for i, _ in texts[5:])
 
 
+def test_pii_mutual_information(spark):
+    """Against plain counting over all pairs: random documents with shared, rare and repeated terms and entities."""
+    import math
+    import random
+
+    r = random.Random(12)
+    names = [f"Na{a}{b}e" for a in "bcdfg" for b in "klmnp"]
+    rows = []
+    for i in range(150):
+        who = r.randrange(6)
+        entity = [f"p{who}@x.org"] * (r.random() < 0.7) + [f"q{r.randrange(40)}@y.org"] * (r.random() < 0.3)
+        terms = r.sample(names[4 * who : 4 * who + 4], 2) + r.sample(names, 2) + ["common", "words"]
+        rows.append((i, " ".join(r.sample(terms + entity + entity[:1], len(terms) + len(entity) + len(entity[:1])))))
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    docs_ = [({w.lower() for w in t.split() if "@" not in w}, {"email:" + w for w in t.split() if "@" in w}) for _, t in rows]
+    for generalise, support in ((0.75, 3), (0.3, 2), (0.05, 1)):
+        n_t, n_e = Counter(w for ws, _ in docs_ for w in ws), Counter(e for _, es in docs_ for e in es)
+        want = {}
+        for t in n_t:
+            for e in n_e:
+                n = sum(t in ws and e in es for ws, es in docs_)
+                if n >= support:
+                    d = math.log2(len(rows) * n / (n_t[t] * n_e[e])) / math.log2(len(rows) / n_e[e])
+                    if d >= generalise:
+                        want[t, e] = (pytest.approx(d), "remove" if d >= 0.9 else "generalise")
+        got = pii.disclosing_terms(found, generalise=generalise, min_support=support).collect()
+        assert {(x.term, x.entity): (x.disclosure, x.action) for x in got} == want and len(got) == len(want) > 0
+
+
+def test_pii_of_a_text_with_very_many_matches(spark):
+    """Positions, masks and terms of 20,000 spans in one text, in time that grows with it."""
+    import time
+
+    parts = [f"Käthe a{i}@b.co ü 1.2.3.{i % 300} +1 234 567 {i:04d}" for i in range(7100)]
+    text = " ".join(parts)
+    df = spark.createDataFrame([(1, text), (2, " ".join(parts[:3])), (3, " ".join(parts[5:8]))], "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.sanitise(df, min_support=2).collect()}
+    assert time.monotonic() - began < 120
+    base = [x for x in got[1] if x[0] != "term"]
+    assert base == list(plain_pii(text)) and len(base) > 20_000
+    assert [text[a:b] for k, a, b in got[1] if k == "term"] in ([], ["Käthe"] * 7100)
+
+
 def plain_quality(t):
     w = words(t)
     trigrams = Counter(zip(w, w[1:], w[2:]))
