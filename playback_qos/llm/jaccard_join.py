@@ -17,11 +17,14 @@ SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
 #: Sampled tokens of a set: the least of its shingles under so many hash functions.
 TOKENS = 64
-#: Runs, and tokens that are chosen at each node of a run's tree. With two, a pair of
-#: similarity 0.8 survives a run of any depth with probability 0.9375, so four runs miss
-#: less than 2 in 100,000 of the pairs that lie exactly at the threshold.
+#: Runs to begin with, and tokens that are chosen at each node of a run's tree. With two, a
+#: pair of similarity 0.8 survives a run of any depth with probability 0.9375, so four runs
+#: miss less than 2 in 100,000 of the pairs that lie exactly at the threshold. Further runs
+#: follow until one of them measures the target recall.
 RUNS = 4
 CHOICES = 2
+#: Share of a further run's connections that the runs before it must have found: all of them.
+RECALL = 1.0
 #: Buckets of at most so many sets are compared by brute force; larger ones are split
 #: further, down to this depth, and what is larger then is compared block by block.
 BUCKET = 4096
@@ -31,7 +34,7 @@ BLOCK = 2048
 #: Bits of the map by which rows are left out before their sets are compared in full.
 FILTER_BITS = 1 << 24
 #: Sets agreeing in so many sampled tokens are compared in full. At similarity 0.8 fewer
-#: agree in one pair of a million.
+#: agree in 4.2 pairs of a million, by the binomial distribution of 64 samples.
 AGREE = 36
 #: Rows of a task of brute force, and rows of text in hand at once.
 TASK_ROWS = 16_384
@@ -120,15 +123,16 @@ def _split(paths: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def candidate_edges(sets: DataFrame, runs: int = RUNS, bucket: int = BUCKET, depth: int = DEPTH) -> DataFrame:
+def candidate_edges(sets: DataFrame, runs: int = RUNS, bucket: int = BUCKET, depth: int = DEPTH, first: int = 0) -> DataFrame:
     """Edges (a, b) that join the sets of each bucket that agree in AGREE sampled tokens or more.
 
     ``sets`` has (text_id, tokens). A run starts with one bucket of all sets;
     each bucket that is too large is split by tokens chosen by its path. Only
     identities move while splitting; the tokens join in for brute force. A
     bucket gives a spanning star for each of its components, not its pairs.
+    ``first`` numbers the first run; runs of different numbers are independent.
     """
-    roots = [(r, c) for r in range(runs) for c in range(r * CHOICES, r * CHOICES + CHOICES)]
+    roots = [(r, c % TOKENS) for r in range(first, first + runs) for c in range(r * CHOICES, r * CHOICES + CHOICES)]
     started = sets.select(
         "text_id", F.explode(F.array(*[F.xxhash64(F.lit(r), F.lit(c), F.get("tokens", F.lit(c))) for r, c in roots])).alias("path")
     )
@@ -162,6 +166,36 @@ def candidate_edges(sets: DataFrame, runs: int = RUNS, bucket: int = BUCKET, dep
     )
 
 
+def connected_parts(
+    sets: DataFrame, runs: int = RUNS, bucket: int = BUCKET, depth: int = DEPTH, recall: float = RECALL
+) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """(node, root) of the sets that candidate edges connect, and how each further run measured that.
+
+    After ``runs`` runs one more is made at a time. Its edges are found without
+    regard to the earlier ones, so the share of them whose ends are connected
+    already estimates the recall of the runs before it. Edges that connect anew
+    are added, and the runs end when that share reaches ``recall``: at 1, when a
+    run connects nothing that was not connected. Each entry of the list is (edges of the run, new ones).
+    """
+    edges = written(candidate_edges(sets, runs, bucket, depth))
+    measured: list[tuple[int, int]] = []
+    while True:
+        parts = written(components(edges))
+        if measured and measured[-1][1] <= (1 - recall) * measured[-1][0]:
+            return parts, measured
+        fresh = candidate_edges(sets, 1, bucket, depth, first=runs + len(measured))
+        for side in ("a", "b"):
+            of = parts.select(F.col("node").alias(f"{side}_node"), F.col("root").alias(f"{side}_root"))
+            fresh = fresh.join(of, F.col(side) == F.col(f"{side}_node"), "left").drop(f"{side}_node")
+        same = F.coalesce("a_root", "a") == F.coalesce("b_root", "b")
+        fresh = written(fresh.select("a", "b", same.alias("known")))
+        total, new = fresh.agg(F.count("*"), F.count_if(~F.col("known"))).first()
+        measured.append((total, new))
+        if not new:
+            return parts, measured
+        edges = written(edges.union(fresh.filter("NOT known").select("a", "b")))
+
+
 def _connect(rows: pa.Table) -> pa.Table:
     """Brute force in each bucket, by expanding components from one of their sets."""
     path = rows.column("path").to_numpy()
@@ -314,7 +348,9 @@ def _member_shingles(docs: DataFrame, key: str, text: str, members: DataFrame) -
     return sets.join(members.hint("merge"), same).select("text_id", "copies", "part", "size", "shingles")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", bucket: int = BUCKET, block: int = BLOCK, recall: float = RECALL
+) -> DataFrame:
     """(key, text_id, class_id, group_id, n_links, keep, n_rows) of every row.
 
     Two texts are linked if their sets of five-word shingles have a Jaccard
@@ -325,9 +361,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
     ``n_rows`` tells how many rows have this key and text.
 
     Equal texts are reduced to one set first. Chosen paths connect the sets
-    that may be similar; each connected part is then compared exactly, all
-    pairs of it: parts of up to ``block`` sets at once, larger ones as pairs
-    of blocks. So a link is lost only if no path of any run joins its part.
+    that may be similar, in runs that are repeated until one measures
+    ``recall`` (see ``connected_parts``); each connected part is then compared
+    exactly, all pairs of it: parts of up to ``block`` sets at once, larger ones
+    as pairs of blocks. So a link is lost only if no path of any run joins its part.
 
     A null text, or one without a word, is linked to nothing, is a class and
     group by itself (its own key) and is kept. A null key comes last: it names
@@ -341,7 +378,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bu
         .groupBy("text_id")
         .agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("tokens").alias("tokens"))
     )
-    parts = written(components(candidate_edges(sets, bucket=bucket)))
+    parts, _ = connected_parts(sets, bucket=bucket, recall=recall)
     n_small = max(1, -(-parts.count() // block))
     sizes = written(parts.groupBy("root").agg(F.count("*").alias("size")))
     members = written(

@@ -218,6 +218,28 @@ def test_sentencepiece_random_texts():
         assert encoder.encode(text) == encoder.library.encode(text), text
 
 
+def test_jaccard_runs_repeat_until_one_adds_nothing(spark, monkeypatch):
+    """Pairs around the threshold and one choice a node: a single run misses some, the measured runs do not."""
+    monkeypatch.setattr(jaccard_join, "CHOICES", 1)
+    r = random.Random(21)
+    rows = []
+    for i in range(300):
+        w = [f"w{r.randint(0, 10**6)}" for _ in range(64)]
+        rows.append((2 * i, " ".join(w)))
+        w[r.randint(5, 58)] = "changed"  # five of sixty shingles: a similarity of 55 / 65
+        rows.append((2 * i + 1, " ".join(w)))
+    docs_ = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = written(jaccard_join._sketches(docs_, "doc_id", "text").select("text_id", "tokens"))
+    once = jaccard_join.components(jaccard_join.candidate_edges(sets, runs=1)).count()
+    parts, measured = jaccard_join.connected_parts(sets, runs=1)
+    assert once < parts.count() == 600 and parts.select("root").distinct().count() == 300
+    assert measured[-1][1] == 0 < measured[0][1] and all(new <= total for total, new in measured)
+    assert 0.7 < 1 - measured[0][1] / measured[0][0] < 1  # the first run's recall
+    assert len(jaccard_join.connected_parts(sets, runs=1, recall=0.5)[1]) < len(measured)
+    found = jaccard_join.near_duplicates(docs_)
+    assert all(x.n_links == 1 and x.group_id == x.doc_id // 2 * 2 for x in found.collect())
+
+
 def test_pipeline_stages(spark, docs, odd, empty):
     kept = docs
     for (name, stage), nxt in zip(corpus_pipeline.STAGES, [*corpus_pipeline.STAGES[1:], None]):
