@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Bytes of encoded words that a worker keeps, in two generations of so many.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 16 << 20
 #: Bytes that an entry takes besides its characters and ids: both objects and their place in the table.
 ENTRY_BYTES = 200
 #: Pairs of pieces whose compatibility a worker keeps.
-MAX_FITS = 400_000
+MAX_FITS = 200_000
 #: Rows that are in hand at once.
 SLICE = 512
 
