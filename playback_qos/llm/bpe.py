@@ -209,11 +209,6 @@ class Encoder:
             out += ids
         return out
 
-    def forget(self) -> None:
-        """Drop all caches, so a worker that goes on to other work holds the model only."""
-        self.young, self.old, self.held = {}, {}, 0
-        self.fits.clear()
-
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids) if ids else ""
 
@@ -252,7 +247,6 @@ def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
                     ],
                     names=["key", "ids", "decoded"],
                 )
-        enc.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     return (
