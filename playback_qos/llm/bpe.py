@@ -12,6 +12,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playback_qos.llm.common import lean
+
 SPACE = "▁"
 #: Bytes of encoded words that a worker keeps, in two generations of so many.
 CACHE_BYTES = 16 << 20
@@ -251,6 +253,6 @@ def encode_documents(docs: DataFrame, model_path: str, key: str = "doc_id", text
     kind = docs.schema[key].dataType.simpleString()
     return (
         docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        .mapInArrow(run, f"key {kind}, ids array<int>, decoded string")
+        .mapInArrow(lean(run), f"key {kind}, ids array<int>, decoded string")
         .withColumnRenamed("key", key)
     )

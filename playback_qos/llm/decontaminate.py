@@ -16,6 +16,7 @@ from playback_qos.llm.common import (
     TO_LOWER,
     from_planes,
     hash_words,
+    lean,
     planes,
     scan_words,
     text_bytes,
@@ -95,7 +96,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", terms:
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        index, f"shard long, term long, n long, postings binary, keys array<{kind}>, sizes array<long>"
+        lean(index), f"shard long, term long, n long, postings binary, keys array<{kind}>, sizes array<long>"
     )
 
 

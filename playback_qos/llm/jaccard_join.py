@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playback_qos.llm.common import NOT_BLANK, hash_words, scan_words, text_bytes, window_hashes, written
+from playback_qos.llm.common import NOT_BLANK, hash_words, lean, scan_words, text_bytes, window_hashes, written
 from playback_qos.llm.components import components
 
 SHINGLE = 5
@@ -99,7 +99,7 @@ def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("key"), _identity(F.col(text)).alias("text_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"key {kind}, text_id binary, n long, tokens array<int>"
+        lean(run), f"key {kind}, text_id binary, n long, tokens array<int>"
     )
 
 
@@ -343,7 +343,7 @@ def _member_shingles(docs: DataFrame, key: str, text: str, members: DataFrame) -
                 )
 
     own = docs.select(F.col(key).alias("key"), _identity(F.col(text)).alias("text_id"), F.col(text).alias("text"))
-    sets = own.withColumn("place", _place("key", "text_id")).mapInArrow(run, f"key {kind}, text_id binary, shingles binary")
+    sets = own.withColumn("place", _place("key", "text_id")).mapInArrow(lean(run), f"key {kind}, text_id binary, shingles binary")
     same = (F.col("text_id") == F.col("member")) & F.col("key").eqNullSafe(F.col("rep"))
     return sets.join(members.hint("merge"), same).select("text_id", "copies", "part", "size", "shingles")
 

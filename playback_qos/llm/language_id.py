@@ -12,13 +12,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playback_qos.llm.common import written
+from playback_qos.llm.common import lean, written
 
 #: Characters of the longest n-gram.
 ORDER = 4
 #: A model in memory holds at most so many n-grams of all languages (and 4 times as many
 #: probabilities); beyond, the same model is computed, stored and joined by Spark.
 MAX_GRAMS = 4_000_000
+#: The models of left-out folds that are scored in one pass hold at most so many n-grams together, or are one.
+FOLD_GRAMS = 1_000_000
 #: The rejection limits are set on all labelled rows, each scored by the counts of the other parts of so many.
 CALIBRATION_FOLDS = 8
 #: The variance of a language of so many rows and one lies midway between its own and that of all languages.
@@ -149,7 +151,7 @@ def count_grams(docs: DataFrame, text: str, lang: str, order: int = ORDER) -> Da
     return (
         docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), _fold(text).alias("fold"))
         .filter("text IS NOT NULL AND lang IS NOT NULL")
-        .mapInArrow(count, "lang string, fold int, gram long, n long")
+        .mapInArrow(lean(count), "lang string, fold int, gram long, n long")
         .groupBy("lang", "fold", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -456,7 +458,7 @@ def _scored(docs: DataFrame, text: str, lang: str, models: dict[int, Model]) ->
     return (
         docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), _fold(text).alias("fold"))
         .filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("fold").isin(list(models)))
-        .mapInArrow(run, "lang string, h double, n double")
+        .mapInArrow(lean(run), "lang string, h double, n double")
     )
 
 
@@ -535,7 +537,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     collected, and the model held in memory, else Spark computes the same model
     as tables. Calibration scores every labelled row by the counts of the other
     folds: in memory as many folds in a pass as their models together have
-    MAX_GRAMS rows, else one. ``key`` is not read.
+    FOLD_GRAMS rows, else one. ``key`` is not read.
     """
     folds = written(count_grams(docs, text, lang, order))
     table = written(folds.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -546,7 +548,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         return _train_stored(docs, text, lang, order, folds, table, some, langs)
     counts = _by_lang(table.toArrow())
     model = Model(counts, order)
-    at_once = max(1, MAX_GRAMS // max(1, size))
+    at_once = max(1, FOLD_GRAMS // max(1, size))
 
     def parts() -> Iterator[DataFrame]:
         for i in range(0, len(some), at_once):
@@ -619,7 +621,7 @@ def identify(
                 )
                 at += len(texts)
 
-    return source.mapInArrow(run, ddl)
+    return source.mapInArrow(lean(run), ddl)
 
 
 def held_out(key: Column) -> Column:
