@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playback_qos.llm.common import written
+
 #: Hex digits of the key's digest that cut a shard into numbering buckets.
 BUCKET_DIGITS = 2
+#: Equal rows that are dealt out together.
+RUN = 10_000
 
 
 def _digest(key: Column, shard: Column) -> Column:
@@ -52,11 +56,13 @@ def shard_documents(docs: DataFrame, shards: int = 40, key: str = "doc_id", text
 
     Returns (key, size, text_crc32, shard, slot, grown_shard); no text moves.
     Slots follow (digest bucket of the key, key, size, crc), so rows that are
-    equal in all of these may swap slots, with the same result.
+    equal in all of these may swap slots, with the same result. They are one
+    row with a count until the slots are dealt out.
     A null text has the size of its 16 bytes of overhead and the crc of no
-    bytes; a null key is a key; extra columns of ``docs`` are not read. A shard
-    is numbered in 256 buckets, each by a task of its own, so neither a shard
-    nor a hot text meets in one task.
+    bytes; a null key is a key; extra columns of ``docs`` are not read. The
+    different rows are cut into ranges of that order, as many as the session
+    has shuffle partitions; each is numbered by a task of its own, so a hot
+    key is spread by its sizes and crcs, and a hot row is one row.
     """
     old = _best(F.col(key), F.sequence(F.lit(0), F.lit(shards - 1)), None)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
@@ -75,19 +81,22 @@ def shard_documents(docs: DataFrame, shards: int = 40, key: str = "doc_id", text
         F.when(F.col("extra") > F.col("old.score"), F.lit(shards)).otherwise(F.col("old.shard")).alias("grown_shard"),
         "bucket",
     )
-    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))  # at most shards * 16 ** BUCKET_DIGITS rows
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    order = Window.partitionBy("shard", "bucket").orderBy("key", "size", "text_crc32")
-    return (
-        rows.withColumn("rank", F.row_number().over(order))
-        .join(F.broadcast(offsets), ["shard", "bucket"])
-        .select(
-            F.col("key").alias(key),
-            "size",
-            "text_crc32",
-            "shard",
-            (F.col("offset") + F.col("rank") - 1).cast("long").alias("slot"),
-            "grown_shard",
-        )
+    order = ["shard", "bucket", "key", "size", "text_crc32"]
+    different = rows.groupBy(*order, "grown_shard").agg(F.count("*").alias("n"))
+    ranged = written(different.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    counts = ranged.groupBy("shard", "part").agg(F.sum("n").alias("n"))  # a row a range, and one more a shard
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("shard", "part").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("offset") + F.coalesce("own", F.lit(0))
+    runs = (
+        ranged.withColumn("own", F.sum("n").over(within))
+        .join(F.broadcast(offsets), ["shard", "part"])
+        .withColumn("last", start + F.col("n") - 1)
+        .withColumn("slot", F.explode(F.sequence(start, "last", F.lit(RUN).cast("long"))))
+    )
+    runs = runs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard", "slot")  # a count: not coalesced
+    slots = F.explode(F.sequence(F.col("slot"), F.least(F.col("slot") + RUN - 1, "last")))
+    return runs.withColumn("slot", slots).select(
+        F.col("key").alias(key), "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard"
     )

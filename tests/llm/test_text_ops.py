@@ -1,6 +1,6 @@
 """Substring dedup, decontamination, sharding, PII, quality and line dedup against plain Python."""
 
-
+import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -117,6 +117,30 @@ def test_sharding(spark, docs, odd, empty):
     assert abs(n[1] / 6000 - 0.5) < 0.03 and abs(n[0] / 6000 - 0.25) < 0.03
 
 
+def test_sharding_of_hot_keys(spark):
+    n = 75_000  # a third is one row, a third has no key
+    docs = spark.range(n).selectExpr(
+        "CASE id % 3 WHEN 0 THEN 5 WHEN 2 THEN id END AS doc_id",
+        "CASE WHEN id % 3 > 0 THEN repeat('x', int(id % 97)) || id END AS text",
+    )
+    rows = shard_documents(docs, 7).collect()
+    assert len(rows) == n
+
+    def place(r):
+        bucket = hashlib.md5(b"" if r.doc_id is None else str(r.doc_id).encode()).hexdigest()[:2]
+        return r.shard, bucket, (r.doc_id is not None, r.doc_id), r.size, r.text_crc32
+
+    for shard in range(7):
+        own = sorted((r for r in rows if r.shard == shard), key=lambda r: r.slot)
+        assert [r.slot for r in own] == list(range(len(own)))
+        assert [place(r) for r in own] == sorted(map(place, own))
+    told = Counter((r.doc_id, r.size, r.text_crc32) for r in rows)
+    texts = (("x" * (i % 97) + str(i)).encode() if i % 3 else b"" for i in range(n))
+    keys = ((5, None, i)[i % 3] for i in range(n))
+    assert told == Counter((k, len(t) + 16, zlib.crc32(t)) for k, t in zip(keys, texts, strict=True))
+
+
+
 def luhn(d):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 
