@@ -23,8 +23,10 @@ MAX_GRAMS = 4_000_000
 FOLD_GRAMS = 1_000_000
 #: The rejection limits are set on all labelled rows, each scored by the counts of the other parts of so many.
 CALIBRATION_FOLDS = 8
-#: The variance of a language of so many rows and one lies midway between its own and that of all languages.
+#: The variance of a language of so many rows and one lies midway between its own and that of all
+#: languages, and that of all, with so many rows, between its own and the variance PRIOR_SPREAD (nats squared).
 PRIOR_ROWS = 20
+PRIOR_SPREAD = 0.25
 #: A text is rejected if its cross-entropy is above its language's usual one by so many
 #: standard deviations, and by so many nats a character: another language, not a mixed text.
 REJECT_Z = 8.0
@@ -468,9 +470,9 @@ def calibrate(langs: list[str], parts: Iterable[DataFrame]) -> dict[str, tuple[f
     The variance of a text's mean is fitted as ``own + char / n`` (n: its
     characters) from sums that Spark takes over all rows given. Each language
     has its own mean; the variance of one with few rows is drawn to that of all
-    languages about their own means, and widened by the error of its mean. A
-    language without a row given rejects nothing, nor does any if all together
-    have under 20.
+    languages about their own means, that one in turn to a wide one, and widened
+    by the error of its mean: the fewer rows, the less is rejected. A language
+    without a row given rejects nothing.
     """
     sums = {"rows": F.lit(1), "n": F.col("n"), "hn": F.expr("h * n"), "h": F.col("h"), "hh": F.expr("h * h"),
             "r": F.expr("1 / n"), "rr": F.expr("1 / n / n"), "hr": F.expr("h / n"), "hhr": F.expr("h * h / n")}
@@ -494,15 +496,16 @@ def calibrate(langs: list[str], parts: Iterable[DataFrame]) -> dict[str, tuple[f
         slope = max(0.0, (by_r - square * r) / spread) if spread > 1e-12 else 0.0
         return np.array([max(square - slope * r, 1e-4), slope])
 
-    pool = sum(moments.values(), np.zeros(5))
-    if pool[4] < 20:
+    if not moments:
         return {}
+    pool = sum(moments.values(), np.zeros(5))
+    common = (pool[4] * fit(pool) + PRIOR_ROWS * np.array([PRIOR_SPREAD, 0.0])) / (pool[4] + PRIOR_ROWS)
     limit = {}
     for name in langs:
         if name in moments:
             rows = moments[name][4]
             weight = (rows - 1) / (rows - 1 + PRIOR_ROWS)
-            own, char = np.sqrt((weight * fit(moments[name]) + (1 - weight) * fit(pool)) * (1 + 1 / rows))
+            own, char = np.sqrt((weight * fit(moments[name]) + (1 - weight) * common) * (1 + 1 / rows))
             limit[name] = (means[name], float(own), float(char))
     return limit
 
