@@ -41,3 +41,15 @@ def components(edges: DataFrame) -> DataFrame:
         before, now = now, _state(edges)
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
+
+
+def joined(parts: DataFrame, edges: DataFrame) -> DataFrame:
+    """``parts`` (node, root), as ``components`` gives them, with further ``edges`` (a, b) taken in.
+
+    The edges join roots, or nodes of no part yet. Only they go through the
+    rounds, as a root stands for its whole part and is the least node of it.
+    """
+    over = written(components(edges))
+    to = over.select(F.col("node").alias("of"), F.col("root").alias("into"))
+    moved = parts.join(to, F.col("root") == F.col("of"), "left").select("node", F.coalesce("into", "root").alias("root"))
+    return moved.union(over.join(parts.select("node"), "node", "left_anti").select("node", "root"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playback_qos.llm.common import NOT_BLANK, hash_words, lean, scan_words, text_bytes, window_hashes, written
-from playback_qos.llm.components import components
+from playback_qos.llm.components import components, joined
 
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
@@ -174,26 +174,23 @@ def connected_parts(
     After ``runs`` runs one more is made at a time. Its edges are found without
     regard to the earlier ones, so the share of them whose ends are connected
     already estimates the recall of the runs before it. Edges that connect anew
-    are added, and the runs end when that share reaches ``recall``: at 1, when a
+    join whole parts, and the runs end when that share reaches ``recall``: at 1, when a
     run connects nothing that was not connected. Each entry of the list is (edges of the run, new ones).
     """
-    edges = written(candidate_edges(sets, runs, bucket, depth))
+    parts = written(components(candidate_edges(sets, runs, bucket, depth)))
     measured: list[tuple[int, int]] = []
     while True:
-        parts = written(components(edges))
-        if measured and measured[-1][1] <= (1 - recall) * measured[-1][0]:
-            return parts, measured
         fresh = candidate_edges(sets, 1, bucket, depth, first=runs + len(measured))
         for side in ("a", "b"):
             of = parts.select(F.col("node").alias(f"{side}_node"), F.col("root").alias(f"{side}_root"))
             fresh = fresh.join(of, F.col(side) == F.col(f"{side}_node"), "left").drop(f"{side}_node")
-        same = F.coalesce("a_root", "a") == F.coalesce("b_root", "b")
-        fresh = written(fresh.select("a", "b", same.alias("known")))
-        total, new = fresh.agg(F.count("*"), F.count_if(~F.col("known"))).first()
+        fresh = written(fresh.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
+        total, new = fresh.agg(F.count("*"), F.count_if(F.col("a") != F.col("b"))).first()
         measured.append((total, new))
-        if not new:
+        if new:
+            parts = written(joined(parts, fresh.filter("a != b")))
+        if new <= (1 - recall) * total:
             return parts, measured
-        edges = written(edges.union(fresh.filter("NOT known").select("a", "b")))
 
 
 def _connect(rows: pa.Table) -> pa.Table:

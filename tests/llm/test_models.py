@@ -16,7 +16,7 @@ import corpus_pipeline
 from playback_qos.llm import jaccard_join, language_id, warc
 from playback_qos.llm.bpe import Encoder, encode_documents
 from playback_qos.llm.common import scratch_dir, table, written
-from playback_qos.llm.components import components
+from playback_qos.llm.components import components, joined
 from playback_qos.llm.language_id import held_out, identify, train
 from playback_qos.llm.queries import piece_model_path
 
@@ -92,6 +92,14 @@ def test_components(spark):
             up[max(x, y)] = min(x, y)
     assert got == {i: top(i) for i in up}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    # some edges first, the rest by the parts they gave: chains of parts, new nodes alone and on parts
+    first, rest = [e for i, e in enumerate(edges) if i % 3], edges[::3]
+    parts = written(components(spark.createDataFrame(first, "a long, b long")))
+    root = {x.node: x.root for x in parts.collect()}
+    more = spark.createDataFrame([(root.get(a, a), root.get(b, b)) for a, b in rest], "a long, b long")
+    both = joined(parts, more).collect()
+    assert {x.node: x.root for x in both} == got and len(both) == len(got)
+    assert joined(parts, more.limit(0)).count() == len(root)
 
 
 def test_warc_roundtrip(spark):
