@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Spark's default, which cannot hold the several states of a ``transformWithState`` processor.
+HDFS_BACKED = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
 # Defaults chosen for a large cluster; every key can be overridden.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
+    STATE_STORE: ROCKSDB,
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -67,3 +73,28 @@ def scratch_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = checkpoint_dir(spark, tempfile.mkdtemp(prefix="playback-qos-"))
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+_starting = threading.RLock()
+
+
+@contextmanager
+def multi_state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside get RocksDB where the session has the default store; the session's setting stays.
+
+    A query keeps the settings of its start, and its checkpoint the store it was
+    made with. A session that names a store of its own keeps it.
+    """
+    with _starting:
+        was = spark.conf.get(STATE_STORE, None)
+        if was not in (None, HDFS_BACKED):
+            yield
+            return
+        spark.conf.set(STATE_STORE, ROCKSDB)
+        try:
+            yield
+        finally:
+            if was is None:
+                spark.conf.unset(STATE_STORE)
+            else:
+                spark.conf.set(STATE_STORE, was)

@@ -26,6 +26,7 @@ from playback_qos.schema import (
     raw_schema,
     silver_schema,
 )
+from playback_qos.session import multi_state_store
 from playback_qos.sources import tables as TB
 from playback_qos.sources.tail import tail_lines
 from playback_qos.streaming import sinks as K
@@ -361,11 +362,13 @@ def stream_buffering_intervals(spark: SparkSession, layout: Layout, fmt: str = "
 
     The result does not depend on the order in which events arrive, up to
     ``late`` (see ``state.buffering_intervals_stream``). A checkpoint of the
-    earlier pairing by arrival cannot go on with this one.
+    earlier pairing by arrival cannot go on with this one. The query gets the
+    RocksDB state store, which it needs, whatever the session's default is.
     """
     tele = TB.read_batch_table_stream(spark, layout.telemetry,
                                       TELEMETRY_STORED, fmt, max_files_per_trigger)
     out = buffering_intervals_stream(tele, order, late, slot_ms, pending_days)
-    return K.append_stream(out, layout.buffering_intervals,
-                           layout.checkpoint("buffering_intervals"), fmt, None, trigger,
-                           name="buffering_intervals")
+    with multi_state_store(spark):
+        return K.append_stream(out, layout.buffering_intervals,
+                               layout.checkpoint("buffering_intervals"), fmt, None, trigger,
+                               name="buffering_intervals")

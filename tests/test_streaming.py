@@ -9,7 +9,9 @@ from playback_qos.operators import gold as G
 from playback_qos.operators import quality as Q
 from playback_qos.operators import telemetry as TM
 from playback_qos.plans import layers as L
+from playback_qos.plans.catalog import QUERIES
 from playback_qos.schema import INTERVALS, KEYS, LOG_POSITION, TELEMETRY, TELEMETRY_PAYLOADS, raw_schema, silver_schema
+from playback_qos.session import HDFS_BACKED, STATE_STORE
 from playback_qos.sources import fixtures as X
 from playback_qos.sources.tables import read_table
 from playback_qos.streaming import jobs as J
@@ -388,3 +390,24 @@ def test_concurrent_processing_time_streams(spark, tmp_dir):
     assert read_table(spark, layout.validated).count() == Q.valid_rows(bronze).count()
     silver = read_table(spark, layout.silver, schema=SILVER)
     assert silver.count() == silver.select(*KEYS).distinct().count()
+
+
+@pytest.mark.parametrize("store", [None, HDFS_BACKED])
+def test_intervals_bring_their_state_store(spark, tmp_dir, store):
+    """In a session with Spark's default state store: no error, the rows of the batch form, the setting untouched."""
+    events = [(i, f"2024-01-0{1 + i % 3} 00:0{i % 7}:00", i % 2, kind, 1.0, None)
+              for i, kind in enumerate(["click", "click", "view", "view", "purchase", "view", "click", "click", "view"] * 3)]
+    df = spark.createDataFrame(events, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    was = spark.conf.get(STATE_STORE)
+    try:
+        if store is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, store)
+        got = QUERIES["buffering_intervals_stream"](spark, tmp_dir)
+        assert spark.conf.get(STATE_STORE, None) == store
+    finally:
+        spark.conf.set(STATE_STORE, was)
+    want = QUERIES["buffering_intervals"](spark, tmp_dir)
+    assert sorted(got.collect()) == sorted(want.collect()) != []
