@@ -5,13 +5,14 @@ wrong as soon as events come late or from several logs. Here a
 ``transformWithState`` processor keeps a session's starts and ends in slots of
 event time; a slot is paired, in the total order of the batch form, once the
 watermark has passed its end. What stays per session is its open slots and one
-pending start.
+pending start. Each use of state is a call from Python to the JVM, so a session
+has one timer at a time, and its rows go to their slots only by thousands.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -25,7 +26,7 @@ from playback_qos.schema import EVT_BUFFER_END, EVT_BUFFER_START, INTERVALS, TEL
 LATE = "10 minutes"
 #: Width of a slot.
 SLOT_MS = 60_000
-#: Input rows that are held before they go to their slots.
+#: Starts and ends of a session that are held in one list before they go to their slots.
 SLICE = 4096
 
 
@@ -44,48 +45,90 @@ class BufferingPairing(StatefulProcessor):
         self.handle = handle
         held = T.StructType([T.StructField("marks", T.ArrayType(self.marks))])
         self.slots = handle.getMapState("slots", "slot long", held)
+        self.few = handle.getListState("few", self.marks)  # marks that are in no slot yet: fewer than SLICE
         self.pending = handle.getValueState("pending_start", "started_at long")
+        self.due = handle.getValueState("due", "at long, few long")  # the session's earliest timer, the length of few
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        slots: dict[int, list[tuple]] = {}
-        for i, r in enumerate(rows, 1):
-            slots.setdefault(r[1] // self.slot_ms, []).append(tuple(r)[1:-1])  # without key and event time
-            if i % SLICE == 0:
-                self._keep(slots)
-                slots = {}
-        self._keep(slots)
+        at, n = self.due.get() or (None, 0)
+        first, marks = at, []
+        for r in rows:
+            marks.append(tuple(r)[1:-1])  # without key and event time
+            end = self._end(r[1] // self.slot_ms)
+            first = end if first is None or end < first else first
+            if n + len(marks) >= SLICE:
+                self._keep([*map(tuple, self.few.get()), *marks] if n else marks)
+                self.few.clear()
+                n, marks = 0, []
+        if marks:
+            self.few.appendList(marks)
+        if first != at:
+            self.handle.registerTimer(first)  # no event of the slot is on time then
+        self.due.update((first, n + len(marks)))
         return iter(())
 
-    def _keep(self, slots: dict[int, list[tuple]]) -> None:
-        for slot, marks in slots.items():
+    def _end(self, slot: int) -> int:
+        return (slot + 1) * self.slot_ms - 1
+
+    def _by_slot(self, marks: Iterable[tuple]) -> dict[int, list[tuple]]:
+        slots: dict[int, list[tuple]] = {}
+        for mark in map(tuple, marks):
+            slots.setdefault(mark[0] // self.slot_ms, []).append(mark)
+        return slots
+
+    def _keep(self, marks: list[tuple]) -> None:
+        for slot, own in self._by_slot(marks).items():
             if self.slots.containsKey((slot,)):
-                marks = [*map(tuple, self.slots.getValue((slot,))[0]), *marks]
-            else:
-                self.handle.registerTimer((slot + 1) * self.slot_ms - 1)  # no event of the slot is on time then
-            self.slots.updateValue((slot,), (marks,))
+                own = [*map(tuple, self.slots.getValue((slot,))[0]), *own]
+            self.slots.updateValue((slot,), (own,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        started = self.pending.get()[0] if self.pending.exists() else None
-        before = started
-        # all slots that end by now, in order, whatever order timers come in
-        for slot in sorted(k[0] for k in self.slots.keys() if (k[0] + 1) * self.slot_ms - 1 <= now):
-            for mark in sorted((tuple(m) for m in self.slots.getValue((slot,))[0]), key=_in_order):
+        # one timer closes all that the watermark has passed, in order of event time
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        at, n = self.due.get() or (None, 0)
+        if at is not None and at > now:
+            return  # that has been done already
+        few = self._by_slot(self.few.get()) if n else {}
+        held = {k[0] for k in self.slots.keys()}
+        slots = sorted(held | few.keys())
+        found = self.pending.get()
+        before = started = None if found is None else found[0]
+        while slots and self._end(slots[0]) <= now:
+            slot = slots.pop(0)
+            started = self._unless_old(started, self._end(slot) - 1)
+            marks = few.pop(slot, [])
+            if slot in held:
+                marks += map(tuple, self.slots.getValue((slot,))[0])
+                self.slots.removeKey((slot,))
+            for mark in sorted(marks, key=_in_order):
                 if mark[-1] == EVT_BUFFER_START:
                     started = mark[0]
                 elif started is not None:
                     yield Row(sessionId=key[0], started_at=started, ended_at=mark[0], duration_ms=mark[0] - started)
                     started = None
-            self.slots.removeKey((slot,))
-        if started is not None and self.pending_ms is not None and started + self.pending_ms <= now:
-            started = None
+        started = self._unless_old(started, now)
         if started is None:
             if before is not None:
                 self.pending.clear()
         elif started != before:
             self.pending.update((started,))
-            if self.pending_ms is not None:
-                self.handle.registerTimer(started + self.pending_ms)
+        left = [mark for own in few.values() for mark in own]
+        if left and len(left) < n:
+            self.few.put(left)
+        elif not left and n:
+            self.few.clear()
+        ahead = [self._end(slots[0])] if slots else []
+        if started is not None and self.pending_ms is not None:
+            ahead.append(started + self.pending_ms)
+        if ahead:
+            self.handle.registerTimer(min(ahead))
+            self.due.update((min(ahead), len(left)))
+        else:
+            self.due.clear()
+
+    def _unless_old(self, started: int | None, now: int) -> int | None:
+        """A start, unless it is to be forgotten by ``now``."""
+        return None if started is not None and self.pending_ms is not None and started + self.pending_ms <= now else started
 
     def close(self) -> None:
         pass
@@ -107,7 +150,7 @@ def buffering_intervals_stream(
     out when the watermark has passed the slot of its end, so a run that drains
     its input keeps the last ``late`` of it in state for the next one.
 
-    One slot of one session is in memory at a time, and input rows by slices.
+    One slot of one session is in memory at a time, and up to ``SLICE`` other rows.
     Only starts and ends are shuffled. With ``pending_days`` a start whose end
     does not follow within so many days of event time is forgotten, so a session
     that ends on a start leaves nothing behind; a checkpoint keeps the choices it

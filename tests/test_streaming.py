@@ -411,3 +411,25 @@ def test_intervals_bring_their_state_store(spark, tmp_dir, store):
         spark.conf.set(STATE_STORE, was)
     want = QUERIES["buffering_intervals"](spark, tmp_dir)
     assert sorted(got.collect()) == sorted(want.collect()) != []
+
+
+def test_intervals_of_busy_and_quiet_sessions(spark, tmp_dir, monkeypatch):
+    """Sessions over and under ``SLICE`` open rows, arriving in no order, closed in several steps: the rows of the batch form."""
+    from playback_qos.streaming import state
+
+    monkeypatch.setattr(state, "SLICE", 8)
+    layout, minute = Layout(tmp_dir), 60_000
+    schema = "event_type string, sessionId string, timestamp long, seq long"
+    rows = [("buffering_start" if i * 7 % 3 else "buffering_end", "quiet" if i % 20 == 0 else f"busy{i % 2}", i * 7 % 120 * minute // 2, i)
+            for i in range(240)]
+    put = lambda some: spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(layout.telemetry)
+    counts = []
+    for part in (rows[::-2], rows[::2], [("buffering_start", "far", 85 * minute, 900)], [("buffering_start", "far", 200 * minute, 901)]):
+        put(part)
+        J.stream_buffering_intervals(spark, layout, trigger="available_now", order=("timestamp", "seq"), late="60 minutes",
+                                     slot_ms=4 * minute).awaitTermination()
+        counts.append(read_table(spark, layout.buffering_intervals, schema=INTERVALS).count())
+    got = read_table(spark, layout.buffering_intervals).collect()
+    want = TM.buffering_intervals(spark.createDataFrame(rows, schema), order=("timestamp", "seq")).collect()
+    assert sorted(got) == sorted(want)
+    assert counts[:2] == [0, 0] and 0 < counts[2] < counts[3] and {r.sessionId for r in want} == {"quiet", "busy0", "busy1"}
